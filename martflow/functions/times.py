@@ -13,9 +13,18 @@ DAY = "yyyyMMdd"
 EVENT_TIME = "event_time"
 
 
+def text_to_time(text: Column | str) -> Column:
+    """Timestamp of a date-time text; null if it does not parse.
+
+    A cast reads ISO texts several times faster than a format pattern does.
+    """
+    text = F.col(text) if isinstance(text, str) else text
+    return text.try_cast("timestamp")
+
+
 def text_to_millis(text: Column | str) -> Column:
     """Epoch milliseconds of a date-time text; null if it does not parse."""
-    return F.unix_millis(F.try_to_timestamp(text, F.lit(DATE_TIME)))
+    return F.unix_millis(text_to_time(text))
 
 
 def millis_to_text(millis: Column | str) -> Column:
@@ -29,23 +38,24 @@ def millis_to_day(millis: Column | str) -> Column:
 
 def text_to_day_number(text: Column | str) -> Column:
     """``yyyyMMdd`` as an int, from a date-time text."""
-    return F.date_format(F.try_to_timestamp(text, F.lit(DATE_TIME)), DAY).cast("int")
+    return F.date_format(text_to_time(text), DAY).cast("int")
 
 
 def with_event_time(
     df: DataFrame,
     delay: str = "0 seconds",
-    millis: Column | str = "ts",
+    time: Column | None = None,
     name: str = EVENT_TIME,
 ) -> DataFrame:
-    """Add the event time as a timestamp, watermarked by ``delay``.
+    """Add the event time, by default that of ``ts``, watermarked by ``delay``.
 
     The watermark does nothing on a batch DataFrame, so operators call this
     in both modes.  A DataFrame that has the column already is left alone.
     """
     if name in df.columns:
         return df
-    return df.withColumn(name, F.timestamp_millis(millis)).withWatermark(name, delay)
+    time = F.timestamp_millis("ts") if time is None else time
+    return df.withColumn(name, time).withWatermark(name, delay)
 
 
 def window_bounds(window: str = "window") -> list[Column]:
@@ -62,7 +72,8 @@ def age_years(birthday: Column | str, as_of: Column | date | None = None) -> Col
     Not ``months_between / 12``: that counts 29 February as reached on
     28 February.  No birthday, no age.
     """
-    born = F.try_to_timestamp(birthday, F.lit("yyyy-MM-dd")).cast("date")
+    birthday = F.col(birthday) if isinstance(birthday, str) else birthday
+    born = birthday.try_cast("date")
     if as_of is None:
         as_of = F.current_date()
     elif isinstance(as_of, date):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,8 +14,15 @@ CORRUPT = "_corrupt"
 def parse_text(
     lines: DataFrame, schema: T.StructType, column: str = "value"
 ) -> DataFrame:
-    """JSON text to typed columns; text that is no such record becomes nulls."""
-    return lines.select(F.from_json(column, schema).alias("r")).select("r.*")
+    """JSON text to typed columns; text that is no such record becomes nulls.
+
+    Other columns of ``lines`` are kept.  The explode is a fence: a filter that
+    is pushed below the projection would parse the text again for every field
+    it looks at.
+    """
+    kept = [c for c in lines.columns if c != column]
+    fenced = lines.select(*kept, F.explode(F.array(F.from_json(column, schema))).alias("_r"))
+    return fenced.select(*kept, "_r.*")
 
 
 def _parsed(lines: DataFrame) -> DataFrame:
@@ -23,10 +30,12 @@ def _parsed(lines: DataFrame) -> DataFrame:
     record = F.from_json(
         "value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     )
-    return lines.withColumn("r", record).withColumn("_ts", F.col("r.ts").try_cast("bigint"))
+    # Fenced as in parse_text.
+    fenced = lines.select("*", F.explode(F.array(record)).alias("r"))
+    return fenced.withColumn("_ts", F.col("r.ts").try_cast("bigint"))
 
 
-def _usable():
+def _usable() -> Column:
     return F.coalesce(
         F.col(f"r.{CORRUPT}").isNull()
         & F.col("r.common.mid").isNotNull()
@@ -63,19 +72,19 @@ def rejected_lines(lines: DataFrame) -> DataFrame:
     return _parsed(lines).where(~_usable()).select(lines.columns)
 
 
-def _is_start():
+def is_start() -> Column:
     # size() of a null map is null or -1, depending on the session.
     return F.coalesce(F.size("start") > 0, F.lit(False))
 
 
 def split_start(records: DataFrame) -> DataFrame:
     """Start records; downstream only the ``start`` object matters."""
-    return records.where(_is_start())
+    return records.where(is_start())
 
 
 def split_page(records: DataFrame) -> DataFrame:
     """Every record that is no start record, whole."""
-    return records.where(~_is_start())
+    return records.where(~is_start())
 
 
 def split_display(records: DataFrame, keep: list[str] | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martflow import schemas
-from martflow.functions.times import age_years, text_to_millis, with_event_time
+from martflow.functions.times import age_years, text_to_time, with_event_time
 from martflow.operators.joins import enrich, interval_join
 
 ORDER_BOUND = timedelta(seconds=5)
@@ -16,9 +16,8 @@ PAYMENT_BOUND = timedelta(seconds=1800)
 
 
 def _timed(df: DataFrame, text: str, name: str, delay: str) -> DataFrame:
-    """Add the event time of a date-time text; rows without one are dropped."""
-    timed = with_event_time(df, delay, text_to_millis(text), name)
-    return timed.where(F.col(name).isNotNull())
+    """Add the event time of a date-time text; without one a row joins nothing."""
+    return with_event_time(df, delay, text_to_time(text), name)
 
 
 def _typed(struct, values: dict[str, Column]) -> list[Column]:

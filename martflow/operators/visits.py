@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martflow.functions.times import EVENT_TIME, millis_to_day, with_event_time
+from martflow.functions.times import EVENT_TIME, millis_to_day
 
 # Records of one device at the same millisecond are told apart by content,
 # unless the caller names an id column.
@@ -88,28 +88,31 @@ def user_jump(
     pages: DataFrame,
     limit_ms: int = 10_000,
     order: tuple[str, ...] = DEFAULT_ORDER,
-    delay: str = "0 seconds",
+    late_ms: int = 0,
 ) -> DataFrame:
     """Bounces: entries whose device opens no other page within the limit.
 
     Time is cut into slots as long as the limit.  Two records in one slot are
     closer than the limit, so only a slot's last record can be a bounce, and
-    what can prevent it is the first record of the next slot.  A window over
-    two slots that slides by one sees both, as two aggregates.  A record
-    exactly ``limit_ms`` later is too late.  In a stream a bounce is emitted
-    once the watermark has passed the second slot.
+    what can prevent it is the first record of the next slot.  So each record
+    counts twice, in its own slot and, by its time alone, in the one before,
+    and both are plain aggregates.  A record exactly ``limit_ms`` later is too
+    late.  ``late_ms`` is how far a stream's records may come out of order.
     """
     columns = [c for c in pages.columns if c != EVENT_TIME]
-    slots = F.window(EVENT_TIME, f"{2 * limit_ms} milliseconds", f"{limit_ms} milliseconds")
-    timed = with_event_time(pages, delay).select("*", slots.alias("slots"))
-    in_first = F.col("ts") < F.unix_millis("slots.start") + limit_ms
-    last = F.max_by(
-        F.when(in_first & is_entry(), F.struct(*columns)),
-        F.when(in_first, F.struct(*order)),
-    )
+    own = F.col("back") == 0
+    doubled = pages.select("*", F.explode(F.array(F.lit(0), F.lit(limit_ms))).alias("back"))
+    # Only an entry in its own slot drags its record into the sort and shuffle.
+    narrow = doubled.select(
+        F.col("common.mid").alias("mid"),
+        F.timestamp_millis(F.col("ts") - F.col("back")).alias("slot_time"),
+        F.when(own, F.struct(*order)).alias("at"),
+        F.when(own & is_entry(), F.struct(*columns)).alias("r"),
+        F.when(~own, F.col("ts")).alias("next_ts"),
+    ).withWatermark("slot_time", f"{limit_ms + late_ms} milliseconds")
     return (
-        timed.groupBy("slots", F.col("common.mid").alias("mid"))
-        .agg(last.alias("r"), F.min(F.when(~in_first, F.col("ts"))).alias("next_ts"))
+        narrow.groupBy(F.window("slot_time", f"{limit_ms} milliseconds"), "mid")
+        .agg(F.max_by("r", "at").alias("r"), F.min("next_ts").alias("next_ts"))
         .where(
             F.col("r").isNotNull()
             & (F.col("next_ts").isNull() | (F.col("next_ts") - F.col("r.ts") >= limit_ms))

@@ -18,7 +18,8 @@ def repaired_visitor_measures(
     Neither the daily first entry nor the bounce looks at the flag, so it is
     repaired last: one join, on narrow rows, instead of one per branch.
     """
-    pages = logs.split_page(records)
+    carried = dict.fromkeys(["common", "page", "ts", *order])
+    pages = logs.split_page(records).select(*carried)
     measures = stats.visitor_union(
         pages,
         visits.unique_visit(pages, order),

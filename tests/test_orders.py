@@ -1,0 +1,339 @@
+"""Wide orders and payments, dimension lookups, statistics, reports, functions."""
+
+from datetime import date
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from martflow import schemas
+from martflow.functions import ratios, times
+from martflow.functions.text import register_tokenizer, tokens
+from martflow.operators import joins, keywords, orders, stats
+from martflow.plans import products, reports
+from martflow.plans.staging import stage
+from martflow.sinks.results import result_rows
+
+D = Decimal
+
+
+def make(spark, schema, *rows):
+    blank = dict.fromkeys(schema.names)
+    return spark.createDataFrame([{**blank, **r} for r in rows], schema)
+
+
+def order(id, created="2024-03-01 10:00:00", **more):
+    return {
+        "id": id, "province_id": 1, "user_id": 9, "order_status": "1001", "create_time": created,
+        "total_amount": D("30.00"), "operate_time": "2024-03-01 11:00:00", **more,
+    }
+
+
+def detail(id, order_id, created="2024-03-01 10:00:00", sku=5, amount="10.00", n=2):
+    return {
+        "id": id, "order_id": order_id, "sku_id": sku, "sku_num": n, "sku_name": "old",
+        "create_time": created, "split_total_amount": D(amount), "order_price": D("5.00"),
+    }
+
+
+def wide_of(spark, order_rows, detail_rows):
+    return orders.order_wide(
+        make(spark, schemas.ORDER_INFO, *order_rows), make(spark, schemas.ORDER_DETAIL, *detail_rows)
+    )
+
+
+def test_order_bounds_are_inclusive(spark):
+    at = "2024-03-01 10:00:"
+    wide = wide_of(spark, [order(1, at + "30")], [
+        detail(1, 1, at + "25"), detail(2, 1, at + "35"), detail(3, 1, at + "36"),
+        detail(4, 1, at + "24"), detail(5, 2, at + "30"), detail(6, 1, "garbage"),
+    ])
+    assert sorted(r.detail_id for r in wide.collect()) == [1, 2]
+    row = wide.where("detail_id = 1").first()
+    assert (row.order_id, row.create_time, row.create_date, row.create_hour) == (
+        1, at + "30", "2024-03-01", "10",
+    )
+    assert row.operate_time == "2024-03-01 11:00:00" and row.split_feight_fee is None
+    assert wide.schema.names == schemas.ORDER_WIDE.names
+
+
+def pay(id, order_id, called, **more):
+    return {"id": id, "order_id": order_id, "user_id": 77, "total_amount": D("29.99"),
+            "create_time": "2024-03-01 10:01:00", "callback_time": called, "subject": "s", **more}
+
+
+def test_payment_bounds_and_precedence(spark):
+    wide = wide_of(spark, [order(1)], [detail(1, 1), detail(2, 1)])
+    payments = make(
+        spark, schemas.PAYMENT_INFO,
+        pay(1, 1, "2024-03-01 10:30:00"), pay(2, 1, "2024-03-01 10:30:01"),
+        pay(3, 1, "2024-03-01 09:59:59"), pay(4, 1, "2024-03-01 10:00:00"), pay(5, 2, "2024-03-01 10:00:00"),
+    )
+    paid = orders.payment_wide(payments, wide)
+    assert sorted((r.payment_id, r.detail_id) for r in paid.collect()) == [(1, 1), (1, 2), (4, 1), (4, 2)]
+    row = paid.first()
+    assert (row.total_amount, row.user_id) == (D("29.99"), 77)
+    assert (row.payment_create_time, row.order_create_time) == ("2024-03-01 10:01:00", "2024-03-01 10:00:00")
+    assert "create_time" not in paid.columns and "create_date" not in paid.columns
+
+
+DIM = "id STRING, birthday STRING, gender STRING"
+
+
+@pytest.mark.parametrize(
+    ("birthday", "as_of", "age"),
+    [
+        ("2004-02-29", date(2023, 2, 28), 18), ("2004-02-29", date(2023, 3, 1), 19),
+        ("2000-06-01", date(2024, 6, 1), 24), ("2000-06-02", date(2024, 6, 1), 23),
+        (None, date(2024, 6, 1), None), ("soon", date(2024, 6, 1), None),
+    ],
+)
+def test_age(spark, birthday, as_of, age):
+    wide = wide_of(spark, [order(1)], [detail(1, 1)])
+    users = spark.createDataFrame([("9", birthday, "F")], DIM)
+    row = orders.with_user(wide, users, as_of).first()
+    assert (row.user_age, row.user_gender) == (age, "F")
+
+
+def product_tables(spark):
+    skus = spark.createDataFrame(
+        [("5", "ring", "7", "2", "61", "19.90"), ("6", None, "8", "3", "62", None)],
+        "id STRING, sku_name STRING, spu_id STRING, tm_id STRING, category3_id STRING, price STRING",
+    )
+    spus = spark.createDataFrame([("7", "rings")], "id STRING, spu_name STRING")
+    categories = spark.createDataFrame([("61", "jewels"), ("62", "other")], "id STRING, name STRING")
+    marks = spark.createDataFrame([("2", "Acme")], "id STRING, tm_name STRING")
+    return orders.product_dimension(skus, spus, categories, marks)
+
+
+def test_lookup_keeps_misses_and_overwrites_hits(spark):
+    wide = wide_of(spark, [order(1)], [detail(1, 1), detail(2, 1, sku=6), detail(3, 1, sku=404)])
+    named = orders.with_product(wide, product_tables(spark))
+    rows = {r.detail_id: r for r in named.collect()}
+    picked = {
+        i: (r.sku_name, r.spu_id, r.spu_name, r.tm_id, r.tm_name, r.category3_id, r.category3_name)
+        for i, r in rows.items()
+    }
+    assert picked == {
+        1: ("ring", 7, "rings", 2, "Acme", 61, "jewels"),
+        2: (None, 8, None, 3, None, 62, "other"),
+        3: ("old", None, None, None, None, None, None),
+    }
+
+
+def test_lookup_by_several_columns_takes_the_first(spark):
+    dim = spark.createDataFrame(
+        [(2, "a", "x", "second"), (1, "a", "x", "first"), (3, "a", "y", "other")],
+        "n INT, k1 STRING, k2 STRING, v STRING",
+    )
+    df = spark.createDataFrame([("a", "x"), ("a", "z")], "p STRING, q STRING")
+    found = joins.lookup(df, dim, {"p": "k1", "q": "k2"}, {"v": F.col("v")}, ["n"])
+    assert sorted(map(tuple, found.collect())) == [("a", "x", "first"), ("a", "z", None)]
+
+
+def test_merge(spark):
+    schema = "detail_id INT, order_id INT, user_id INT, split_total_amount INT"
+    this = spark.createDataFrame([(1, 1, None, None), (2, 2, 5, 6)], schema)
+    other = spark.createDataFrame([(1, 9, 4, 8), (3, 9, 4, 8)], schema)
+    merged = sorted(map(tuple, orders.merge_wide(this, other).collect()))
+    assert merged == [(1, 1, 4, None), (2, 2, 5, 6), (3, None, 4, None)]
+
+
+def action(sku, created, **more):
+    return {"sku_id": sku, "create_time": created, **more}
+
+
+def test_product_stats(spark):
+    at = "2024-03-01 10:00:0"
+    wide = wide_of(spark, [order(1, at + "1"), order(2, at + "2"), order(3, "2024-03-01 10:00:11")], [
+        detail(1, 1, at + "1"), detail(2, 1, at + "1", n=3), detail(3, 2, at + "2"),
+        detail(4, 3, "2024-03-01 10:00:11"),
+    ])
+    paid = orders.payment_wide(make(spark, schemas.PAYMENT_INFO, pay(1, 1, "2024-03-01 10:05:00")), wide)
+    ts = 1709287201000
+    pages = spark.createDataFrame([
+        {"common": None, "page": {"page_id": "good_detail", "item": "5"}, "displays": None, "start": None, "ts": ts},
+        {"common": None, "page": {"page_id": "home", "item": "5"}, "start": None, "ts": ts,
+         "displays": [{"item": "5", "item_type": "sku_id"}, {"item": "5", "item_type": "sku_id"},
+                      {"item": "5", "item_type": None}]},
+    ], schemas.PAGE)
+    acts = schemas.PRODUCT_ACTION
+    measures = products.product_measures(
+        pages, wide, paid,
+        make(spark, acts, action(5, at + "3")),
+        make(spark, acts, action(5, at + "3"), action(5, at + "3")),
+        make(spark, acts, action(5, at + "3", order_id=1, refund_amount=D("4.50")),
+             action(5, at + "4", order_id=1), action(5, at + "4", order_id=2, refund_amount=D("1.00"))),
+        make(spark, acts, action(5, at + "3", appraise="1201"), action(5, at + "3", appraise="1203"),
+             action(5, at + "3")),
+    )
+    rows = stats.product_stats(measures).orderBy("stt").collect()
+    assert len(rows) == 2
+    assert rows[0].asDict() == {
+        "stt": at + "0", "edt": "2024-03-01 10:00:10", "sku_id": 5, "display_ct": 2, "click_ct": 1,
+        "favor_ct": 2, "cart_ct": 1, "order_sku_num": 7, "order_amount": D("30.00"), "order_ct": 2,
+        "payment_amount": D("20.00"), "paid_order_ct": 1, "refund_order_ct": 2,
+        "refund_amount": D("5.50"), "comment_ct": 3, "good_comment_ct": 1, "ts": ts,
+    }
+    # A window with one order line counts one order.
+    assert (rows[1].order_ct, rows[1].refund_amount) == (1, D("0.00"))
+    named = products.with_product_dimension(stats.product_stats(measures), product_tables(spark))
+    assert named.first().sku_price == D("19.90") and named.first().tm_name == "Acme"
+
+
+def test_province_stats(spark):
+    wide = wide_of(spark, [order(1), order(2), order(3, province_id=99)], [
+        detail(1, 1), detail(2, 1, amount="0.01"), detail(3, 2), detail(4, 3),
+    ])
+    provinces = spark.createDataFrame(
+        [("1", "Here", "10", "CN-1", "CN-HE")],
+        "id STRING, name STRING, area_code STRING, iso_code STRING, iso_3166_2 STRING",
+    )
+    rows = stats.province_stats(orders.with_province(wide, provinces)).orderBy("province_id").collect()
+    assert [(r.province_id, r.province_name, r.iso_3166_2, r.order_amount, r.order_count) for r in rows] == [
+        (1, "Here", "CN-HE", D("20.01"), 2), (99, None, None, D("10.00"), 1),
+    ]
+    named = orders.with_province(wide, provinces)
+    document = stats.province_document(stats.province_stats(named))
+    assert dict(document.dtypes)["order_amount"] == "double"
+
+
+def test_keywords(spark):
+    pages = spark.createDataFrame([
+        {"common": None, "page": {"page_id": "good_list", "item": "Red ring, RED 手机!"}, "ts": 1000},
+        {"common": None, "page": {"page_id": "good_list", "item": None}, "ts": 1000},
+        {"common": None, "page": {"page_id": "good_list", "item": "..."}, "ts": 1000},
+        {"common": None, "page": {"page_id": "home", "item": "red"}, "ts": 1000},
+    ], schemas.PAGE)
+    words = keywords.keyword_tokens(keywords.searches(pages))
+    rows = {r.keyword: r for r in stats.keyword_stats(words).collect()}
+    assert {k: r.ct for k, r in rows.items()} == {"red": 2, "ring": 1, "手机": 1}
+    assert rows["red"].source == "SEARCH" and rows["red"].edt == "1970-01-01 00:00:10"
+
+
+def test_tokenizer_in_sql(spark):
+    spark.createDataFrame([("One two",), ("--",), (None,)], "t STRING").createOrReplaceTempView("texts")
+    statement = "SELECT s FROM texts, LATERAL ik_analyze(t) ORDER BY s"
+    register_tokenizer(spark)
+    assert [r.s for r in spark.sql(statement).collect()] == ["one", "two"]
+    spark.sql("DROP TEMPORARY FUNCTION ik_analyze")
+    register_tokenizer(spark, lambda text: [text[:1], text[-1:]])
+    assert [r.s for r in spark.sql(statement).collect()] == ["-", "-", "O", "o"]
+    assert tokens("x") is not None
+
+
+RESULT = "stt STRING, tm_id INT, tm_name STRING, category3_id INT, category3_name STRING, order_amount DECIMAL(16,2)"
+
+
+def test_rankings_and_turnover(spark):
+    day = "2024-03-01"
+    df = spark.createDataFrame([
+        (f"{day} 00:00:00", 1, "a", 7, "x", D("5")), (f"{day} 23:59:50", 1, "a", 7, "x", D("5")),
+        (f"{day} 10:00:00", 3, "c", 7, "x", D("10")), (f"{day} 10:00:00", 2, "b", 8, "y", D("11")),
+        (f"{day} 10:00:00", 4, "d", 9, "z", D("0")), ("2024-03-02 00:00:00", 9, "e", 9, "z", D("99")),
+        ("2024-02-29 23:59:50", 9, "e", 9, "z", D("99")),
+    ], RESULT)
+    assert reports.gmv(df, 20240301).first()[0] == D("31.00")
+    assert [tuple(r) for r in reports.gmv(df, 20230101).collect()] == [(None,)]
+    assert [r.tm_id for r in reports.top_brands(df, 20240301).collect()] == [2, 1, 3]
+    assert [r.tm_id for r in reports.top_brands(df, 20240301, 2).collect()] == [2, 1]
+    assert [r.category3_id for r in reports.top_categories(df, 20240301).collect()] == [7, 8]
+    assert reports.gmv(df).first()[0] is None  # today
+
+
+def test_report_reads_one_day_partition(spark, tmp_path):
+    df = spark.createDataFrame([("2024-03-01 00:00:00", 1, "a", 7, "x", D("5")),
+                                ("2024-03-02 00:00:00", 1, "a", 7, "x", D("6"))], RESULT)
+    result_rows(df).write.partitionBy("day").parquet(f"{tmp_path}/t")
+    table = spark.read.schema("day STRING, " + RESULT).parquet(f"{tmp_path}/t")
+    report = reports.gmv(table, 20240302)
+    assert report.first()[0] == D("6.00")
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "day#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "PushedFilters: [IsNotNull(stt), GreaterThanOrEqual(stt,2024-03-02 00:00:00)" in plan
+
+
+@pytest.mark.parametrize(
+    ("row", "expected"),
+    [
+        ((1, 8, 3, 1), ("12.50", "0.0", "0.13")),
+        ((1, 3, 100000, 2), ("33.33", "33.3", "0.67")),
+        ((1, 200, 10009, 1), ("0.50", "0.1", "0.01")),
+        ((5, 0, 10, 10), ("0", "0", "0")),
+    ],
+)
+def test_ratios_round_half_up(spark, row, expected):
+    df = spark.createDataFrame([row], "uj BIGINT, sv BIGINT, dur BIGINT, pv BIGINT")
+    got = df.select(
+        ratios.bounce_percent(F.col("uj"), F.col("sv")),
+        ratios.seconds_per_visit(F.col("dur"), F.col("sv")),
+        ratios.pages_per_visit(F.col("pv"), F.col("sv")),
+    ).first()
+    assert [D(v) for v in expected] == list(got)
+
+
+def test_ratios_of_no_visits_with_visitors(spark):
+    columns = "is_new STRING, uv_ct BIGINT, pv_ct BIGINT, sv_ct BIGINT, uj_ct BIGINT, dur_sum BIGINT"
+    df = spark.createDataFrame([("1", 4, 3, 0, 2, 9)], columns)
+    row = reports.visitor_ratios(df).first()
+    assert (row.uj_rate, row.dur_per_sv, row.pv_per_sv) == (0, 0, 0)
+
+
+def test_time_functions(spark):
+    df = spark.createDataFrame([("1970-01-02 00:00:01",), ("no",), (None,)], "t STRING")
+    millis = [r[0] for r in df.select(times.text_to_millis("t")).collect()]
+    assert millis == [86_401_000, None, None]
+    row = spark.range(1).select(
+        times.millis_to_text(F.lit(86_401_999)), times.millis_to_day(F.lit(86_401_999)),
+        times.text_to_day_number(F.lit("2024-03-01 23:59:59")),
+    ).first()
+    assert tuple(row) == ("1970-01-02 00:00:01", "19700102", 20240301)
+
+
+def test_helpers_are_not_stored(spark):
+    df = spark.createDataFrame([("2024-03-01 00:00:00", 1, [1])], "stt STRING, n INT, ids ARRAY<INT>")
+    assert result_rows(df, ("ids",)).first().asDict() == {"stt": "2024-03-01 00:00:00", "n": 1, "day": "20240301"}
+
+
+def test_stage_reads_back(spark):
+    staged = stage(spark.range(5), "numbers")
+    assert staged.count() == 5 and "numbers-" in staged.inputFiles()[0]
+
+
+def test_skewed_order_is_split_and_complete(spark):
+    """An order with a third of all lines: every line is joined, no side is broadcast."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        n = 30_000
+        placed = spark.range(1000).selectExpr(
+            "id", "id AS province_id", "'1' AS order_status", "id AS user_id",
+            *[f"CAST(1 AS DECIMAL(16,2)) AS {c}" for c in (
+                "total_amount", "activity_reduce_amount", "coupon_reduce_amount",
+                "original_total_amount", "feight_fee")],
+            "CAST(NULL AS STRING) AS expire_time", "'2024-03-01 10:00:00' AS create_time",
+            "'' AS operate_time",
+        )
+        lines = spark.range(0, n, 1, 16).selectExpr(
+            "id", "IF(id % 3 = 0, 0, id % 1000) AS order_id", "id % 50 AS sku_id",
+            "CAST(1 AS DECIMAL(16,2)) AS order_price", "1L AS sku_num", "'s' AS sku_name",
+            "'2024-03-01 10:00:00' AS create_time",
+            *[f"CAST(id AS DECIMAL(16,2)) AS {c}" for c in (
+                "split_total_amount", "split_activity_amount", "split_coupon_amount")],
+        )
+        wide = orders.order_wide(placed, lines)
+        assert wide.count() == n
+        wide.collect()
+        plan = wide._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
