@@ -37,7 +37,8 @@ def read_topic(
 ) -> DataFrame:
     """A topic as a stream with one text column ``value``.
 
-    Name either the Kafka ``servers`` or the ``folder`` of topics.
+    Name either the Kafka ``servers`` or the ``folder`` of topics.  What a job
+    writes batch by batch is read as the pattern ``<folder>/batch=*``.
     """
     if servers:
         reader = spark.readStream.format("kafka").options(
@@ -46,10 +47,14 @@ def read_topic(
         return reader.load().select(F.col("value").cast("string").alias("value"))
     if not folder:
         raise ValueError("name Kafka servers or a folder")
-    reader = spark.readStream.schema(record(value=TEXT, topic=TEXT))
+    reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.text(folder).where(F.col("topic") == topic).select("value")
+    if "*" in folder:
+        return reader.schema(record(value=TEXT)).text(f"{folder}/topic={topic}")
+    # Through the folder, whose log lists the files that count.
+    whole = reader.schema(record(value=TEXT, topic=TEXT)).text(folder)
+    return whole.where(F.col("topic") == topic).select("value")
 
 
 def read_topic_table(
