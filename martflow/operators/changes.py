@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martflow import schemas
+from martflow.operators.joins import broadcast_if_small
 
 # Operation letters of the capture envelope and their names.
 OPERATIONS = {"c": "insert", "r": "read", "u": "update", "d": "delete"}
@@ -121,7 +122,7 @@ def route_changes(changes: DataFrame, config: DataFrame) -> DataFrame:
         F.when(F.col("type") == schemas.BOOTSTRAP_INSERT, "insert").otherwise(F.col("type")),
     )
     return (
-        typed.join(rules, ["table", "type"])
+        typed.join(broadcast_if_small(rules), ["table", "type"])
         .withColumn("data", project_columns("data", "sink_columns"))
         .select(*changes.columns, "sink_type", "sink_table", "sink_pk")
     )

@@ -15,6 +15,17 @@ ORDER_BOUND = timedelta(seconds=5)
 PAYMENT_BOUND = timedelta(seconds=1800)
 
 
+def sku_columns() -> dict[str, Column]:
+    """What a row takes from the sku dimension, whose columns are all texts."""
+    return {
+        "sku_name": F.col("sku_name"),
+        "sku_price": F.col("price").try_cast(schemas.MONEY),
+        "spu_id": F.col("spu_id").try_cast("bigint"),
+        "tm_id": F.col("tm_id").try_cast("bigint"),
+        "category3_id": F.col("category3_id").try_cast("bigint"),
+    }
+
+
 def _timed(df: DataFrame, text: str, name: str, delay: str) -> DataFrame:
     """Add the event time of a date-time text; without one a row joins nothing."""
     return with_event_time(df, delay, text_to_time(text), name)
@@ -88,19 +99,16 @@ def product_dimension(
     Joining the dimensions with each other first leaves a single lookup, and
     so at most a single shuffle, for the facts.
     """
-    product = skus.select(
-        "id",
-        "sku_name",
-        F.col("price").try_cast(schemas.MONEY).alias("sku_price"),
-        F.col("spu_id").try_cast("bigint").alias("spu_id"),
-        F.col("tm_id").try_cast("bigint").alias("tm_id"),
-        F.col("category3_id").try_cast("bigint").alias("category3_id"),
-    )
-    product = enrich(product, spus, {"spu_id": "id"}, {"spu_name": F.col("spu_name")})
-    product = enrich(
-        product, categories, {"category3_id": "id"}, {"category3_name": F.col("name")}
-    )
-    return enrich(product, trademarks, {"tm_id": "id"}, {"tm_name": F.col("tm_name")})
+    product = skus.select("id", *[c.alias(n) for n, c in sku_columns().items()])
+    return _with_names(product, spus, categories, trademarks)
+
+
+def _with_names(
+    df: DataFrame, spus: DataFrame, categories: DataFrame, trademarks: DataFrame
+) -> DataFrame:
+    df = enrich(df, spus, {"spu_id": "id"}, {"spu_name": F.col("spu_name")})
+    df = enrich(df, categories, {"category3_id": "id"}, {"category3_name": F.col("name")})
+    return enrich(df, trademarks, {"tm_id": "id"}, {"tm_name": F.col("tm_name")})
 
 
 def with_product(wide: DataFrame, products: DataFrame, price: bool = False) -> DataFrame:
@@ -112,6 +120,24 @@ def with_product(wide: DataFrame, products: DataFrame, price: bool = False) -> D
     return enrich(wide, products, {"sku_id": "id"}, {n: F.col(n) for n in names})
 
 
+def with_product_tables(
+    wide: DataFrame,
+    skus: DataFrame,
+    spus: DataFrame,
+    categories: DataFrame,
+    trademarks: DataFrame,
+    price: bool = False,
+) -> DataFrame:
+    """The same from the four tables, one lookup after the other.
+
+    For a micro-batch: joining the tables with each other costs what they hold,
+    looking a few rows up does not.
+    """
+    columns = {n: c for n, c in sku_columns().items() if price or n != "sku_price"}
+    named = enrich(wide, skus, {"sku_id": "id"}, columns)
+    return _with_names(named, spus, categories, trademarks)
+
+
 def payment_wide(
     payments: DataFrame,
     wide: DataFrame,

@@ -338,11 +338,11 @@ _BODIES = {
     "report_visitor_ratios": """
         SELECT *,
                CASE WHEN sv_ct = 0 THEN 0 ELSE
-                 round(CAST(uj_ct AS DOUBLE) * 100 / sv_ct, 2) END AS uj_rate,
+                 (uj_ct * 10000 * 2 + sv_ct) // (2 * sv_ct) / 100 END AS uj_rate,
                CASE WHEN sv_ct = 0 THEN 0 ELSE
-                 round(round(CAST(dur_sum AS DOUBLE) / sv_ct, 0) / 1000, 1) END AS dur_per_sv,
+                 ((dur_sum * 2 + sv_ct) // (2 * sv_ct) + 50) // 100 / 10 END AS dur_per_sv,
                CASE WHEN sv_ct = 0 THEN 0 ELSE
-                 round(CAST(pv_ct AS DOUBLE) / sv_ct, 2) END AS pv_per_sv
+                 (pv_ct * 100 * 2 + sv_ct) // (2 * sv_ct) / 100 END AS pv_per_sv
         FROM (SELECT is_new, CAST(sum(uv_ct) AS BIGINT) AS uv_ct,
                      CAST(sum(pv_ct) AS BIGINT) AS pv_ct, CAST(sum(sv_ct) AS BIGINT) AS sv_ct,
                      CAST(sum(uj_ct) AS BIGINT) AS uj_ct, CAST(sum(dur_sum) AS BIGINT) AS dur_sum

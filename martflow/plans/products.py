@@ -30,5 +30,8 @@ def product_measures(
 
 
 def with_product_dimension(product_rows: DataFrame, products: DataFrame) -> DataFrame:
-    """Names and price on aggregated rows: far fewer than the facts."""
+    """Names and price on aggregated rows: far fewer than the facts.
+
+    ``products`` is best a written table, of which Spark knows the size.
+    """
     return orders.with_product(product_rows, products, price=True)

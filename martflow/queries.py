@@ -211,12 +211,14 @@ def _order_wide(spark, sf, day=None):
 
 
 def _products(spark, sf):
-    return orders.product_dimension(
+    """The product dimension, written so that Spark knows its size when it plans."""
+    joined = orders.product_dimension(
         adapt.skus(spark, sf),
         adapt.spus(spark, sf),
         adapt.categories(spark, sf),
         adapt.trademarks(spark, sf),
     )
+    return stage(joined, "dim_product")
 
 
 def _order_wide_dims(spark, sf):

@@ -16,7 +16,6 @@ from pyspark.sql.streaming import StreamingQuery
 from martflow import schemas
 from martflow.functions.times import millis_to_day, with_event_time
 from martflow.operators import changes, keywords, logs, orders, stats, visits
-from martflow.plans import products
 from martflow.sinks.dimensions import Dimension, dimension_columns
 from martflow.sinks.results import append_results
 from martflow.sinks.topics import as_messages, write_messages
@@ -48,6 +47,15 @@ def start_batches(
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def dropped_late(query: StreamingQuery) -> int:
+    """Rows that came after their window was closed, in the recent batches."""
+    return sum(
+        operator.get("numRowsDroppedByWatermark", 0)
+        for progress in query.recentProgress
+        for operator in progress["stateOperators"]
+    )
+
+
 # --- logs -------------------------------------------------------------------
 
 
@@ -164,16 +172,14 @@ def write_order_wide(
         dims = read_dimensions()
         rows = orders.with_user(wide, dims["user"], as_of)
         rows = orders.with_province(rows, dims["province"])
-        rows = orders.with_product(rows, _product_dimension(dims))
+        rows = orders.with_product_tables(rows, *_product_tables(dims))
         write_messages(as_messages(rows, ORDER_WIDE), batch, servers, folder)
 
     return write
 
 
-def _product_dimension(dims: dict[str, DataFrame]) -> DataFrame:
-    return orders.product_dimension(
-        dims["sku"], dims["spu"], dims["category"], dims["trademark"]
-    )
+def _product_tables(dims: dict[str, DataFrame]) -> list[DataFrame]:
+    return [dims[name] for name in ("sku", "spu", "category", "trademark")]
 
 
 def payment_wide(
@@ -202,7 +208,7 @@ def visitor_stats(
 def product_stats(
     measures: DataFrame, window: str = stats.WINDOW, delay: str = "5 seconds"
 ) -> DataFrame:
-    """Product statistics of the measures of ``plans.products.product_measures``."""
+    """Statistics of the measures that ``plans.products.product_measures`` makes."""
     return stats.product_stats(measures, window, delay)
 
 
@@ -212,8 +218,10 @@ def write_product_stats(
     """Name a batch of product rows from the current dimensions and append it."""
 
     def write(rows: DataFrame, batch: int) -> None:
-        product = _product_dimension(read_dimensions())
-        append_results(products.with_product_dimension(rows, product), table, batch)
+        named = orders.with_product_tables(
+            rows, *_product_tables(read_dimensions()), price=True
+        )
+        append_results(named, table, batch)
 
     return write
 

@@ -160,7 +160,11 @@ def test_late_records_are_dropped(spark, topics, tmp_path):
     )
     pages = read_topic_table(spark, "pages", schemas.PAGE, folder=folder, files_per_batch=1)
     counts = stats.visitor_stats(stats.page_measures(pages), delay="3 seconds")
-    found = table_of(counts, tmp_path).where(f"ts < {LATER}")
+    query = counts.writeStream.format("parquet").option("path", f"{tmp_path}/out")
+    query = query.option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start()
+    run(query)
+    assert jobs.dropped_late(query) == 1
+    found = spark.read.schema(counts.schema).parquet(f"{tmp_path}/out").where(f"ts < {LATER}")
     assert {(r.stt[-5:], r.pv_ct) for r in found.collect()} == {
         ("00:00", 1), ("00:30", 1), ("00:50", 1), ("01:00", 1),
     }
