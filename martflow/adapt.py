@@ -6,6 +6,9 @@ so that some lookups miss.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,10 +32,19 @@ RULES = [
 ]
 
 
+Read = Callable[[SparkSession, str, str], DataFrame]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The same table as a stream; the pattern matches a file as well as a folder."""
+    schema = table(spark, sf_dir, name).schema
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parquet*")
+
+
 def _millis(column: str) -> Column:
     return F.unix_millis(F.col(column).cast("timestamp"))
 
@@ -42,14 +54,21 @@ def _money(column: Column | str) -> Column:
     return column.cast(schemas.MONEY)
 
 
+def _days(df: DataFrame, column: str, first: date, last: date) -> DataFrame:
+    """Rows of the days from ``first`` to ``last``, as a range that reaches the scan."""
+    start = F.to_timestamp_ntz(F.lit(f"{first} 00:00:00"))
+    end = F.to_timestamp_ntz(F.lit(f"{last + timedelta(days=1)} 00:00:00"))
+    return df.where((F.col(column) >= start) & (F.col(column) < end))
+
+
 def _text(column: Column | str) -> Column:
     return F.date_format(column, DATE_TIME)
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events(spark: SparkSession, sf_dir: str, read: Read = table) -> DataFrame:
     """Events with their time in ms and the number out of their JSON text."""
     props = F.from_json("props", "k BIGINT")
-    return table(spark, sf_dir, "events").select(
+    return read(spark, sf_dir, "events").select(
         "event_id", _millis("ts").alias("ts"), "user_id", "event_type", "value",
         props["k"].alias("k"),
     )
@@ -59,7 +78,7 @@ def _event_sku() -> Column:
     return F.col("user_id") * 14 + F.col("k") % 14
 
 
-def log_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def log_records(spark: SparkSession, sf_dir: str, read: Read = table) -> DataFrame:
     """App log records; events of type ``error`` are start records."""
     kind = F.col("event_type")
     sku = _event_sku().cast("string")
@@ -80,7 +99,7 @@ def log_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.col("k").cast("string").alias("item"), F.lit("activity_id").alias("item_type")),
     )
     start = F.create_map(F.lit("entry"), F.lit("icon"), F.lit("loading"), F.col("k").cast("string"))
-    return events(spark, sf_dir).select(
+    return events(spark, sf_dir, read).select(
         "event_id",
         F.struct(
             F.col("user_id").cast("string").alias("mid"),
@@ -108,9 +127,9 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def search_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def search_records(spark: SparkSession, sf_dir: str, read: Read = table) -> DataFrame:
     """Conversations as log records: what users say is their search text."""
-    return table(spark, sf_dir, "conversations").select(
+    return read(spark, sf_dir, "conversations").select(
         F.struct(
             F.when(F.col("role") == "user", "good_list").otherwise("chat").alias("page_id"),
             F.col("text").alias("item"),
@@ -184,10 +203,16 @@ def routing(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(RULES, schemas.ROUTING)
 
 
-def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def orders(
+    spark: SparkSession, sf_dir: str, day: date | None = None, read: Read = table
+) -> DataFrame:
+    """Orders, all of them or those of a day."""
     total = _money("o_totalprice")
     created = F.col("o_orderdate")
-    return table(spark, sf_dir, "orders").select(
+    placed = read(spark, sf_dir, "orders")
+    if day is not None:
+        placed = _days(placed, "o_orderdate", day, day)
+    return placed.select(
         F.col("o_orderkey").alias("id"),
         (F.col("o_custkey") % 27).alias("province_id"),
         F.col("o_orderstatus").alias("order_status"),
@@ -203,8 +228,15 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select(
+def details(
+    spark: SparkSession, sf_dir: str, day: date | None = None, read: Read = table
+) -> DataFrame:
+    """Order lines, all of them or those that may belong to orders of a day."""
+    lines = read(spark, sf_dir, "lineitem")
+    if day is not None:
+        bound = timedelta(days=ORDER_BOUND_DAYS)
+        lines = _days(lines, "l_shipdate", day - bound, day + bound)
+    return lines.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
         F.col("l_orderkey").alias("order_id"),
         (F.col("l_partkey") + 50).alias("sku_id"),

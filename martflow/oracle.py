@@ -310,6 +310,39 @@ _BODIES = {
                strftime(epoch_ms(ts // 10000 * 10000 + 10000), '%Y-%m-%d %H:%M:%S') AS edt,
                min(ts) AS ts
         FROM kw GROUP BY keyword, kw.ts // 10000""",
+    "stream_fix_is_new": "SELECT mid, is_new, ts FROM fx",
+    "stream_unique_visit": """
+        SELECT DISTINCT mid, strftime(epoch_ms(ts), '%Y%m%d') AS day FROM entries""",
+    "stream_user_jump": f"""
+        SELECT {_LOG} FROM uj
+        WHERE (ts // 21600000 + 1) * 21600000 <= (SELECT max(ts) FROM pg) - 21600000""",
+    "stream_visitor_stats": """
+        SELECT strftime(epoch_ms(day_ms), '%Y-%m-%d %H:%M:%S') AS stt,
+               strftime(epoch_ms(day_ms + 86400000), '%Y-%m-%d %H:%M:%S') AS edt,
+               vc, ch, ar, is_new, 0 AS uv_ct, count(*) AS pv_ct,
+               count(*) FILTER (WHERE coalesce(last_page_id, '') = '') AS sv_ct, 0 AS uj_ct,
+               CAST(coalesce(sum(during_time), 0) AS BIGINT) AS dur_sum, min(ts) AS ts
+        FROM (SELECT *, ts // 86400000 * 86400000 AS day_ms FROM pg)
+        WHERE day_ms + 86400000 <= (SELECT max(ts) FROM pg) - 3000
+        GROUP BY day_ms, vc, ch, ar, is_new""",
+    "stream_order_wide": """
+        SELECT detail_id, order_id, sku_id, split_total_amount, create_time FROM ow""",
+    "stream_product_stats": """
+        SELECT strftime(epoch_ms(day_ms), '%Y-%m-%d %H:%M:%S') AS stt, sku AS sku_id,
+               count(*) FILTER (WHERE page_id = 'good_detail') AS click_ct,
+               count(*) AS display_ct, min(ts) AS ts
+        FROM (SELECT *, ts // 86400000 * 86400000 AS day_ms FROM pg
+              WHERE event_type IN ('view', 'click'))
+        WHERE day_ms + 86400000 <= (SELECT max(ts) FROM pg
+                                    WHERE event_type IN ('view', 'click')) - 5000
+        GROUP BY day_ms, sku""",
+    "stream_keyword_stats": """
+        SELECT keyword, count(*) AS ct, 'SEARCH' AS source,
+               strftime(epoch_ms(slot), '%Y-%m-%d %H:%M:%S') AS stt,
+               strftime(epoch_ms(slot + 10000), '%Y-%m-%d %H:%M:%S') AS edt, min(ts) AS ts
+        FROM (SELECT keyword, ts, ts // 10000 * 10000 AS slot FROM kw)
+        WHERE slot + 10000 <= (SELECT max(ts) FROM kw) - 3000
+        GROUP BY keyword, slot""",
     "time_functions": """
         SELECT event_id, strftime(epoch_ms(ts), '%Y-%m-%d %H:%M:%S') AS text,
                ts // 1000 * 1000 AS millis, strftime(epoch_ms(ts), '%Y%m%d') AS day,
@@ -317,19 +350,19 @@ _BODIES = {
                strftime(epoch_ms(ts), '%Y-%m-%d %H:%M:%S') AS from_seconds, ts // 1000 AS seconds
         FROM ev""",
     "report_gmv": """
-        SELECT sum(order_amount) AS order_amount FROM ops WHERE stt = '1998-06-15 00:00:00'""",
+        SELECT sum(order_amount) AS order_amount FROM ops WHERE stt = '1999-12-11 00:00:00'""",
     "report_top_brand": """
         SELECT coalesce(tm_id, -1) AS tm_id, tm_name, sum(order_amount) AS order_amount
-        FROM ops WHERE stt = '1998-06-15 00:00:00' GROUP BY ops.tm_id, tm_name
+        FROM ops WHERE stt = '1999-12-11 00:00:00' GROUP BY ops.tm_id, tm_name
         HAVING sum(order_amount) > 0 ORDER BY order_amount DESC, tm_id LIMIT 20""",
     "report_top_category": """
         SELECT coalesce(category3_id, -1) AS category3_id, category3_name,
                sum(order_amount) AS order_amount
-        FROM ops WHERE stt = '1998-06-15 00:00:00' GROUP BY ops.category3_id, category3_name
+        FROM ops WHERE stt = '1999-12-11 00:00:00' GROUP BY ops.category3_id, category3_name
         HAVING sum(order_amount) > 0 ORDER BY order_amount DESC, category3_id LIMIT 10""",
     "report_province": """
         SELECT province_id, province_name, sum(split_total_amount) AS order_amount
-        FROM owp WHERE o_orderdate = TIMESTAMP '1998-06-15' GROUP BY 1, 2""",
+        FROM owp WHERE o_orderdate = TIMESTAMP '1999-12-11' GROUP BY 1, 2""",
     "report_visitor": """
         SELECT is_new, CAST(sum(uv_ct) AS BIGINT) AS uv_ct, CAST(sum(pv_ct) AS BIGINT) AS pv_ct,
                CAST(sum(sv_ct) AS BIGINT) AS sv_ct, CAST(sum(uj_ct) AS BIGINT) AS uj_ct,
@@ -364,6 +397,7 @@ _AMOUNTS = {
     "order_wide_user": ["order_price"],
     "order_wide_dims": ["order_price"],
     "order_wide_merge": ["total_amount", "split_total_amount"],
+    "stream_order_wide": ["split_total_amount"],
     "province_stats": ["order_amount"],
     "product_stats": ["order_amount", "payment_amount", "refund_amount"],
     "product_stats_dims": ["order_amount", "sku_price"],

@@ -15,25 +15,25 @@ TOP_BRANDS = 20
 TOP_CATEGORIES = 10
 
 
-def _day(number: int) -> date:
+def day_of(number: int) -> date:
     """A ``yyyyMMdd`` number as a date; 0 is today."""
     if number == 0:
         return datetime.now(timezone.utc).date()
     return datetime.strptime(str(number), "%Y%m%d").date()
 
 
-def on_day(table: DataFrame, number: int = 0, column: str = "stt") -> DataFrame:
-    """Rows whose date-time text, by default the window start, is on a day.
+def on_day(table: DataFrame, number: int = 0) -> DataFrame:
+    """Rows whose window starts on a day.
 
     A range on the plain column, so that it reaches the scan; where the table
     is partitioned by ``day`` only that partition is listed.
     """
-    first = _day(number)
+    first = day_of(number)
     if "day" in table.columns:
         table = table.where(F.col("day") == F.lit(first.strftime("%Y%m%d")))
     start = f"{first} 00:00:00"
     end = f"{first + timedelta(days=1)} 00:00:00"
-    return table.where((F.col(column) >= start) & (F.col(column) < end))
+    return table.where((F.col("stt") >= start) & (F.col("stt") < end))
 
 
 def gmv(product_stats: DataFrame, day: int = 0) -> DataFrame:

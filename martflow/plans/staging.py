@@ -31,3 +31,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{staging_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_stream(stream: DataFrame, name: str) -> DataFrame:
+    """Run a stream over the input there is, and read back what it has written.
+
+    What a watermark still holds open is not among it.
+    """
+    spark = stream.sparkSession
+    path = f"{staging_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    writer = stream.writeStream.format("parquet").outputMode("append")
+    writer = writer.option("checkpointLocation", f"{path}/checkpoint")
+    query = writer.trigger(availableNow=True).start(f"{path}/table")
+    query.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{path}/table")

@@ -14,8 +14,9 @@ from martflow import adapt, schemas
 from martflow.functions import times
 from martflow.operators import changes, joins, keywords, logs, orders, stats, visits
 from martflow.plans import products, reports, visitors
-from martflow.plans.staging import stage
+from martflow.plans.staging import stage, stage_stream
 from martflow.session import tune
+from martflow.streaming import jobs, repair
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -24,7 +25,7 @@ QUERIES: dict[str, Query] = {}
 EVENT_WINDOW = "1 day"
 ORDER_BOUND = timedelta(days=adapt.ORDER_BOUND_DAYS)
 AS_OF = date(2024, 6, 1)
-ORDER_DAY = 19980615
+ORDER_DAY = 19991211
 EVENT_DAY = 20240115
 
 
@@ -203,11 +204,11 @@ def to_json_rows(spark, sf):
 
 
 def _order_wide(spark, sf, day=None):
-    """All wide orders, or those of one day, which is where a report's filter ends up."""
-    placed = adapt.orders(spark, sf)
-    if day is not None:
-        placed = reports.on_day(placed, day, "create_time")
-    return orders.order_wide(placed, adapt.details(spark, sf), ORDER_BOUND)
+    """All wide orders, or those of the one day that a report asks for."""
+    day = None if day is None else reports.day_of(day)
+    return orders.order_wide(
+        adapt.orders(spark, sf, day), adapt.details(spark, sf, day), ORDER_BOUND
+    )
 
 
 def _products(spark, sf):
@@ -378,6 +379,74 @@ def keyword_stats(spark, sf):
     return stats.keyword_stats(words)
 
 
+# --- streams ----------------------------------------------------------------
+# The tables as streams, through the jobs.  Windows that the end of the input
+# leaves open are not in the results.
+
+
+@query
+def stream_fix_is_new(spark, sf):
+    lines = adapt.log_records(spark, sf, adapt.stream).select(
+        F.to_json(F.struct("common", "page", "displays", "start", "ts")).alias("value")
+    )
+    fixed = stage_stream(repair.fix_is_new(lines), "fixed")
+    return fixed.select("common.mid", "common.is_new", "ts")
+
+
+def _page_stream(spark, sf):
+    return logs.split_page(adapt.log_records(spark, sf, adapt.stream))
+
+
+@query
+def stream_unique_visit(spark, sf):
+    """Devices and days; which of a day's entries comes first depends on arrival."""
+    found = stage_stream(jobs.unique_visit(_page_stream(spark, sf)), "unique_visit")
+    return found.select("common.mid", times.millis_to_day("ts").alias("day"))
+
+
+@query
+def stream_user_jump(spark, sf):
+    found = visits.user_jump(
+        _page_stream(spark, sf).select("event_id", "common", "page", "ts"),
+        adapt.BOUNCE_LIMIT_MS,
+        adapt.VISIT_ORDER,
+    )
+    return _flat_log(stage_stream(found, "user_jump"))
+
+
+@query
+def stream_visitor_stats(spark, sf):
+    """Page views, visits and durations per closed window."""
+    measures = stats.page_measures(_page_stream(spark, sf))
+    return stage_stream(stats.visitor_stats(measures, EVENT_WINDOW), "visitor_stats")
+
+
+@query
+def stream_order_wide(spark, sf):
+    joined = jobs.order_wide(
+        adapt.orders(spark, sf, read=adapt.stream),
+        adapt.details(spark, sf, read=adapt.stream),
+        ORDER_BOUND,
+    )
+    kept = joined.select("detail_id", "order_id", "sku_id", "split_total_amount", "create_time")
+    return stage_stream(kept, "order_wide")
+
+
+@query
+def stream_product_stats(spark, sf):
+    """Clicks and displays per closed window, by the two-step aggregate."""
+    pages = _page_stream(spark, sf)
+    measures = stats.product_union(stats.product_clicks(pages), stats.product_displays(pages))
+    found = jobs.product_stats(measures, EVENT_WINDOW)
+    return stage_stream(found.select("stt", "sku_id", "click_ct", "display_ct", "ts"), "product")
+
+
+@query
+def stream_keyword_stats(spark, sf):
+    pages = adapt.search_records(spark, sf, adapt.stream)
+    return stage_stream(jobs.keyword_stats(pages), "keyword_stats")
+
+
 # --- functions --------------------------------------------------------------
 
 

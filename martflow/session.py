@@ -14,12 +14,13 @@ RUNTIME_SETTINGS = {
     # join, even where that costs a later operator one more shuffle.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Stream state outgrows the heap, and only its changes go to the checkpoint.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
-STREAM_STATE_PROVIDER = (
-    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-)
-
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session and return it."""
@@ -37,11 +38,6 @@ def build_session(
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    merged = {
-        **RUNTIME_SETTINGS,
-        "spark.sql.streaming.stateStore.providerClass": STREAM_STATE_PROVIDER,
-        **(settings or {}),
-    }
-    for name, value in merged.items():
+    for name, value in {**RUNTIME_SETTINGS, **(settings or {})}.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()

@@ -1,9 +1,10 @@
 """Dimension tables that take upserts of single columns.
 
-A table is a folder with ``changes``, one folded batch each, and from time to
-time a ``base`` that holds everything up to a batch.  Writing a batch costs what the
-batch holds, whatever the table's size; reading folds the newest base with the
-batches after it.  A repeated batch replaces itself.
+A table is a folder with a ``base`` that holds everything up to a batch, and the
+folded ``changes`` of each batch since.  Writing a batch costs what the batch
+holds, whatever the table's size.  Reading scans the newest base and folds only
+the keys that have changed since.  A repeated batch replaces itself.  Bases that
+a newer one has replaced are left for whoever cleans up.
 """
 
 from __future__ import annotations
@@ -45,12 +46,11 @@ class Dimension:
     columns: tuple[str, ...]
     pk: str = "id"
 
-    def _schema(self, partition: str) -> T.StructType:
+    def _schema(self) -> T.StructType:
         cell = record(value=TEXT, at=_AT)
         return T.StructType(
             record(_pk=TEXT, _deleted_at=_AT, _written_at=_AT).fields
             + [T.StructField(name, cell) for name in self.columns]
-            + [T.StructField(partition, LONG)]
         )
 
     def _read(self, spark: SparkSession, part: str, schema: T.StructType) -> DataFrame:
@@ -74,15 +74,19 @@ class Dimension:
             ORDER,
             keep_state=True,
         )
-        folded.write.mode("overwrite").parquet(f"{self.folder}/changes/batch={batch}")
+        since = self._compacted_to(changes.sparkSession)
+        folded.write.mode("overwrite").parquet(
+            f"{self.folder}/changes/since={since}/batch={batch}"
+        )
 
     def _state(self, spark: SparkSession) -> DataFrame:
         upto = self._compacted_to(spark)
-        base = self._read(spark, "base", self._schema("upto")).where(F.col("upto") == upto)
-        later = self._read(spark, "changes", self._schema("batch")).where(F.col("batch") > upto)
-        return merge_folds(
-            base.drop("upto").unionByName(later.drop("batch")), list(self.columns)
-        )
+        base = self._read(spark, f"base/upto={upto}", self._schema())
+        later = self._read(spark, f"changes/since={upto}", self._schema()).select(base.columns)
+        changed = later.select("_pk").distinct()
+        same = base.join(changed, "_pk", "left_anti")
+        old = base.join(changed, "_pk", "left_semi")
+        return same.unionByName(merge_folds(old.unionByName(later), list(self.columns)))
 
     def current(self, spark: SparkSession) -> DataFrame:
         """The table as it is now, one row per key."""
@@ -94,6 +98,8 @@ class Dimension:
         The base counts once it is listed, so a failed compaction leaves the
         table as it was.
         """
+        if upto <= self._compacted_to(spark):
+            return
         self._state(spark).write.mode("overwrite").parquet(f"{self.folder}/base/upto={upto}")
         listed = spark.createDataFrame([(upto,)], record(upto=LONG))
         listed.coalesce(1).write.mode("append").parquet(f"{self.folder}/bases")

@@ -121,14 +121,16 @@ def base_db(
         config = read_config()
         usable = changes.valid_changes(read_changes(arrived))
         routed = changes.route_changes(usable, config).persist()
-        write_messages(changes.fact_messages(routed), batch, fact_servers, fact_folder)
-        dims = changes.dimension_changes(routed)
-        for dimension in dimensions_of(config, dimension_folder):
-            table = dimension.folder.rsplit("/", 1)[1]
-            dimension.write(dims.where(F.col("sink_table") == table), batch)
-            if batch % compact_every == compact_every - 1:
-                dimension.compact(spark, batch)
-        routed.unpersist()
+        try:
+            write_messages(changes.fact_messages(routed), batch, fact_servers, fact_folder)
+            dims = changes.dimension_changes(routed)
+            for dimension in dimensions_of(config, dimension_folder):
+                table = dimension.folder.rsplit("/", 1)[1]
+                dimension.write(dims.where(F.col("sink_table") == table), batch)
+                if batch % compact_every == compact_every - 1:
+                    dimension.compact(spark, batch)
+        finally:
+            routed.unpersist()
 
     return write
 
