@@ -19,6 +19,8 @@ RUNTIME_SETTINGS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # One store per partition of a stream join instead of four.
+    "spark.sql.streaming.join.stateFormatVersion": "3",
 }
 
 
