@@ -29,13 +29,24 @@ def interval_join(
     right_time: str,
     lower: timedelta,
     upper: timedelta,
+    salts: int = 1,
 ) -> DataFrame:
     """Inner join on ``keys`` with ``right_time`` in left_time + [lower, upper].
 
     Both bounds belong to the interval.  The time columns need names of their
     own; in a stream both carry a watermark, from which Spark derives when the
     join may forget a row.
+
+    In batch Spark splits a hot key at run time.  A stream is planned without
+    that: ``salts`` above 1 spreads the right rows of each key over as many
+    tasks, and gives each of them a copy of the key's left rows.
     """
+    if salts > 1:
+        every = F.array(*[F.lit(n) for n in range(salts)])
+        left = left.select("*", F.explode(every).alias("left_salt"))
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in right.columns]), F.lit(salts))
+        right = right.select("*", salt.cast("int").alias("right_salt"))
+        keys = keys & (F.col("left_salt") == F.col("right_salt"))
     return left.join(
         right,
         keys

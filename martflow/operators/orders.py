@@ -40,18 +40,18 @@ def order_wide(
     details: DataFrame,
     bound: timedelta = ORDER_BOUND,
     delay: str = "0 seconds",
+    salts: int = 1,
 ) -> DataFrame:
     """Order lines joined with their order, created at most ``bound`` apart."""
-    left = _timed(orders, "create_time", "order_time", delay).alias("o")
-    right = _timed(details, "create_time", "detail_time", delay).alias("d")
     joined = interval_join(
-        left,
-        right,
+        _timed(orders, "create_time", "order_time", delay).alias("o"),
+        _timed(details, "create_time", "detail_time", delay).alias("d"),
         F.col("o.id") == F.col("d.order_id"),
         "order_time",
         "detail_time",
         -bound,
         bound,
+        salts,
     )
     values = {
         "detail_id": F.col("d.id"),
@@ -143,22 +143,22 @@ def payment_wide(
     wide: DataFrame,
     bound: timedelta = PAYMENT_BOUND,
     delay: str = "0 seconds",
+    salts: int = 1,
 ) -> DataFrame:
     """Payments joined with the lines of an order created at most ``bound`` before.
 
     Where both sides have a column, the payment's value is taken.  One row per
     order line.
     """
-    left = _timed(payments, "callback_time", "callback_at", delay).alias("p")
-    right = _timed(wide, "create_time", "order_at", delay).alias("w")
     joined = interval_join(
-        left,
-        right,
+        _timed(payments, "callback_time", "callback_at", delay).alias("p"),
+        _timed(wide, "create_time", "order_at", delay).alias("w"),
         F.col("p.order_id") == F.col("w.order_id"),
         "callback_at",
         "order_at",
         -bound,
         timedelta(0),
+        salts,
     )
     from_payment = ["subject", "payment_type", "callback_time", "order_id", "user_id", "total_amount"]
     not_carried = ["expire_time", "create_time", "operate_time", "create_date", "create_hour"]

@@ -53,22 +53,25 @@ def repair_flag(
     return new.unionByName(records.where(~flagged))
 
 
-def fix_is_new(records: DataFrame, log: DataFrame | None = None) -> DataFrame:
-    """Clear the new flag on records after the device's first flagged day.
-
-    ``log`` is where the first days are taken from, by default ``records``.
-    Time decides, not arrival, so the result does not depend on input order.
-    """
+def fix_is_new_by(records: DataFrame, first_days: DataFrame) -> DataFrame:
+    """Clear the new flag on records of another day than the device's first."""
     flat = records.withColumn("_mid_of", F.col("common.mid")).withColumn(
         "_flag", F.col("common.is_new")
     )
-    days = first_visit_days(records if log is None else log)
-    fixed = repair_flag(flat, days, "_mid_of", "_flag", "ts")
+    fixed = repair_flag(flat, first_days, "_mid_of", "_flag", "ts")
     return fixed.withColumn(
         "common", F.col("common").withField("is_new", F.col("_flag"))
     ).select(records.columns)
 
 
+def fix_is_new(records: DataFrame) -> DataFrame:
+    """Clear the new flag on records after the device's first flagged day.
+
+    Time decides, not arrival, so the result does not depend on input order.
+    """
+    return fix_is_new_by(records, first_visit_days(records))
+
+
 def session_entries(pages: DataFrame) -> DataFrame:
     """Page records that open a visit."""
     return pages.where(is_entry())

@@ -304,6 +304,7 @@ _BODIES = {
                           coalesce(tm_id, -1) AS tm_id, coalesce(category3_id, -1) AS category3_id)
         FROM ops""",
     "keyword_tokens": "SELECT keyword, ts FROM kw",
+    "keyword_lateral": "SELECT keyword, ts FROM kw",
     "keyword_stats": """
         SELECT keyword, count(*) AS ct, 'SEARCH' AS source,
                strftime(epoch_ms(ts // 10000 * 10000), '%Y-%m-%d %H:%M:%S') AS stt,

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from martflow import adapt, schemas
 from martflow.functions import times
+from martflow.functions.text import register_tokenizer
 from martflow.operators import changes, joins, keywords, logs, orders, stats, visits
 from martflow.plans import products, reports, visitors
 from martflow.plans.staging import stage, stage_stream
@@ -345,18 +346,27 @@ def product_stats(spark, sf):
     return _product_stats(spark, sf)
 
 
-def _order_product_stats(spark, sf, day=None):
-    """Product rows of orders only, with names: what the rankings read."""
+def _order_product_rows(spark, sf, day=None):
+    """Product rows of orders only."""
     wide = _order_wide(spark, sf, day)
-    rows = stats.product_stats(
-        stats.product_union(stats.product_orders(wide)), EVENT_WINDOW
+    return stats.product_stats(stats.product_union(stats.product_orders(wide)), EVENT_WINDOW)
+
+
+def _named_rows_of_day(spark, sf, day):
+    """A day's product rows with names: few rows, looked up table by table."""
+    return orders.with_product_tables(
+        _order_product_rows(spark, sf, day),
+        adapt.skus(spark, sf),
+        adapt.spus(spark, sf),
+        adapt.categories(spark, sf),
+        adapt.trademarks(spark, sf),
+        price=True,
     )
-    return products.with_product_dimension(rows, _products(spark, sf))
 
 
 @query
 def product_stats_dims(spark, sf):
-    rows = _order_product_stats(spark, sf)
+    rows = products.with_product_dimension(_order_product_rows(spark, sf), _products(spark, sf))
     ids = [F.coalesce(c, F.lit(-1)).alias(c) for c in ("spu_id", "tm_id", "category3_id")]
     return rows.select(
         "stt", "sku_id", "order_amount", "order_ct", "order_sku_num", "sku_name",
@@ -373,6 +383,14 @@ def keyword_tokens(spark, sf):
     return keywords.keyword_tokens(keywords.searches(adapt.search_records(spark, sf)))
 
 
+@query
+def keyword_lateral(spark, sf):
+    """The same tokens by the table function, in SQL."""
+    register_tokenizer(spark)
+    keywords.searches(adapt.search_records(spark, sf)).createOrReplaceTempView("searches")
+    return spark.sql("SELECT s AS keyword, ts FROM searches, LATERAL ik_analyze(fullword)")
+
+
 @query
 def keyword_stats(spark, sf):
     words = keywords.keyword_tokens(keywords.searches(adapt.search_records(spark, sf)))
@@ -470,18 +488,18 @@ def time_functions(spark, sf):
 
 @query
 def report_gmv(spark, sf):
-    return reports.gmv(_order_product_stats(spark, sf, ORDER_DAY), ORDER_DAY)
+    return reports.gmv(_order_product_rows(spark, sf, ORDER_DAY), ORDER_DAY)
 
 
 @query
 def report_top_brand(spark, sf):
-    found = reports.top_brands(_order_product_stats(spark, sf, ORDER_DAY), ORDER_DAY)
+    found = reports.top_brands(_named_rows_of_day(spark, sf, ORDER_DAY), ORDER_DAY)
     return found.withColumn("tm_id", F.coalesce("tm_id", F.lit(-1)))
 
 
 @query
 def report_top_category(spark, sf):
-    found = reports.top_categories(_order_product_stats(spark, sf, ORDER_DAY), ORDER_DAY)
+    found = reports.top_categories(_named_rows_of_day(spark, sf, ORDER_DAY), ORDER_DAY)
     return found.withColumn("category3_id", F.coalesce("category3_id", F.lit(-1)))
 
 

@@ -82,15 +82,39 @@ def base_log(lines: DataFrame) -> DataFrame:
     return split_messages(repair.fix_is_new(lines))
 
 
-def unique_visit(pages: DataFrame, delay: str = "1 day") -> DataFrame:
+def write_base_log(
+    day_folder: str, folder: str | None = None, servers: str | None = None
+) -> Callable[[DataFrame, int], None]:
+    """The same, batch by batch, for large batches and hot devices.
+
+    First days are kept below ``day_folder``.
+    """
+
+    def write(lines: DataFrame, batch: int) -> None:
+        records = logs.parse_log(lines).persist()
+        try:
+            fixed = repair.fix_batch(records, batch, day_folder)
+            write_messages(split_messages(fixed), batch, servers, folder)
+        finally:
+            records.unpersist()
+
+    return write
+
+
+def unique_visit(pages: DataFrame, delay: str = "1 day", salts: int = 8) -> DataFrame:
     """The first entry to arrive of each device and day.
 
-    A day's key is remembered for as long as entries of that day may come.
+    A day's key is remembered for as long as entries of that day may come.  A
+    device's entries are thinned out on ``salts`` tasks before they meet on one.
     """
     keyed = with_event_time(visits.session_entries(pages), delay).select(
-        "*", F.col("common.mid").alias("_mid"), millis_to_day("ts").alias("_day")
+        "*",
+        F.col("common.mid").alias("_mid"),
+        millis_to_day("ts").alias("_day"),
+        F.pmod(F.xxhash64("ts", "page", "common"), F.lit(salts)).alias("_salt"),
     )
-    return keyed.dropDuplicatesWithinWatermark(["_mid", "_day"]).select(pages.columns)
+    thinned = keyed.dropDuplicatesWithinWatermark(["_mid", "_day", "_salt"])
+    return thinned.dropDuplicatesWithinWatermark(["_mid", "_day"]).select(pages.columns)
 
 
 def user_jump(pages: DataFrame, limit_ms: int = 10_000, late_ms: int = 0) -> DataFrame:
@@ -158,8 +182,9 @@ def order_wide(
     details_in: DataFrame,
     bound: timedelta = orders.ORDER_BOUND,
     delay: str = "0 seconds",
+    salts: int = 8,
 ) -> DataFrame:
-    return orders.order_wide(orders_in, details_in, bound, delay)
+    return orders.order_wide(orders_in, details_in, bound, delay, salts)
 
 
 def write_order_wide(
@@ -189,8 +214,9 @@ def payment_wide(
     wide: DataFrame,
     bound: timedelta = orders.PAYMENT_BOUND,
     delay: str = "0 seconds",
+    salts: int = 8,
 ) -> DataFrame:
-    return orders.payment_wide(payments, wide, bound, delay)
+    return orders.payment_wide(payments, wide, bound, delay, salts)
 
 
 # --- statistics -------------------------------------------------------------

@@ -1,4 +1,10 @@
-"""New-flag repair on a stream: one remembered day per device."""
+"""New-flag repair on a stream: one remembered day per device.
+
+Two ways to remember.  :func:`fix_is_new` keeps the days in the query's state,
+for short micro-batches; a device's records of one batch meet in one task.
+:func:`fix_batch` keeps them in a table, for large micro-batches, and repairs
+each with the batch operators, which split a hot device.
+"""
 
 from __future__ import annotations
 
@@ -6,13 +12,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from martflow.functions.times import millis_to_day
 from martflow.operators.logs import parse_log
-from martflow.schemas import TEXT, record
+from martflow.operators.visits import first_visit_days, fix_is_new_by
+from martflow.schemas import LONG, TEXT, record
 
 
 class FirstVisit(StatefulProcessor):
@@ -64,3 +72,30 @@ def fix_is_new(lines: DataFrame) -> DataFrame:
         "common", F.col("common").withField("is_new", F.col("is_new"))
     ).drop("is_new")
     return records.unionByName(with_text.where(~flagged).drop("_value"))
+
+
+def _known_days(spark: SparkSession, folder: str, before: int) -> DataFrame:
+    """Days stored by the batches before one, so that a repeat ignores itself."""
+    schema = record(mid=TEXT, first_day=TEXT, batch=LONG)
+    try:
+        known = spark.read.schema(schema).parquet(folder)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        known = spark.createDataFrame([], schema)
+    return known.where(F.col("batch") < before).drop("batch")
+
+
+def fix_batch(records: DataFrame, batch: int, folder: str) -> DataFrame:
+    """Repair a micro-batch of records by the days kept in ``folder``.
+
+    Stores the days of the devices it is the first to flag, and returns the
+    repaired records.  Within the batch event time decides.
+    """
+    spark = records.sparkSession
+    here = first_visit_days(records)
+    known = _known_days(spark, folder, batch).join(here.select("mid"), "mid", "left_semi")
+    new = here.join(known.select("mid"), "mid", "left_anti")
+    new.write.mode("overwrite").parquet(f"{folder}/batch={batch}")
+    stored = spark.read.schema(new.schema).parquet(f"{folder}/batch={batch}")
+    return fix_is_new_by(records, known.unionByName(stored))

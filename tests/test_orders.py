@@ -57,6 +57,14 @@ def test_order_bounds_are_inclusive(spark):
     assert wide.schema.names == schemas.ORDER_WIDE.names
 
 
+def test_salted_join_gives_the_same_rows(spark):
+    placed = make(spark, schemas.ORDER_INFO, *[order(i) for i in range(4)])
+    lines = make(spark, schemas.ORDER_DETAIL, *[detail(i, 0 if i % 3 else i % 4) for i in range(60)])
+    plain, salted = (orders.order_wide(placed, lines, salts=n) for n in (1, 8))
+    assert sorted(r.detail_id for r in salted.collect()) == list(range(60))
+    assert salted.exceptAll(plain).count() == 0 and salted.columns == plain.columns
+
+
 def pay(id, order_id, called, **more):
     return {"id": id, "order_id": order_id, "user_id": 77, "total_amount": D("29.99"),
             "create_time": "2024-03-01 10:01:00", "callback_time": called, "subject": "s", **more}

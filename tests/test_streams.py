@@ -12,7 +12,7 @@ from martflow.plans import products
 from martflow.sinks.topics import as_messages, stream_messages
 from martflow.sources.logs import read_log_lines, stream_log_lines
 from martflow.sources.topics import kafka_options, read_topic, read_topic_table
-from martflow.streaming import jobs
+from martflow.streaming import jobs, repair
 from test_logs import SAMPLE, frame, page
 from test_orders import detail, order, pay
 
@@ -74,7 +74,19 @@ def random_log(seed, n, span, step=1000):
     ]
 
 
-def test_base_log_repairs_splits_and_survives_a_restart(spark, topics, tmp_path):
+def by_file(stream, checkpoint, out):
+    """Base log in the query's state."""
+    return stream_messages(jobs.base_log(stream), checkpoint, folder=out)
+
+
+def by_batch(stream, checkpoint, out):
+    """Base log with its first days in a table."""
+    write = jobs.write_base_log(f"{out}-days", out)
+    return jobs.start_batches(stream, write, checkpoint)
+
+
+@pytest.mark.parametrize("start", [by_file, by_batch])
+def test_base_log_repairs_splits_and_survives_a_restart(spark, topics, tmp_path, start):
     records = random_log(1, 120, 4 * DAY)
     for r in records[::7]:
         r["start"] = {"entry": "icon"}
@@ -84,8 +96,7 @@ def test_base_log_repairs_splits_and_survives_a_restart(spark, topics, tmp_path)
     out, checkpoint = f"{tmp_path}/dwd", f"{tmp_path}/cp"
 
     def job(folder):
-        lines = stream_log_lines(spark, f"{folder}/topic=ods", 1)
-        run(stream_messages(jobs.base_log(lines), checkpoint, folder=out))
+        run(start(stream_log_lines(spark, f"{folder}/topic=ods", 1), checkpoint, out))
 
     folder = topics("ods", [*one, "broken {"], two)
     job(folder)
@@ -95,14 +106,31 @@ def test_base_log_repairs_splits_and_survives_a_restart(spark, topics, tmp_path)
     written = spark.read.text(out)
     pages = logs.parse_text(written.where(f"topic = '{jobs.PAGE_LOG}'").select("value"), schemas.PAGE)
     flags = ["common.mid", "ts", "common.is_new", "page.page_id", "page.during_time"]
-    assert rows(pages.selectExpr(*[f"{f} AS c{i}" for i, f in enumerate(flags)])) == rows(
-        logs.split_page(fixed).selectExpr(*[f"{f} AS c{i}" for i, f in enumerate(flags)])
-    )
+    flat = [f"{f} AS c{i}" for i, f in enumerate(flags)]
+    assert rows(pages.selectExpr(*flat)) == rows(logs.split_page(fixed).selectExpr(*flat))
     assert written.where(f"topic = '{jobs.START_LOG}'").count() == logs.split_start(fixed).count()
     displays = written.where(f"topic = '{jobs.DISPLAY_LOG}'")
     shown = logs.parse_text(displays.select("value"), logs.split_display(fixed).schema)
     assert rows(shown) == rows(logs.split_display(fixed))
 
+    # The next job reads the topic that this one has written.
+    source = out if start is by_file else f"{out}/batch=*"
+    topic = read_topic_table(spark, jobs.PAGE_LOG, schemas.PAGE, folder=source)
+    assert rows(table_of(topic.selectExpr(*flat), f"{tmp_path}/next")) == rows(pages.selectExpr(*flat))
+
+
+def test_a_repeated_batch_gives_the_same_flags(spark, tmp_path):
+    day = lambda n, is_new="1": page("a", n * DAY, is_new=is_new)
+    batches = [[day(2), day(1)], [day(1), day(3)], [page("b", 5 * DAY, is_new="1"), day(2)]]
+    for n in (0, 1, 1, 2, 2):
+        fixed = repair.fix_batch(frame(spark, batches[n]), n, f"{tmp_path}/days")
+        flags = {(r.common.mid, r.ts // DAY, r.common.is_new) for r in fixed.collect()}
+        expected = [
+            {("a", 1, "1"), ("a", 2, "0")}, {("a", 1, "1"), ("a", 3, "0")},
+            {("b", 5, "1"), ("a", 2, "0")},
+        ]
+        assert flags == expected[n]
+
 
 def test_bounces(spark, topics, tmp_path):
     folder = topics("pages", SAMPLE[:2], SAMPLE[2:], [page("end", LATER)])
