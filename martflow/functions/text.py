@@ -1,4 +1,4 @@
-"""Keyword tokens."""
+"""JSON text and keyword tokens."""
 
 from __future__ import annotations
 
@@ -15,6 +15,11 @@ SEPARATORS = r"[^\p{L}\p{N}]+"
 TOKENIZER = "ik_analyze"
 
 
+def map_text(data: Column | str) -> Column:
+    """A map as JSON text; like a record's, its null fields are left out."""
+    return F.to_json(F.map_filter(data, lambda _, value: value.isNotNull()))
+
+
 def tokens(text: Column | str) -> Column:
     """Array of the lower-case tokens of a text, repeated ones included."""
     return F.filter(F.split(F.lower(text), SEPARATORS), lambda t: t != "")

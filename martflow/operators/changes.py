@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martflow import schemas
+from martflow.functions.text import map_text
 from martflow.operators.joins import broadcast_if_small
 
 # Operation letters of the capture envelope and their names.
@@ -43,7 +44,7 @@ def valid_changes(changes: DataFrame) -> DataFrame:
     return changes.where(
         (F.length("table") > 0)
         & F.col("data").isNotNull()
-        & (F.length(F.to_json("data")) > 3)
+        & (F.length(map_text("data")) > 3)
     )
 
 
@@ -135,7 +136,7 @@ def dimension_changes(routed: DataFrame) -> DataFrame:
 def fact_messages(routed: DataFrame) -> DataFrame:
     """Topic and message text of each change that goes to a fact topic."""
     return routed.where(F.col("sink_type") == schemas.SINK_FACT).select(
-        F.col("sink_table").alias("topic"), F.to_json("data").alias("value")
+        F.col("sink_table").alias("topic"), map_text("data").alias("value")
     )
 
 

@@ -11,35 +11,41 @@ from martflow import schemas
 CORRUPT = "_corrupt"
 
 
+def _parsed(lines: DataFrame, column: str, schema: T.StructType, name: str) -> DataFrame:
+    """Add a column of records, parsed from JSON text.
+
+    Numbers come as numbers or as text, so all values are read as text and cast
+    afterwards; what cannot be cast is null.  The explode is a fence: a filter
+    that is pushed below the projection would parse the text again for every
+    field it looks at.
+    """
+    texts = T.StructType(
+        schemas.as_text(schema).fields + [T.StructField(CORRUPT, T.StringType())]
+    )
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    target = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
+    raw = F.from_json(column, texts, options)
+    fenced = lines.select("*", F.explode(F.array(raw)).alias(name))
+    return fenced.withColumn(name, F.col(name).try_cast(target))
+
+
 def parse_text(
     lines: DataFrame, schema: T.StructType, column: str = "value"
 ) -> DataFrame:
     """JSON text to typed columns; text that is no such record becomes nulls.
 
-    Other columns of ``lines`` are kept.  The explode is a fence: a filter that
-    is pushed below the projection would parse the text again for every field
-    it looks at.
+    Other columns of ``lines`` are kept.
     """
     kept = [c for c in lines.columns if c != column]
-    fenced = lines.select(*kept, F.explode(F.array(F.from_json(column, schema))).alias("_r"))
-    return fenced.select(*kept, "_r.*")
-
-
-def _parsed(lines: DataFrame) -> DataFrame:
-    schema = T.StructType(schemas.LOG.fields + [T.StructField(CORRUPT, T.StringType())])
-    record = F.from_json(
-        "value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    )
-    # Fenced as in parse_text.
-    fenced = lines.select("*", F.explode(F.array(record)).alias("r"))
-    return fenced.withColumn("_ts", F.col("r.ts").try_cast("bigint"))
+    parsed = _parsed(lines, column, schema, "_r")
+    return parsed.select(*kept, *[F.col("_r")[f].alias(f) for f in schema.names])
 
 
 def _usable() -> Column:
     return F.coalesce(
-        F.col(f"r.{CORRUPT}").isNull()
-        & F.col("r.common.mid").isNotNull()
-        & F.col("_ts").isNotNull(),
+        F.col(f"_r.{CORRUPT}").isNull()
+        & F.col("_r.common.mid").isNotNull()
+        & F.col("_r.ts").isNotNull(),
         F.lit(False),
     )
 
@@ -51,25 +57,14 @@ def parse_log(lines: DataFrame) -> DataFrame:
     are required, everything else may be missing.
     """
     kept = [c for c in lines.columns if c != "value"]
-    page = F.when(
-        F.col("r.page").isNotNull(),
-        F.col("r.page").withField(
-            "during_time", F.col("r.page.during_time").try_cast("bigint")
-        ),
-    )
-    return _parsed(lines).where(_usable()).select(
-        *kept,
-        F.col("r.common").alias("common"),
-        page.alias("page"),
-        F.col("r.displays").alias("displays"),
-        F.col("r.start").alias("start"),
-        F.col("_ts").alias("ts"),
-    )
+    parsed = _parsed(lines, "value", schemas.PAGE, "_r").where(_usable())
+    return parsed.select(*kept, *[F.col("_r")[f].alias(f) for f in schemas.PAGE.names])
 
 
 def rejected_lines(lines: DataFrame) -> DataFrame:
     """The lines :func:`parse_log` leaves out, as they came."""
-    return _parsed(lines).where(~_usable()).select(lines.columns)
+    parsed = _parsed(lines, "value", schemas.PAGE, "_r")
+    return parsed.where(~_usable()).select(lines.columns)
 
 
 def is_start() -> Column:

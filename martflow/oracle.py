@@ -228,7 +228,10 @@ _BODIES = {
               FROM chg WHERE tbl = 'user_info' GROUP BY id) m
         WHERE written > gone""",
     "to_json_rows": """
-        SELECT '{"sku_id":' || (l_partkey + 50) || ',"order_id":' || l_orderkey
+        SELECT 'dwd_order_refund_info' AS topic,
+               '{"sku_id":' || (l_partkey + 50) || ',"order_id":' || l_orderkey
+               || CASE WHEN l_discount > 0 THEN ',"refund_amount":'
+                       || CAST(l_extendedprice AS DECIMAL(16,2)) ELSE '' END
                || ',"create_time":"' || strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') || '"}' AS value
         FROM lineitem WHERE l_returnflag = 'R'""",
     "order_wide": "SELECT * EXCLUDE (o_orderdate, o_custkey, l_partkey) FROM ow",

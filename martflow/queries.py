@@ -17,6 +17,7 @@ from martflow.operators import changes, joins, keywords, logs, orders, stats, vi
 from martflow.plans import products, reports, visitors
 from martflow.plans.staging import stage, stage_stream
 from martflow.session import tune
+from martflow.sinks.topics import as_messages
 from martflow.streaming import jobs, repair
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -195,10 +196,9 @@ def dim_upsert(spark, sf):
 
 @query
 def to_json_rows(spark, sf):
-    """Change messages as JSON text; null fields are left out."""
-    return adapt.refunds(spark, sf).select(
-        F.to_json(F.struct("sku_id", "order_id", "create_time")).alias("value")
-    )
+    """Refunds as JSON text; a missing amount is left out."""
+    rows = adapt.refunds(spark, sf).select("sku_id", "order_id", "refund_amount", "create_time")
+    return as_messages(rows, "dwd_order_refund_info")
 
 
 # --- orders -----------------------------------------------------------------

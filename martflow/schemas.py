@@ -14,22 +14,25 @@ def record(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(n, t) for n, t in fields.items()])
 
 
-def _log(number: T.DataType) -> T.StructType:
-    return record(
-        common=record(mid=TEXT, vc=TEXT, ch=TEXT, ar=TEXT, is_new=TEXT),
-        page=record(page_id=TEXT, last_page_id=TEXT, item=TEXT, during_time=number),
-        displays=T.ArrayType(record(item=TEXT, item_type=TEXT)),
-        start=TEXT_MAP,
-        ts=number,
-    )
-
-
-# App log record.  Numbers arrive as numbers or as text, so the two long
-# fields are read as text first and cast afterwards (operators.logs).
-LOG = _log(TEXT)
-
-# The same record once parsed, as the page, visit and bounce tables keep it.
-PAGE = _log(LONG)
+def as_text(data_type: T.DataType) -> T.DataType:
+    """The same shape with every plain value as text."""
+    if isinstance(data_type, T.StructType):
+        return record(**{f.name: as_text(f.dataType) for f in data_type.fields})
+    if isinstance(data_type, T.ArrayType):
+        return T.ArrayType(as_text(data_type.elementType))
+    if isinstance(data_type, T.MapType):
+        return T.MapType(TEXT, as_text(data_type.valueType))
+    return TEXT
+
+
+# App log record, also as the page, visit and bounce topics carry it.
+PAGE = record(
+    common=record(mid=TEXT, vc=TEXT, ch=TEXT, ar=TEXT, is_new=TEXT),
+    page=record(page_id=TEXT, last_page_id=TEXT, item=TEXT, during_time=LONG),
+    displays=T.ArrayType(record(item=TEXT, item_type=TEXT)),
+    start=TEXT_MAP,
+    ts=LONG,
+)
 
 # Change event after normalizing.
 CHANGE = record(database=TEXT, table=TEXT, type=TEXT, data=TEXT_MAP)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from martflow import schemas
+from martflow.functions.text import map_text
 from martflow.functions.times import millis_to_day, with_event_time
 from martflow.operators import changes, keywords, logs, orders, stats, visits
 from martflow.sinks.dimensions import Dimension, dimension_columns
@@ -61,7 +62,7 @@ def dropped_late(query: StreamingQuery) -> int:
 
 def split_messages(records: DataFrame) -> DataFrame:
     """Start, page and display messages of log records, in one pass."""
-    start = F.struct(F.lit(START_LOG).alias("topic"), F.to_json("start").alias("value"))
+    start = F.struct(F.lit(START_LOG).alias("topic"), map_text("start").alias("value"))
     whole = F.to_json(F.struct(*schemas.PAGE.names))
     page = F.struct(F.lit(PAGE_LOG).alias("topic"), whole.alias("value"))
     shown = F.transform(

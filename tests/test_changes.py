@@ -1,9 +1,11 @@
 """Change events: normalizing, routing, folding, the dimension store."""
 
 import json
+from decimal import Decimal
 
 from martflow import schemas
 from martflow.operators import changes
+from martflow.operators.logs import parse_text
 from martflow.sinks.dimensions import Dimension, dimension_columns, dimension_schema
 from martflow.sources.changes import read_changes, read_envelopes, snapshot_as_changes
 
@@ -49,7 +51,7 @@ def test_envelopes(spark):
 def test_validity(spark):
     df = events(spark, [
         ("t", "insert", {"id": "1"}), ("", "insert", {"id": "1"}), (None, "insert", {"id": "1"}),
-        ("t", "insert", None), ("t", "delete", {}),
+        ("t", "insert", None), ("t", "delete", {}), ("t", "insert", {"id": None}),
     ])
     assert [r.seq for r in changes.valid_changes(df).collect()] == [0]
 
@@ -78,7 +80,7 @@ def test_routing(spark):
     }
     assert changes.dimension_changes(routed).count() == 1
     messages = {r.topic: json.loads(r.value) for r in changes.fact_messages(routed).collect()}
-    assert messages == {"dwd_o": {"id": "2", "a": "b"}, "dwd_ou": {"id": "3", "a": None}}
+    assert messages == {"dwd_o": {"id": "2", "a": "b"}, "dwd_ou": {"id": "3"}}
 
 
 def test_columns_are_not_trimmed(spark):
@@ -167,3 +169,15 @@ def test_read_changes_keeps_other_columns(spark):
     assert df.first().asDict() == {
         "seq": 5, "database": "d", "table": "t", "type": "insert", "data": {"id": "1", "x": None},
     }
+
+
+def test_numbers_may_be_text(spark):
+    texts = [
+        '{"id": 8, "total_amount": 3.5, "create_time": "2024-03-01 10:00:00"}',
+        '{"id": "8", "total_amount": "3.50", "create_time": "2024-03-01 10:00:00"}',
+        '{"id": "eight", "total_amount": 3.5, "create_time": "2024-03-01 10:00:00"}',
+    ]
+    lines = spark.createDataFrame([(t,) for t in texts], "value STRING")
+    rows = parse_text(lines, schemas.ORDER_INFO).select("id", "total_amount", "create_time").collect()
+    assert rows[0] == rows[1] == (8, Decimal("3.50"), "2024-03-01 10:00:00")
+    assert rows[2] == (None, Decimal("3.50"), "2024-03-01 10:00:00")

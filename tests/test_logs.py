@@ -190,3 +190,15 @@ def test_hot_device_needs_no_ranking(spark):
     for df in plans:
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Window [" not in plan and "partial_" in plan
+
+
+def test_input_order_does_not_matter(spark):
+    rng = random.Random(11)
+    records = [
+        page(f"d{rng.randrange(4)}", ts, "p", rng.choice([None, "q"]), rng.choice(["0", "1"]), 5)
+        for ts in rng.sample(range(0, 2 * DAY, 500), 200)
+    ]
+    frames = frame(spark, records), frame(spark, rng.sample(records, len(records))).repartition(7)
+    for operator in (visits.fix_is_new, visits.unique_visit, visitors.visitor_stats):
+        one, two = (sorted(map(str, operator(f).collect())) for f in frames)
+        assert one == two and one
