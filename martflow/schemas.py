@@ -39,7 +39,11 @@ CHANGE = record(database=TEXT, table=TEXT, type=TEXT, data=TEXT_MAP)
 
 # Raw change-capture envelope.
 ENVELOPE = record(
-    op=TEXT, before=TEXT_MAP, after=TEXT_MAP, source=record(db=TEXT, table=TEXT)
+    op=TEXT,
+    before=TEXT_MAP,
+    after=TEXT_MAP,
+    source=record(db=TEXT, table=TEXT),
+    ts_ms=LONG,
 )
 
 ROUTING = record(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martflow import schemas
-from martflow.operators.changes import normalize_envelopes
+from martflow.operators.changes import latest_config, normalize_envelopes
 from martflow.operators.logs import parse_text
 
 
@@ -16,6 +16,11 @@ def read_envelopes(lines: DataFrame) -> DataFrame:
     return normalize_envelopes(parsed)
 
 
+def read_routing(spark: SparkSession, folder: str) -> DataFrame:
+    """The routing rules in force, from a folder of the rule table's envelopes."""
+    return latest_config(read_envelopes(spark.read.text(folder)), ["ts_ms"])
+
+
 def read_changes(lines: DataFrame) -> DataFrame:
     """Change-event texts to columns."""
     return parse_text(lines, schemas.CHANGE)

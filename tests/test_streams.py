@@ -10,6 +10,7 @@ from martflow import schemas
 from martflow.operators import keywords, logs, orders, stats, visits
 from martflow.plans import products
 from martflow.sinks.topics import as_messages, stream_messages
+from martflow.sources.changes import read_routing
 from martflow.sources.logs import read_log_lines, stream_log_lines
 from martflow.sources.topics import kafka_options, read_topic, read_topic_table
 from martflow.streaming import jobs, repair
@@ -317,10 +318,20 @@ def change(table, kind, **data):
     return {"database": "shop", "table": table, "type": kind, "data": data}
 
 
+def rule(ts, op, before=None, **after):
+    return {"op": op, "ts_ms": ts, "before": before, "after": after or None,
+            "source": {"db": "shop", "table": "table_process"}}
+
+
 def test_changes_are_routed_by_the_rules_of_the_moment(spark, topics, tmp_path):
-    rules = [("user", "insert", "hbase", "dim_user", "id,name,city", None, None),
-             ("user", "update", "hbase", "dim_user", "id,name", None, None)]
-    read_rules = lambda: spark.createDataFrame(rules, schemas.ROUTING)
+    user = {"source_table": "user", "sink_type": "hbase", "sink_table": "dim_user"}
+    rules = topics("rules", [
+        rule(1, "r", operate_type="insert", sink_columns="id,name,city", **user),
+        rule(1, "r", operate_type="update", sink_columns="id", **user),
+        rule(2, "u", operate_type="update", sink_columns="id,name", **user),
+        rule(1, "r", source_table="cart", operate_type="insert", sink_type="kafka", sink_table="dwd_cart"),
+    ])
+    read_rules = lambda: read_routing(spark, rules)
     dims, facts, checkpoint = (f"{tmp_path}/{n}" for n in ("dims", "facts", "cp"))
 
     def job(folder):
@@ -333,9 +344,13 @@ def test_changes_are_routed_by_the_rules_of_the_moment(spark, topics, tmp_path):
         [change("user", "bootstrap-insert", id=1, name="a", city="x"), change("order", "insert", id=7)],
         [change("user", "insert", id=2, name="b", city="y"), change("user", "update", id=1, name="c", city="!")],
     ))
-    rules.append(("order", "insert", "kafka", "dwd_order", "", None, None))
-    rules.append(("user", "delete", "hbase", "dim_user", "id", None, None))
+    topics("rules", [
+        rule(3, "c", source_table="order", operate_type="insert", sink_type="kafka", sink_table="dwd_order"),
+        rule(3, "c", operate_type="delete", sink_columns="id", **user),
+        rule(3, "d", {"source_table": "cart", "operate_type": "insert"}),
+    ])
     job(topics("db", [
+        change("cart", "insert", id=5),
         change("order", "insert", id=8, total=3),
         change("user", "delete", id=2, name="b"),
         "not json",
