@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martflow import adapt, schemas
+from martflow import adapt
 from martflow.functions import times
 from martflow.functions.text import register_tokenizer
 from martflow.operators import changes, joins, keywords, logs, orders, stats, visits

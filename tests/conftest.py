@@ -14,7 +14,7 @@ def spark():
         "martflow-tests",
         "local[8]",
         {
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "8g",
             "spark.driver.host": "127.0.0.1",

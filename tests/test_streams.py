@@ -3,6 +3,7 @@
 import json
 import os
 import random
+from decimal import Decimal
 
 import pytest
 
@@ -305,6 +306,56 @@ def test_orders_payments_and_their_statistics_equal_batch(spark, topics, tmp_pat
     assert rows(stored.select(expected.columns)) == rows(expected)
 
 
+def test_product_stats_of_all_seven_sources_equal_batch(spark, topics, tmp_path):
+    rng = random.Random(9)
+    placed, lines, paid = shop_tables(spark, shop(rng, 20))
+    wide = orders.order_wide(placed, lines)
+    wide_paid = orders.payment_wide(paid, wide)
+    base = 1709287200000  # 2024-03-01 10:00:00
+    pages = [{**r, "ts": r["ts"] + base} for r in random_log(8, 60, 1_500_000)]
+    for r in pages[::3]:
+        r["displays"] = [{"item": "6", "item_type": "sku_id"}]
+
+    def acts(n, **more):
+        return [
+            {"sku_id": rng.choice([5, 6]), "create_time": f"2024-03-01 10:{rng.randrange(20):02d}:07", **more}
+            for _ in range(n)
+        ]
+
+    actions = {
+        "cart": acts(15), "favor": acts(15),
+        "refund": acts(10, order_id=3, refund_amount="2.50") + acts(5, order_id=4),
+        "comment": acts(9, appraise="1201") + acts(4, appraise="1204"),
+    }
+    late = "2030-01-01 00:00:00"
+    shapes = {
+        "page": (schemas.PAGE, pages, page("end", base + LATER, "good_detail", item="1")),
+        "wide": (schemas.ORDER_WIDE, [r.value for r in as_messages(wide, "").collect()],
+                 {"sku_id": 1, "create_time": late}),
+        "paid": (wide_paid.schema, [r.value for r in as_messages(wide_paid, "").collect()],
+                 {"sku_id": 1, "order_create_time": late}),
+        **{n: (schemas.PRODUCT_ACTION, a, {"sku_id": 1, "create_time": late}) for n, a in actions.items()},
+    }
+    streams = [
+        read_topic_table(spark, n, schema, folder=topics(n, found, [end]), files_per_batch=1)
+        for n, (schema, found, end) in shapes.items()
+    ]
+    found = table_of(jobs.product_stats(products.product_measures(*streams)), tmp_path)
+    tables = [
+        spark.createDataFrame(
+            [{**dict.fromkeys(schemas.PRODUCT_ACTION.names), **r,
+              "refund_amount": Decimal(r["refund_amount"]) if "refund_amount" in r else None} for r in a],
+            schemas.PRODUCT_ACTION,
+        )
+        for a in actions.values()
+    ]
+    expected = stats.product_stats(
+        products.product_measures(frame(spark, pages), wide, wide_paid, *tables)
+    )
+    assert rows(found.where("sku_id <> 1")) == rows(expected)
+    assert expected.where("refund_order_ct > 0").count() and expected.where("paid_order_ct > 0").count()
+
+
 def test_keywords_equal_batch(spark, topics, tmp_path):
     records = [page("a", i * 700, "good_list", item=f"red ring {i % 5}") for i in range(100)]
     folder = topics("pages", *sliced(records, 3), [page("end", LATER, "good_list", item="end")])
