@@ -183,7 +183,7 @@ def order_wide(
     details_in: DataFrame,
     bound: timedelta = orders.ORDER_BOUND,
     delay: str = "0 seconds",
-    salts: int = 8,
+    salts: int = 4,
 ) -> DataFrame:
     return orders.order_wide(orders_in, details_in, bound, delay, salts)
 
@@ -215,7 +215,7 @@ def payment_wide(
     wide: DataFrame,
     bound: timedelta = orders.PAYMENT_BOUND,
     delay: str = "0 seconds",
-    salts: int = 8,
+    salts: int = 4,
 ) -> DataFrame:
     return orders.payment_wide(payments, wide, bound, delay, salts)
 
