@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from martflow.llm.packing import op3_cost_balanced_packing
 from martflow.llm.token_shards import op1_token_shards
 
 QUERIES = {
     "op1_token_shards": op1_token_shards,
+    "op3_cost_balanced_packing": op3_cost_balanced_packing,
 }
 
 ORACLE: dict[str, str] = {}

@@ -1,0 +1,123 @@
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+from martflow.llm import packing  # noqa: E402
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+def check_pieces(lengths, pieces, capacity):
+    own, sequences = defaultdict(list), defaultdict(list)
+    for doc, start, length, sequence, offset in pieces:
+        assert length > 0
+        own[doc].append((start, length))
+        sequences[sequence].append((offset, length))
+    for doc, length in enumerate(lengths):
+        at = 0
+        for start, part in sorted(own[doc]):
+            assert start == at
+            at += part
+        assert at == length
+    for parts in sequences.values():
+        at = 0
+        for offset, part in sorted(parts):
+            assert offset == at
+            at += part
+        assert at <= capacity
+    total = sum(lengths)
+    assert len(sequences) * capacity - total < capacity or not total
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 70), max_size=60), st.integers(1, 32))
+def test_each_id_once_and_little_padding(lengths, capacity):
+    check_pieces(lengths, packing.pack_lengths(lengths, capacity), capacity)
+
+
+def test_costs_are_even():
+    lengths = np.random.default_rng(5).integers(20, 2000, 5000).tolist()
+    cost = defaultdict(float)
+    for _, _, length, sequence, _ in packing.pack_lengths(lengths):
+        cost[sequence] += length + length * length / 1024
+    greedy, room, at = defaultdict(float), 0, -1
+    for length in lengths:  # documents in their order, sequences filled one by one
+        if length > room:
+            at, room = at + 1, 2048
+        room -= length
+        greedy[at] += length + length * length / 1024
+    assert np.std(list(cost.values())) < np.std(list(greedy.values()))
+
+
+def test_lowest_cost_with_room_takes_the_piece():
+    pieces = packing.pack_lengths([6, 5, 4, 3], 9)
+    by_doc = {doc: sequence for doc, _, _, sequence, _ in pieces}
+    assert by_doc == {0: 0, 1: 1, 2: 1, 3: 0}
+
+
+def whole(rows):
+    from tokenizers import Tokenizer
+
+    encoded = Tokenizer.from_file(PATH).encode_batch(
+        [t or "" for _, t in rows], add_special_tokens=False
+    )
+    return [np.array([*e.ids, 1], "<u4") for e in encoded]
+
+
+def check_result(got, rows):
+    ids = defaultdict(list)
+    for (doc, _), own in zip(rows, whole(rows), strict=True):
+        ids[doc].append(own)
+    sequences = defaultdict(list)
+    pieces = defaultdict(list)
+    for r in got:
+        sequences[r.sequence_id].append((r.offset, r.length))
+        pieces[r.doc_id].append(r)
+    assert set(pieces) == set(ids)
+    for doc, parts in pieces.items():
+        assert sum(r.length for r in parts) == sum(map(len, ids[doc]))
+        for r in parts:
+            assert any(
+                len(own) == r.doc_tokens
+                and zlib.crc32(own[r.start : r.start + r.length].tobytes()) == r.ids_crc32
+                for own in ids[doc]
+            )
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 2048
+
+
+@pytest.mark.parametrize("shard_bytes", [1 << 20, 4000])
+def test_pack_odd_rows(spark, shard_bytes):
+    rows = [(i, "word " * (i * 37 % 900)) for i in range(60)]
+    rows += [(None, "no id"), (None, None), (7, ""), (8, "same"), (8, "same"), (9, "x " * 9000)]
+    docs = spark.createDataFrame(
+        [(*r, 1, "s") for r in rows], "doc_id long, text string, length long, shard string"
+    )
+    got = packing.pack(docs, PATH, shard_bytes=shard_bytes).collect()
+    check_result(got, rows)
+    again = packing.pack(docs, PATH, shard_bytes=shard_bytes).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert packing.pack(docs, PATH).count() == 0
+
+
+def test_query_on_whole_table(spark):
+    import duckdb
+
+    got = packing.op3_cost_balanced_packing(spark, "/root/testdata/sf0.001").collect()
+    path = "/root/testdata/sf0.001/documents.parquet"
+    check_result(got, duckdb.sql(f"select doc_id, text from '{path}'").fetchall())
+    tokens = sum(r.length for r in got)
+    assert len({r.sequence_id for r in got}) * 2048 < tokens + 2048
