@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from martflow.llm.line_frequency import OP9_SQL, op9_line_frequency
 from martflow.llm.packing import op3_cost_balanced_packing
 from martflow.llm.token_shards import op1_token_shards
 
 QUERIES = {
     "op1_token_shards": op1_token_shards,
     "op3_cost_balanced_packing": op3_cost_balanced_packing,
+    "op9_line_frequency": op9_line_frequency,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op9_line_frequency": OP9_SQL,
+}
