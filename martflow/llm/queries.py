@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from martflow.llm.line_frequency import OP9_SQL, op9_line_frequency
+from martflow.llm.mixing import OP10_SQL, op10_systematic_mix
 from martflow.llm.packing import op3_cost_balanced_packing
 from martflow.llm.token_shards import op1_token_shards
 
@@ -10,8 +11,10 @@ QUERIES = {
     "op1_token_shards": op1_token_shards,
     "op3_cost_balanced_packing": op3_cost_balanced_packing,
     "op9_line_frequency": op9_line_frequency,
+    "op10_systematic_mix": op10_systematic_mix,
 }
 
 ORACLE: dict[str, str] = {
     "op9_line_frequency": OP9_SQL,
+    "op10_systematic_mix": OP10_SQL,
 }
