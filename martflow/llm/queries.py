@@ -5,11 +5,13 @@ from __future__ import annotations
 from martflow.llm.line_frequency import OP9_SQL, op9_line_frequency
 from martflow.llm.mixing import OP10_SQL, op10_systematic_mix
 from martflow.llm.packing import op3_cost_balanced_packing
+from martflow.llm.piece_counts import op7_viterbi_counts
 from martflow.llm.token_shards import op1_token_shards
 
 QUERIES = {
     "op1_token_shards": op1_token_shards,
     "op3_cost_balanced_packing": op3_cost_balanced_packing,
+    "op7_viterbi_counts": op7_viterbi_counts,
     "op9_line_frequency": op9_line_frequency,
     "op10_systematic_mix": op10_systematic_mix,
 }
