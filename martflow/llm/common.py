@@ -37,6 +37,17 @@ def parts_for(total: int | None, per_part: int) -> int:
     return max(1, -(-int(total or 0) // per_part))
 
 
+def small_side(staged: DataFrame, limit: int = 32 << 20) -> DataFrame:
+    """A written table, to be broadcast if its files are small; else Spark shuffles.
+
+    The size is that of the files, which Spark has listed; nothing is run for it.
+    """
+    plan = staged._jdf.queryExecution().optimizedPlan()
+    if int(plan.stats().sizeInBytes()) <= limit:
+        return F.broadcast(staged)
+    return staged
+
+
 def open_store(uri: str):
     """The file system of a folder and the folder's path in it.
 

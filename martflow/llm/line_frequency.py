@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.llm.common import spare, table
+from martflow.llm.common import small_side, spare, table
 from martflow.plans.staging import stage
 
 LEAST_WORDS = 10
@@ -261,7 +261,7 @@ def keep_good(documents: DataFrame, host: str = "source") -> DataFrame:
     bad = depleted_rows(rows, often).filter("depleted").select("row")
     bad = rows.join(bad, "row", "left_semi").filter(~base_failed())
     bad = stage(bad.select("host", "text_key").distinct(), "depleted-texts")
-    bad = bad.select(F.col("host").alias("bad_host"), F.col("text_key").alias("bad_key"))
+    bad = small_side(bad.select(F.col("host").alias("bad_host"), F.col("text_key").alias("bad_key")))
 
     names = {c: f"c{i}" for i, c in enumerate(documents.columns)}
     inner = documents.select([F.col(f"`{c}`").alias(n) for c, n in names.items()])
