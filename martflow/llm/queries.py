@@ -5,12 +5,14 @@ from __future__ import annotations
 from martflow.llm.line_frequency import OP9_SQL, op9_line_frequency
 from martflow.llm.mixing import OP10_SQL, op10_systematic_mix
 from martflow.llm.near_texts import op6_probminhash
+from martflow.llm.near_vectors import op2_sorted_projections
 from martflow.llm.packing import op3_cost_balanced_packing
 from martflow.llm.piece_counts import op7_viterbi_counts
 from martflow.llm.token_shards import op1_token_shards
 
 QUERIES = {
     "op1_token_shards": op1_token_shards,
+    "op2_sorted_projections": op2_sorted_projections,
     "op3_cost_balanced_packing": op3_cost_balanced_packing,
     "op6_probminhash": op6_probminhash,
     "op7_viterbi_counts": op7_viterbi_counts,
