@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from martflow.llm.byte_language import op8_byte_language
 from martflow.llm.line_frequency import OP9_SQL, op9_line_frequency
 from martflow.llm.mixing import OP10_SQL, op10_systematic_mix
 from martflow.llm.near_texts import op6_probminhash
@@ -16,6 +17,7 @@ QUERIES = {
     "op3_cost_balanced_packing": op3_cost_balanced_packing,
     "op6_probminhash": op6_probminhash,
     "op7_viterbi_counts": op7_viterbi_counts,
+    "op8_byte_language": op8_byte_language,
     "op9_line_frequency": op9_line_frequency,
     "op10_systematic_mix": op10_systematic_mix,
 }
