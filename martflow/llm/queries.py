@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from martflow.llm.byte_language import op8_byte_language
+from martflow.llm.license_scan import op5_license_scan
 from martflow.llm.line_frequency import OP9_SQL, op9_line_frequency
 from martflow.llm.mixing import OP10_SQL, op10_systematic_mix
 from martflow.llm.near_texts import op6_probminhash
@@ -15,6 +16,7 @@ QUERIES = {
     "op1_token_shards": op1_token_shards,
     "op2_sorted_projections": op2_sorted_projections,
     "op3_cost_balanced_packing": op3_cost_balanced_packing,
+    "op5_license_scan": op5_license_scan,
     "op6_probminhash": op6_probminhash,
     "op7_viterbi_counts": op7_viterbi_counts,
     "op8_byte_language": op8_byte_language,
