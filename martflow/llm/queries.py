@@ -10,12 +10,14 @@ from martflow.llm.near_texts import op6_probminhash
 from martflow.llm.near_vectors import op2_sorted_projections
 from martflow.llm.packing import op3_cost_balanced_packing
 from martflow.llm.piece_counts import op7_viterbi_counts
+from martflow.llm.site_quality import op4_site_quality
 from martflow.llm.token_shards import op1_token_shards
 
 QUERIES = {
     "op1_token_shards": op1_token_shards,
     "op2_sorted_projections": op2_sorted_projections,
     "op3_cost_balanced_packing": op3_cost_balanced_packing,
+    "op4_site_quality": op4_site_quality,
     "op5_license_scan": op5_license_scan,
     "op6_probminhash": op6_probminhash,
     "op7_viterbi_counts": op7_viterbi_counts,
