@@ -13,10 +13,10 @@ with the probability Jaccard similarity of their weights.
 3. Each class of a bucket is held against the bucket's least class, if the signatures
    agree well enough, by the whole shingle sets. A pair links when its Jaccard or its
    probability Jaccard similarity is at least ``threshold``.
-4. Links make components. In buckets that still hold several components, all pairs
-   across them are looked at in blocks of signatures and verified likewise; pairs within
-   a component need no look. So no candidate is lost, and a large group of copies,
-   which its least members hold together, is never compared pair by pair.
+4. Links make components. In buckets that still hold several components, blocks of
+   their members are held against each other, and pairs across components are verified
+   likewise until the components are one; pairs within a component need no look. So no
+   candidate is lost, and no pair is emitted but the links that unite components.
 
 Nothing is collected: groups are split by joins and blocks, and the shingle sets are
 made only for classes that share a bucket.
@@ -43,7 +43,7 @@ BANDS = 25
 BAND_ROWS = 5
 # Signatures of a pair at the threshold agree less with a chance below 1 in 100,000.
 LEAST_AGREEMENT = 0.65
-_BLOCK = 512
+_BLOCK = 256
 _ROWS = 1000
 
 
@@ -65,12 +65,12 @@ def shingles(texts, words: int = WORDS):
     import xxhash
 
     rows = len(texts)
-    texts = pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
     split = pc.ascii_split_whitespace(texts)
     coded = split.flatten().dictionary_encode()
     codes = coded.indices.to_numpy(zero_copy_only=False)
     docs = np.repeat(np.arange(rows), np.diff(split.offsets.to_numpy()))
-    kinds = coded.dictionary.cast(pa.large_binary()).to_pylist()
+    kinds = pc.ascii_lower(coded.dictionary).cast(pa.large_binary()).to_pylist()
     if b"" in kinds:
         real = codes != kinds.index(b"")
         docs, codes = docs[real], codes[real]
@@ -181,7 +181,7 @@ def _with_text_keys(documents: DataFrame, *more: str) -> DataFrame:
 
 
 def _banded(batches):
-    """For ``mapInArrow``: a row (bucket, id) for each band of a class."""
+    """For ``mapInArrow``: a row (bucket, band, id) for each band of a class."""
     import pyarrow as pa
 
     for batch in batches:
@@ -193,9 +193,14 @@ def _banded(batches):
             key = np.broadcast_to(key, held.shape[:2])
             for k in range(BAND_ROWS):
                 key = _mix(key * np.uint64(0x9FB21C651E98DF25) + held[:, :, k])
+        bands = np.tile(np.arange(BANDS, dtype=np.int32), len(ids))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(key.reshape(-1).view(np.int64)), pa.array(np.repeat(ids, BANDS))],
-            names=["bucket", "id"],
+            [
+                pa.array(key.reshape(-1).view(np.int64)),
+                pa.array(bands),
+                pa.array(np.repeat(ids, BANDS)),
+            ],
+            names=["bucket", "band", "id"],
         )
 
 
@@ -261,27 +266,62 @@ def _verified(threshold: float):
     return verify
 
 
-def _across(key, frame):
-    """For ``applyInPandas``: pairs of two blocks of a bucket, across components."""
-    import pandas as pd
-
-    low, high = key[1], key[2]
-    one = frame[frame.block == low]
-    two = frame[frame.block == high]
-    width = BANDS * BAND_ROWS
-    signs = [np.frombuffer(b"".join(x.sign), "<u4").reshape(-1, width) for x in (one, two)]
-    ids, others = one.id.to_numpy(), two.id.to_numpy()
-    found = []
-    for i in range(len(ids)):
-        apart = two.component.to_numpy() != one.component.to_numpy()[i]
-        if low == high:
-            apart &= others > ids[i]
-        at = np.flatnonzero(apart)
-        same = (signs[1][at] == signs[0][i]).mean(axis=1)
-        at = at[same >= LEAST_AGREEMENT]
-        found.append(np.stack([np.minimum(others[at], ids[i]), np.maximum(others[at], ids[i])], 1))
-    found = np.concatenate(found) if found else np.empty((0, 2), np.int64)
-    return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
+def _across(threshold: float):
+    """For ``applyInPandas``: links between components, in two blocks of a bucket.
+
+    Pairs that agree in an earlier band are left to that band's bucket. The most alike
+    come first, and a pair whose components are united by then needs no look.
+    """
+
+    def compare(key, frame):
+        import pandas as pd
+
+        _, band, low, high = key
+        one, two = frame[frame.block == low], frame[frame.block == high]
+        signs = [np.frombuffer(b"".join(x.sign), "<u4") for x in (one, two)]
+        signs = [x.reshape(-1, BANDS, BAND_ROWS) for x in signs]
+        ids = [x.id.to_numpy() for x in (one, two)]
+        held = [x.component.to_numpy() for x in (one, two)]
+        pairs = []
+        for i in range(len(one)):
+            apart = held[1] != held[0][i]
+            if low == high:
+                apart &= ids[1] > ids[0][i]
+            at = np.flatnonzero(apart)
+            same = signs[1][at] == signs[0][i]
+            alike = same.mean(axis=(1, 2))
+            first = same.all(axis=2).argmax(axis=1) == band
+            some = first & (alike >= LEAST_AGREEMENT)
+            pairs += zip((-alike[some]).tolist(), [i] * int(some.sum()), at[some].tolist(), strict=True)
+        root: dict[int, int] = {}
+
+        def find(component):
+            while component in root:
+                component = root[component]
+            return component
+
+        sets = [_sets(x) for x in (one, two)]
+        links = []
+        for _, i, j in sorted(pairs):
+            a, b = find(held[0][i]), find(held[1][j])
+            if a != b:
+                found = similarity(*sets[0][i], *sets[1][j])
+                if max(found) >= threshold - 1e-12:
+                    root[max(a, b)] = min(a, b)
+                    links.append((ids[0][i], ids[1][j], *found))
+        return pd.DataFrame(links, columns=["a", "b", "jaccard", "probability_jaccard"]).astype(
+            {"a": "int64", "b": "int64", "jaccard": "float64", "probability_jaccard": "float64"}
+        )
+
+    return compare
+
+
+def _sets(rows) -> list:
+    """Shingles and times of each row of a pandas frame."""
+    return [
+        (np.frombuffer(s, "<u8"), None if t is None else np.frombuffer(t, "<u4"))
+        for s, t in zip(rows.shingles, rows.times, strict=True)
+    ]
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -318,7 +358,7 @@ def near_duplicates(
     )
     classes = stage(classes.withColumn("id", F.monotonically_increasing_id()), "near-classes")
 
-    banded = classes.select("id", "sign").mapInArrow(_banded, "bucket long, id long")
+    banded = classes.select("id", "sign").mapInArrow(_banded, "bucket long, band int, id long")
     banded = stage(banded, "near-bands")
     buckets = banded.groupBy("bucket").agg(F.min("id").alias("lead"), F.count(F.lit(1)).alias("size"))
     buckets = stage(buckets.filter("size > 1"), "near-buckets")
@@ -342,10 +382,9 @@ def near_duplicates(
         F.min("component").alias("low"), F.max("component").alias("high")
     )
     mixed = mixed.filter("low != high").select("bucket")
-    rest = stage(labelled.join(mixed, "bucket").select("bucket", "size", "id", "component"), "near-rest")
-    more = _blocks(rest.join(signs, "id")).distinct().join(pairs, ["a", "b"], "left_anti")
-    more = _verify(stage(more, "near-more"), sets, threshold)
-    links = stage(links.union(more), "near-links")
+    rest = labelled.join(mixed, "bucket").select("bucket", "band", "size", "id", "component")
+    rest = stage(rest, "near-rest").join(signs, "id").join(sets, "id")
+    links = stage(links.union(_block_links(rest, threshold)), "near-links")
 
     label = components(links).select(F.col("node").alias("id"), "component")
     placed = classes.select("id", "words", "least_doc", "copies").join(label, "id", "left")
@@ -383,18 +422,20 @@ def _shingle_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     return texts.mapInArrow(_shingled, "id long, shingles binary, times binary")
 
 
-def _blocks(members: DataFrame) -> DataFrame:
-    """Pairs across components of buckets (bucket, size, id, component, sign)."""
+def _block_links(members: DataFrame, threshold: float) -> DataFrame:
+    """Links across components of buckets, by pairs of blocks of their members."""
     blocks = F.ceil(F.col("size") / _BLOCK).cast("int")
     own = F.pmod(F.xxhash64("id"), blocks).cast("int")
     dealt = members.withColumn("blocks", blocks).withColumn("block", own)
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = dealt.withColumn("other", other)
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select(
-        "bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-        "block", "id", "component", "sign",
+        "bucket", "band", F.least("block", "other").alias("low"),
+        F.greatest("block", "other").alias("high"),
+        "block", "id", "component", "sign", "shingles", "times",
     )
-    return dealt.groupBy("bucket", "low", "high").applyInPandas(_across, "a long, b long")
+    return dealt.groupBy("bucket", "band", "low", "high").applyInPandas(
+        _across(threshold), "a long, b long, jaccard double, probability_jaccard double"
+    )
 
 
 def keep_one(documents: DataFrame) -> DataFrame:

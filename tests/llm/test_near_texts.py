@@ -96,6 +96,13 @@ def test_shingles_against_brute_force():
             seen[i] = found[docs == i]
 
 
+def test_a_slice_is_read_like_a_copy():
+    texts = pa.array([t for _, t in corpus()] * 40)
+    part = texts.slice(2500, 700)
+    for got, want in zip(near.shingles(part), near.shingles(pa.array(part.to_pylist())), strict=True):
+        assert np.array_equal(got, want)
+
+
 def test_registers_estimate_probability_jaccard():
     rng = random.Random(3)
     base = [f"w{rng.randint(0, 60)}" for _ in range(300)]
@@ -115,7 +122,7 @@ def by_group(got):
     return groups
 
 
-@pytest.mark.parametrize("block", [512, 3])
+@pytest.mark.parametrize("block", [256, 3])
 def test_groups_against_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(near, "_BLOCK", block)
     rows = corpus()
