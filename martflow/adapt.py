@@ -25,7 +25,9 @@ RULES = [
     # source_table, operate_type, sink_type, sink_table, sink_columns, sink_pk, sink_extend
     ("user_info", "insert", "hbase", "dim_user_info", "id,name", "id", None),
     ("user_info", "update", "hbase", "dim_user_info", "id,name", "id", None),
+    ("user_info", "delete", "hbase", "dim_user_info", "id,name", "id", None),
     ("sku_info", "insert", "hbase", "dim_sku_info", "id,name,amount", None, None),
+    ("sku_info", "delete", "hbase", "dim_sku_info", "id,name,amount", None, None),
     ("order_info", "insert", "kafka", "dwd_order_info", "", None, None),
     ("order_info", "update", "kafka", "dwd_order_update", "id,amount", None, None),
     ("cart_info", "insert", "clickhouse", "ck_cart_info", "id", None, None),
@@ -176,6 +178,8 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("id"), F.col("user_id").cast("string"),
         F.lit("name"), F.when(F.col("k") >= 10, F.concat(F.lit("u"), F.col("k"))),
     )
+    # A delete has no row after it, and names the one before.
+    key = F.create_map(F.lit("id"), F.col("user_id").cast("string"))
     empty = F.map_filter(row, lambda k, v: F.lit(False))
     return events(spark, sf_dir).select(
         F.col("event_id").alias("seq"),
@@ -191,7 +195,9 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == "error", "delete")
         .otherwise("insert")
         .alias("type"),
-        F.when(F.col("k") == 97, F.lit(None))
+        F.when(kind == "error", key).alias("before"),
+        F.when(kind == "error", empty)
+        .when(F.col("k") == 97, F.lit(None))
         .when(F.col("k") == 98, empty)
         .when(kind == "click", update)
         .otherwise(row)

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from martflow import schemas
 from martflow.functions.text import map_text
-from martflow.operators.joins import broadcast_if_small
 
 # Operation letters of the capture envelope and their names.
 OPERATIONS = {"c": "insert", "r": "read", "u": "update", "d": "delete"}
@@ -39,13 +38,24 @@ def normalize_envelopes(envelopes: DataFrame) -> DataFrame:
     )
 
 
+def row_value(changes: DataFrame, column: str) -> Column:
+    """A column of the changed row; of the row before the change where none is after."""
+    value = F.col("data")[column]
+    if "before" not in changes.columns:
+        return value
+    return F.coalesce(value, F.col("before")[column])
+
+
 def valid_changes(changes: DataFrame) -> DataFrame:
-    """Changes that name a table and whose data text is longer than 3 characters."""
-    return changes.where(
-        (F.length("table") > 0)
-        & F.col("data").isNotNull()
-        & (F.length(map_text("data")) > 3)
-    )
+    """Changes that name a table and whose data text is longer than 3 characters.
+
+    A delete has no row after it; it is valid if it says which row was there.
+    """
+    filled = F.coalesce(F.length(map_text("data")) > 3, F.lit(False))
+    if "before" in changes.columns:
+        gone = F.col("type").eqNullSafe("delete")
+        filled = filled | (gone & F.coalesce(F.length(map_text("before")) > 3, F.lit(False)))
+    return changes.where((F.length("table") > 0) & filled)
 
 
 def latest_rows(
@@ -53,16 +63,19 @@ def latest_rows(
 ) -> DataFrame:
     """The last change of each key; keys whose last change is a delete go.
 
+    A key that is no column of ``changes`` is one of the changed row (``row_value``).
     An aggregate, not a ranking: a key with a third of all changes leaves one
     row per map task.
     """
+    added = {k: row_value(changes, k) for k in keys if k not in changes.columns}
+    columns = [*changes.columns, *added]
     rest = [c for c in changes.columns if c not in keys]
-    last = changes.groupBy(*keys).agg(
+    last = changes.withColumns(added).groupBy(*keys).agg(
         F.max_by(F.struct(*rest), F.struct(*order)).alias("r")
     )
     if not keep_deleted:
         last = last.where(~F.col("r.type").eqNullSafe("delete"))
-    return last.select(*keys, "r.*").select(changes.columns)
+    return last.select(*keys, "r.*").select(columns)
 
 
 def change_table(snapshot: DataFrame, changes: DataFrame) -> DataFrame:
@@ -106,7 +119,7 @@ def project_columns(data: Column | str, columns: Column | str) -> Column:
 def route_changes(changes: DataFrame, config: DataFrame) -> DataFrame:
     """Give each change its sink by (table, operation); no rule, no output.
 
-    Bootstrap inserts count as inserts.  Adds ``sink_type``, ``sink_table``,
+    Bootstrap inserts and the rows of a snapshot count as inserts.  Adds ``sink_type``, ``sink_table``,
     ``sink_pk`` and cuts ``data`` to the rule's columns.  Only dimension and
     fact sinks are served.  ``config`` holds one rule per table and operation.
     """
@@ -120,10 +133,12 @@ def route_changes(changes: DataFrame, config: DataFrame) -> DataFrame:
     ).where(F.col("sink_type").isin(schemas.SINK_DIMENSION, schemas.SINK_FACT))
     typed = changes.withColumn(
         "type",
-        F.when(F.col("type") == schemas.BOOTSTRAP_INSERT, "insert").otherwise(F.col("type")),
+        F.when(F.col("type").isin(schemas.BOOTSTRAP_INSERT, "read"), "insert").otherwise(
+            F.col("type")
+        ),
     )
     return (
-        typed.join(broadcast_if_small(rules), ["table", "type"])
+        typed.join(rules, ["table", "type"])
         .withColumn("data", project_columns("data", "sink_columns"))
         .select(*changes.columns, "sink_type", "sink_table", "sink_pk")
     )
@@ -151,7 +166,8 @@ def fold_dimension(
 
     ``changes`` has ``type``, ``data`` and the ``order`` columns.  A message
     writes only the columns it carries, a null as an empty text; a delete takes
-    the row away with everything written before it.  With ``keep_state`` each
+    the row away with everything written before it, and finds it by ``before``
+    where its ``data`` is empty.  With ``keep_state`` each
     column comes as a struct of its value and the order it was written at, and
     deleted keys stay, so that the result can be folded again with later ones.
     """
@@ -170,9 +186,8 @@ def fold_dimension(
                 F.when(carried, at),
             ).alias(name)
         )
-    folded = changes.where(F.col("data")[pk].isNotNull()).groupBy(
-        F.col("data")[pk].alias("_pk")
-    ).agg(*aggregates)
+    key = row_value(changes, pk)
+    folded = changes.where(key.isNotNull()).groupBy(key.alias("_pk")).agg(*aggregates)
     if keep_state:
         return folded
     return visible_rows(folded, columns, pk)

@@ -2,8 +2,7 @@
 
 Whether a side is broadcast is left to Spark, which does so when its size is
 below ``spark.sql.autoBroadcastJoinThreshold``, from statistics or at run time,
-and else sorts and merges, splitting skewed partitions.  Only rule tables,
-whose size Spark may not know, are counted first and then hinted.
+and else sorts and merges, splitting skewed partitions.
 """
 
 from __future__ import annotations
@@ -14,13 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """Hint a side for broadcast if it has at most ``max_rows`` rows; count it first."""
-    if df.limit(max_rows + 1).count() > max_rows:
-        return df
-    return F.broadcast(df)
-
-
 def interval_join(
     left: DataFrame,
     right: DataFrame,

@@ -73,6 +73,19 @@ def visitor_union(
     )
 
 
+def union_on_time(*streams: tuple[DataFrame, str]) -> DataFrame:
+    """Measure frames as one, each under a watermark that trails by its own delay.
+
+    One watermark behind the union would follow the fastest stream and drop what
+    the others still bring.
+    """
+    timed = [with_event_time(frame, delay) for frame, delay in streams]
+    merged = timed[0]
+    for frame in timed[1:]:
+        merged = merged.unionByName(frame, allowMissingColumns=True)
+    return _typed(merged) if "sku_id" in merged.columns else merged
+
+
 def visitor_stats(
     measures: DataFrame, window: str = WINDOW, delay: str = "3 seconds"
 ) -> DataFrame:
@@ -181,6 +194,11 @@ def product_union(*measures: DataFrame) -> DataFrame:
     merged = measures[0]
     for frame in measures[1:]:
         merged = merged.unionByName(frame, allowMissingColumns=True)
+    return _typed(merged)
+
+
+def _typed(merged: DataFrame) -> DataFrame:
+    """Add the product measures that no frame has, as nulls."""
     types = {c: "bigint" for c in schemas.PRODUCT_COUNTS + ["order_id"]}
     types |= {c: schemas.MONEY for c in schemas.PRODUCT_AMOUNTS}
     types |= {"tag": "string"}

@@ -68,19 +68,21 @@ CTES = {
         FROM ev""",
     "chg": """
         SELECT event_id AS seq, CAST(user_id AS VARCHAR) AS id, k, event_type,
-               CASE WHEN event_type = 'click'
-                    THEN CASE WHEN k >= 10 THEN 'u' || k END ELSE 'n' || k END AS name,
-               CASE WHEN event_type <> 'click'
+               CASE WHEN event_type = 'click' THEN CASE WHEN k >= 10 THEN 'u' || k END
+                    WHEN event_type <> 'error' THEN 'n' || k END AS name,
+               CASE WHEN event_type NOT IN ('click', 'error')
                     THEN CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) END AS amount,
                CASE k % 4 WHEN 0 THEN 'user_info' WHEN 1 THEN 'sku_info'
                     WHEN 2 THEN 'order_info' ELSE 'cart_info' END AS tbl,
                CASE event_type WHEN 'view' THEN 'bootstrap-insert' WHEN 'click' THEN 'update'
                     WHEN 'error' THEN 'delete' ELSE 'insert' END AS type
-        FROM ev WHERE k NOT IN (97, 98, 99)""",
+        FROM ev WHERE k <> 99 AND (k NOT IN (97, 98) OR event_type = 'error')""",
     "rules": """
         SELECT * FROM (VALUES
             ('user_info', 'insert', 'hbase', 'dim_user_info', 'id,name'),
             ('user_info', 'update', 'hbase', 'dim_user_info', 'id,name'),
+            ('user_info', 'delete', 'hbase', 'dim_user_info', 'id,name'),
+            ('sku_info', 'delete', 'hbase', 'dim_sku_info', 'id,name,amount'),
             ('sku_info', 'insert', 'hbase', 'dim_sku_info', 'id,name,amount'),
             ('order_info', 'insert', 'kafka', 'dwd_order_info', ''),
             ('order_info', 'update', 'kafka', 'dwd_order_update', 'id,amount'))
@@ -99,6 +101,7 @@ CTES = {
                CAST(o_orderkey % 7 AS DECIMAL(16,2)) AS coupon_reduce_amount,
                CAST(o_totalprice AS DECIMAL(16,2)) + o_orderkey % 7 AS original_total_amount,
                CAST(o_orderkey % 20 AS DECIMAL(16,2)) AS feight_fee,
+               CAST(NULL AS DECIMAL(16,2)) AS split_feight_fee, CAST(NULL AS VARCHAR) AS expire_time,
                CAST(l_tax AS DECIMAL(16,2)) AS split_activity_amount,
                CAST(l_discount AS DECIMAL(16,2)) AS split_coupon_amount,
                CAST(l_extendedprice AS DECIMAL(16,2)) AS split_total_amount,
@@ -127,7 +130,8 @@ CTES = {
                    AS callback_time,
                ow.create_time AS order_create_time,
                ow.* EXCLUDE (order_id, user_id, total_amount, create_time, operate_time,
-                             create_date, create_hour, o_orderdate, o_custkey, l_partkey)
+                             create_date, create_hour, expire_time, o_orderdate, o_custkey,
+                             l_partkey)
         FROM orders o JOIN ow ON o.o_orderkey = ow.order_id
         WHERE o.o_orderstatus = 'F'
           AND ow.o_orderdate BETWEEN o.o_orderdate + to_seconds(o.o_orderkey % 3600)
@@ -152,6 +156,23 @@ CTES = {
         UNION ALL SELECT sku, ts // 1000 * 1000, 'comment', NULL, 1,
                   CASE WHEN k < 50 THEN 1 ELSE 0 END, NULL FROM lg
                   WHERE event_type = 'purchase'""",
+    "ps": """
+        SELECT strftime(epoch_ms(day_ms), '%Y-%m-%d %H:%M:%S') AS stt,
+               strftime(epoch_ms(day_ms + 86400000), '%Y-%m-%d %H:%M:%S') AS edt, sku_id,
+               CAST(coalesce(sum(n) FILTER (WHERE kind = 'display'), 0) AS BIGINT) AS display_ct,
+               CAST(coalesce(sum(n) FILTER (WHERE kind = 'click'), 0) AS BIGINT) AS click_ct,
+               CAST(coalesce(sum(n) FILTER (WHERE kind = 'favor'), 0) AS BIGINT) AS favor_ct,
+               CAST(coalesce(sum(n) FILTER (WHERE kind = 'cart'), 0) AS BIGINT) AS cart_ct,
+               CAST(coalesce(sum(n) FILTER (WHERE kind = 'order'), 0) AS BIGINT) AS order_sku_num,
+               coalesce(sum(amount) FILTER (WHERE kind = 'order'), 0) AS order_amount,
+               count(DISTINCT order_id) FILTER (WHERE kind = 'order') AS order_ct,
+               coalesce(sum(amount) FILTER (WHERE kind = 'paid'), 0) AS payment_amount,
+               count(DISTINCT order_id) FILTER (WHERE kind = 'paid') AS paid_order_ct,
+               count(DISTINCT order_id) FILTER (WHERE kind = 'refund') AS refund_order_ct,
+               coalesce(sum(amount) FILTER (WHERE kind = 'refund'), 0) AS refund_amount,
+               CAST(coalesce(sum(n) FILTER (WHERE kind = 'comment'), 0) AS BIGINT) AS comment_ct,
+               CAST(sum(good) AS BIGINT) AS good_comment_ct, min(ts) AS ts
+        FROM (SELECT *, ts // 86400000 * 86400000 AS day_ms FROM pm) GROUP BY day_ms, sku_id""",
     "ops": """
         SELECT strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS stt, ow.sku_id,
                sum(split_total_amount) AS order_amount, count(DISTINCT order_id) AS order_ct,
@@ -208,25 +229,22 @@ _BODIES = {
     "change_filter": """SELECT seq, tbl AS "table", type FROM chg""",
     "route_changes": """
         SELECT seq, tbl AS "table", type, sink_type, sink_table, 'id' AS sink_pk,
-               CASE WHEN sink_table = 'dwd_order_update' THEN 1
+               CASE WHEN type = 'delete' THEN 0 WHEN sink_table = 'dwd_order_update' THEN 1
                     WHEN sink_table = 'dim_user_info' THEN 2 ELSE 3 END AS fields
         FROM routed""",
     "project_columns": """
-        SELECT seq, id,
+        SELECT seq, CASE WHEN type <> 'delete' THEN id END AS id,
                CASE WHEN sink_table <> 'dwd_order_update' THEN name END AS name,
                CASE WHEN sink_table <> 'dim_user_info' THEN amount END AS amount
         FROM routed""",
     "dim_upsert": """
-        SELECT m.id,
-               (SELECT coalesce(name, '') FROM chg c WHERE c.id = m.id AND c.tbl = 'user_info'
-                  AND c.type <> 'delete' AND c.seq > m.gone ORDER BY seq DESC LIMIT 1) AS name,
-               (SELECT amount FROM chg c WHERE c.id = m.id AND c.tbl = 'user_info'
-                  AND c.type NOT IN ('delete', 'update') AND c.seq > m.gone
-                ORDER BY seq DESC LIMIT 1) AS amount
-        FROM (SELECT id, coalesce(max(seq) FILTER (WHERE type = 'delete'), -1) AS gone,
-                     max(seq) FILTER (WHERE type <> 'delete') AS written
-              FROM chg WHERE tbl = 'user_info' GROUP BY id) m
-        WHERE written > gone""",
+        SELECT sink_table, id,
+               arg_max(coalesce(name, ''), seq) AS name,
+               CASE WHEN sink_table = 'dim_sku_info' THEN arg_max(amount, seq) END AS amount
+        FROM (SELECT *, coalesce(max(seq) FILTER (WHERE type = 'delete')
+                                 OVER (PARTITION BY sink_table, id), -1) AS gone
+              FROM routed WHERE sink_type = 'hbase')
+        WHERE type <> 'delete' AND seq > gone GROUP BY sink_table, id""",
     "to_json_rows": """
         SELECT 'dwd_order_refund_info' AS topic,
                '{"sku_id":' || (l_partkey + 50) || ',"order_id":' || l_orderkey
@@ -237,9 +255,9 @@ _BODIES = {
     "order_wide": "SELECT * EXCLUDE (o_orderdate, o_custkey, l_partkey) FROM ow",
     "order_wide_user": """
         SELECT detail_id, sku_id, order_price, user_id,
-               coalesce(date_diff('year', born, DATE '2024-06-01')
+               date_diff('year', born, DATE '2024-06-01')
                  - CASE WHEN strftime(DATE '2024-06-01', '%m%d') < strftime(born, '%m%d')
-                        THEN 1 ELSE 0 END, -1) AS user_age,
+                        THEN 1 ELSE 0 END AS user_age,
                CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'F' WHEN c_custkey IS NOT NULL THEN 'M' END
                  AS user_gender
         FROM ow LEFT JOIN (
@@ -251,8 +269,7 @@ _BODIES = {
                province_id, n_name AS province_name,
                CAST(n_nationkey + 100 AS VARCHAR) AS province_area_code,
                'R' || n_regionkey AS province_iso_code, 'R-' || n_nationkey AS province_3166_2_code,
-               coalesce(spu_id, -1) AS spu_id, coalesce(tm_id, -1) AS tm_id,
-               coalesce(category3_id, -1) AS category3_id, spu_name, tm_name, category3_name
+               spu_id, tm_id, category3_id, spu_name, tm_name, category3_name
         FROM ow LEFT JOIN sku s ON ow.sku_id = s.id LEFT JOIN nation ON province_id = n_nationkey""",
     "dim_lookup_multi": """
         SELECT s_suppkey, segment, nation, (
@@ -262,7 +279,7 @@ _BODIES = {
                      s_nationkey + 2 AS nation FROM supplier)""",
     "payment_wide": "SELECT * FROM pw",
     "order_wide_merge": """
-        SELECT coalesce(l.detail_id, r.detail_id) AS detail_id, coalesce(l.order_id, -1) AS order_id,
+        SELECT coalesce(l.detail_id, r.detail_id) AS detail_id, l.order_id,
                coalesce(l.order_status, CASE WHEN r.detail_id IS NOT NULL THEN 'other' END)
                  AS order_status,
                coalesce(l.create_time, r.create_time) AS create_time,
@@ -285,27 +302,9 @@ _BODIES = {
     "product_displays": """
         SELECT sku AS sku_id, ts, CAST(1 AS BIGINT) AS display_ct
         FROM pg WHERE event_type IN ('view', 'click')""",
-    "product_stats": """
-        SELECT strftime(epoch_ms(day_ms), '%Y-%m-%d %H:%M:%S') AS stt,
-               strftime(epoch_ms(day_ms + 86400000), '%Y-%m-%d %H:%M:%S') AS edt, sku_id,
-               CAST(coalesce(sum(n) FILTER (WHERE kind = 'display'), 0) AS BIGINT) AS display_ct,
-               CAST(coalesce(sum(n) FILTER (WHERE kind = 'click'), 0) AS BIGINT) AS click_ct,
-               CAST(coalesce(sum(n) FILTER (WHERE kind = 'favor'), 0) AS BIGINT) AS favor_ct,
-               CAST(coalesce(sum(n) FILTER (WHERE kind = 'cart'), 0) AS BIGINT) AS cart_ct,
-               CAST(coalesce(sum(n) FILTER (WHERE kind = 'order'), 0) AS BIGINT) AS order_sku_num,
-               coalesce(sum(amount) FILTER (WHERE kind = 'order'), 0) AS order_amount,
-               count(DISTINCT order_id) FILTER (WHERE kind = 'order') AS order_ct,
-               coalesce(sum(amount) FILTER (WHERE kind = 'paid'), 0) AS payment_amount,
-               count(DISTINCT order_id) FILTER (WHERE kind = 'paid') AS paid_order_ct,
-               count(DISTINCT order_id) FILTER (WHERE kind = 'refund') AS refund_order_ct,
-               coalesce(sum(amount) FILTER (WHERE kind = 'refund'), 0) AS refund_amount,
-               CAST(coalesce(sum(n) FILTER (WHERE kind = 'comment'), 0) AS BIGINT) AS comment_ct,
-               CAST(sum(good) AS BIGINT) AS good_comment_ct, min(ts) AS ts
-        FROM (SELECT *, ts // 86400000 * 86400000 AS day_ms FROM pm) GROUP BY day_ms, sku_id""",
+    "product_stats": "SELECT * FROM ps",
     "product_stats_dims": """
-        SELECT * REPLACE (coalesce(sku_price, -1) AS sku_price, coalesce(spu_id, -1) AS spu_id,
-                          coalesce(tm_id, -1) AS tm_id, coalesce(category3_id, -1) AS category3_id)
-        FROM ops""",
+        SELECT ps.*, s.* EXCLUDE (id) FROM ps LEFT JOIN sku s ON ps.sku_id = s.id""",
     "keyword_tokens": "SELECT keyword, ts FROM kw",
     "keyword_lateral": "SELECT keyword, ts FROM kw",
     "keyword_stats": """
@@ -323,23 +322,14 @@ _BODIES = {
     "stream_visitor_stats": """
         SELECT strftime(epoch_ms(day_ms), '%Y-%m-%d %H:%M:%S') AS stt,
                strftime(epoch_ms(day_ms + 86400000), '%Y-%m-%d %H:%M:%S') AS edt,
-               vc, ch, ar, is_new, 0 AS uv_ct, count(*) AS pv_ct,
-               count(*) FILTER (WHERE coalesce(last_page_id, '') = '') AS sv_ct, 0 AS uj_ct,
-               CAST(coalesce(sum(during_time), 0) AS BIGINT) AS dur_sum, min(ts) AS ts
-        FROM (SELECT *, ts // 86400000 * 86400000 AS day_ms FROM pg)
-        WHERE day_ms + 86400000 <= (SELECT max(ts) FROM pg) - 3000
+               vc, ch, ar, is_new, CAST(sum(uv_ct) AS BIGINT) AS uv_ct,
+               CAST(sum(pv_ct) AS BIGINT) AS pv_ct, CAST(sum(sv_ct) AS BIGINT) AS sv_ct,
+               CAST(sum(uj_ct) AS BIGINT) AS uj_ct, CAST(sum(dur_sum) AS BIGINT) AS dur_sum,
+               min(ts) AS ts
+        FROM (SELECT *, ts // 86400000 * 86400000 AS day_ms FROM vm)
         GROUP BY day_ms, vc, ch, ar, is_new""",
-    "stream_order_wide": """
-        SELECT detail_id, order_id, sku_id, split_total_amount, create_time FROM ow""",
-    "stream_product_stats": """
-        SELECT strftime(epoch_ms(day_ms), '%Y-%m-%d %H:%M:%S') AS stt, sku AS sku_id,
-               count(*) FILTER (WHERE page_id = 'good_detail') AS click_ct,
-               count(*) AS display_ct, min(ts) AS ts
-        FROM (SELECT *, ts // 86400000 * 86400000 AS day_ms FROM pg
-              WHERE event_type IN ('view', 'click'))
-        WHERE day_ms + 86400000 <= (SELECT max(ts) FROM pg
-                                    WHERE event_type IN ('view', 'click')) - 5000
-        GROUP BY day_ms, sku""",
+    "stream_order_wide": "SELECT * EXCLUDE (o_orderdate, o_custkey, l_partkey) FROM ow",
+    "stream_product_stats": "SELECT * FROM ps",
     "stream_keyword_stats": """
         SELECT keyword, count(*) AS ct, 'SEARCH' AS source,
                strftime(epoch_ms(slot), '%Y-%m-%d %H:%M:%S') AS stt,
@@ -356,11 +346,11 @@ _BODIES = {
     "report_gmv": """
         SELECT sum(order_amount) AS order_amount FROM ops WHERE stt = '1999-12-11 00:00:00'""",
     "report_top_brand": """
-        SELECT coalesce(tm_id, -1) AS tm_id, tm_name, sum(order_amount) AS order_amount
+        SELECT tm_id, tm_name, sum(order_amount) AS order_amount
         FROM ops WHERE stt = '1999-12-11 00:00:00' GROUP BY ops.tm_id, tm_name
         HAVING sum(order_amount) > 0 ORDER BY order_amount DESC, tm_id LIMIT 20""",
     "report_top_category": """
-        SELECT coalesce(category3_id, -1) AS category3_id, category3_name,
+        SELECT category3_id, category3_name,
                sum(order_amount) AS order_amount
         FROM ops WHERE stt = '1999-12-11 00:00:00' GROUP BY ops.category3_id, category3_name
         HAVING sum(order_amount) > 0 ORDER BY order_amount DESC, category3_id LIMIT 10""",
@@ -396,22 +386,22 @@ _AMOUNTS = {
     "order_wide": [
         "order_price", "total_amount", "activity_reduce_amount", "coupon_reduce_amount",
         "original_total_amount", "feight_fee", "split_activity_amount", "split_coupon_amount",
-        "split_total_amount",
+        "split_total_amount", "split_feight_fee",
     ],
     "order_wide_user": ["order_price"],
     "order_wide_dims": ["order_price"],
     "order_wide_merge": ["total_amount", "split_total_amount"],
-    "stream_order_wide": ["split_total_amount"],
     "province_stats": ["order_amount"],
     "product_stats": ["order_amount", "payment_amount", "refund_amount"],
-    "product_stats_dims": ["order_amount", "sku_price"],
+    "product_stats_dims": ["order_amount", "payment_amount", "refund_amount", "sku_price"],
+    "stream_product_stats": ["order_amount", "payment_amount", "refund_amount"],
     "report_gmv": ["order_amount"],
     "report_top_brand": ["order_amount"],
     "report_top_category": ["order_amount"],
     "report_province": ["order_amount"],
     "report_visitor_ratios": ["uj_rate", "dur_per_sv", "pv_per_sv"],
 }
-_AMOUNTS["payment_wide"] = _AMOUNTS["order_wide"]
+_AMOUNTS["payment_wide"] = _AMOUNTS["stream_order_wide"] = _AMOUNTS["order_wide"]
 
 
 def sql(name: str) -> str:

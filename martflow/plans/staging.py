@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def staging_dir(spark: SparkSession) -> str:
@@ -33,6 +34,35 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_files(
+    df: DataFrame, time: str, name: str, last: DataFrame | None = None, slices: int = 4, files: int = 4
+) -> DataFrame:
+    """Write ``df`` in slices of time, one after the other, and read it as a stream.
+
+    A micro-batch takes the files of a slice; the slices hold about as many rows each.
+    ``last`` is a slice of its own, at the end.
+    """
+    spark = df.sparkSession
+    df = stage(df, name)
+    path = f"{staging_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    at = F.col(time)
+    if dict(df.dtypes)[time] == "string":
+        at = F.unix_millis(F.try_to_timestamp(at))
+    shares = [i / slices for i in range(1, slices)]
+    cuts = df.agg(F.percentile_approx(at, shares))
+    cuts = cuts.first()[0] or []
+    number = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda cut: at > cut)) if cuts else F.lit(0)
+    number = F.coalesce(number, F.lit(0))
+    numbered = df.withColumn("_slice", number)
+    for k in range(len(cuts) + 1):
+        own = numbered.where(F.col("_slice") == k).drop("_slice")
+        own.repartition(files).write.mode("append").parquet(path)
+    if last is not None:
+        last.write.mode("append").parquet(path)
+    reader = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files)
+    return reader.parquet(path)
+
+
 def stage_stream(stream: DataFrame, name: str) -> DataFrame:
     """Run a stream over the input there is, and read back what it has written.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, timedelta
 from functools import wraps
@@ -15,7 +16,7 @@ from martflow.functions import times
 from martflow.functions.text import register_tokenizer
 from martflow.operators import changes, joins, keywords, logs, orders, stats, visits
 from martflow.plans import products, reports, visitors
-from martflow.plans.staging import stage, stage_stream
+from martflow.plans.staging import stage, stage_files, stage_stream, staging_dir
 from martflow.session import tune
 from martflow.sinks.topics import as_messages
 from martflow.streaming import jobs, repair
@@ -27,6 +28,9 @@ QUERIES: dict[str, Query] = {}
 EVENT_WINDOW = "1 day"
 ORDER_BOUND = timedelta(days=adapt.ORDER_BOUND_DAYS)
 AS_OF = date(2024, 6, 1)
+# What closes the windows of a stream comes then.
+LAST_STT = "2100-01-01 00:00:00"
+LAST_MILLIS = 4_102_444_800_000
 ORDER_DAY = 19991211
 EVENT_DAY = 20240115
 
@@ -157,8 +161,7 @@ def cdc_normalize(spark, sf):
 def cdc_latest(spark, sf):
     """Each table's rows after all changes; a delete is keyed by the row before it."""
     events = changes.normalize_envelopes(adapt.envelopes(spark, sf))
-    keyed = events.withColumn("id", F.coalesce(F.col("data")["id"], F.col("before")["id"]))
-    latest = changes.latest_rows(keyed, ["table", "id"], ["seq"])
+    latest = changes.latest_rows(events, ["table", "id"], ["seq"])
     data = F.col("data")
     return latest.select("table", "id", "type", data["name"].alias("name"), data["amount"].alias("amount"))
 
@@ -189,9 +192,23 @@ def project_columns(spark, sf):
 
 @query
 def dim_upsert(spark, sf):
-    """User dimension after all routed messages, deletes included."""
-    messages = changes.valid_changes(adapt.changes(spark, sf)).where(F.col("table") == "user_info")
-    return changes.fold_dimension(messages, ["id", "name", "amount"], "id", ["seq"])
+    """Both dimensions after all messages, routed and cut to their rules' columns."""
+    config = adapt.routing(spark)
+    routed = changes.route_changes(changes.valid_changes(adapt.changes(spark, sf)), config)
+    messages = changes.dimension_changes(routed)
+    tables = [
+        changes.fold_dimension(
+            messages.where(F.col("sink_table") == name), columns, "id", ["seq"]
+        ).select(
+            F.lit(name).alias("sink_table"), "id", "name",
+            F.col("amount") if "amount" in columns else F.lit(None).cast("string").alias("amount"),
+        )
+        for name, columns in (
+            ("dim_user_info", ["id", "name"]),
+            ("dim_sku_info", ["id", "name", "amount"]),
+        )
+    ]
+    return tables[0].unionByName(tables[1])
 
 
 @query
@@ -213,14 +230,13 @@ def _order_wide(spark, sf, day=None):
 
 
 def _products(spark, sf):
-    """The product dimension, written so that Spark knows its size when it plans."""
-    joined = orders.product_dimension(
+    """The product tables joined with each other first, so facts need one lookup."""
+    return orders.product_dimension(
         adapt.skus(spark, sf),
         adapt.spus(spark, sf),
         adapt.categories(spark, sf),
         adapt.trademarks(spark, sf),
     )
-    return stage(joined, "dim_product")
 
 
 def _order_wide_dims(spark, sf):
@@ -231,27 +247,21 @@ def _order_wide_dims(spark, sf):
 
 @query
 def order_wide(spark, sf):
-    # The two columns without a value in these tables are left to the tests.
-    return _order_wide(spark, sf).drop("split_feight_fee", "expire_time")
+    return _order_wide(spark, sf)
 
 
 @query
 def order_wide_user(spark, sf):
     wide = orders.with_user(_order_wide(spark, sf), adapt.users(spark, sf), AS_OF)
-    return wide.select(
-        "detail_id", "sku_id", "order_price", "user_id",
-        F.coalesce("user_age", F.lit(-1)).alias("user_age"), "user_gender",
-    )
+    return wide.select("detail_id", "sku_id", "order_price", "user_id", "user_age", "user_gender")
 
 
 @query
 def order_wide_dims(spark, sf):
-    wide = _order_wide_dims(spark, sf)
-    ids = [F.coalesce(c, F.lit(-1)).alias(c) for c in ("spu_id", "tm_id", "category3_id")]
-    return wide.select(
+    return _order_wide_dims(spark, sf).select(
         "detail_id", "order_price", "sku_id", "sku_name", "province_id", "province_name",
-        "province_area_code", "province_iso_code", "province_3166_2_code", *ids,
-        "spu_name", "tm_name", "category3_name",
+        "province_area_code", "province_iso_code", "province_3166_2_code", "spu_id", "tm_id",
+        "category3_id", "spu_name", "tm_name", "category3_name",
     )
 
 
@@ -280,7 +290,7 @@ def _payment_wide(spark, sf, wide):
 
 @query
 def payment_wide(spark, sf):
-    return _payment_wide(spark, sf, _order_wide(spark, sf)).drop("split_feight_fee")
+    return _payment_wide(spark, sf, _order_wide(spark, sf))
 
 
 @query
@@ -298,8 +308,7 @@ def order_wide_merge(spark, sf):
     other = one.where(F.col("total_amount") > 150000).withColumn(
         "order_status", F.lit("other")
     )
-    merged = orders.merge_wide(this.select(columns), other.select(columns))
-    return merged.withColumn("order_id", F.coalesce("order_id", F.lit(-1)))
+    return orders.merge_wide(this.select(columns), other.select(columns))
 
 
 @query
@@ -366,13 +375,8 @@ def _named_rows_of_day(spark, sf, day):
 
 @query
 def product_stats_dims(spark, sf):
-    rows = products.with_product_dimension(_order_product_rows(spark, sf), _products(spark, sf))
-    ids = [F.coalesce(c, F.lit(-1)).alias(c) for c in ("spu_id", "tm_id", "category3_id")]
-    return rows.select(
-        "stt", "sku_id", "order_amount", "order_ct", "order_sku_num", "sku_name",
-        F.coalesce("sku_price", F.lit(-1)).alias("sku_price"), *ids,
-        "spu_name", "tm_name", "category3_name",
-    )
+    """Product rows of all sources, with names and price."""
+    return products.with_product_dimension(_product_stats(spark, sf), _products(spark, sf))
 
 
 # --- keywords ---------------------------------------------------------------
@@ -385,10 +389,13 @@ def keyword_tokens(spark, sf):
 
 @query
 def keyword_lateral(spark, sf):
-    """The same tokens by the table function, in SQL."""
+    """The same tokens by the SQL function."""
     register_tokenizer(spark)
     keywords.searches(adapt.search_records(spark, sf)).createOrReplaceTempView("searches")
-    return spark.sql("SELECT s AS keyword, ts FROM searches, LATERAL ik_analyze(fullword)")
+    return spark.sql(
+        "SELECT s AS keyword, ts FROM (SELECT ik_analyze(fullword) AS words, ts FROM searches) "
+        "LATERAL VIEW explode(words) t AS s"
+    )
 
 
 @query
@@ -404,11 +411,38 @@ def keyword_stats(spark, sf):
 
 @query
 def stream_fix_is_new(spark, sf):
-    lines = adapt.log_records(spark, sf, adapt.stream).select(
-        F.to_json(F.struct("common", "page", "displays", "start", "ts")).alias("value")
+    """Log lines through the base log job, several micro-batches in order of time."""
+    records = adapt.log_records(spark, sf)
+    lines = records.select(
+        F.to_json(F.struct("common", "page", "displays", "start", "ts")).alias("value"), "ts"
     )
-    fixed = stage_stream(repair.fix_is_new(lines), "fixed")
-    return fixed.select("common.mid", "common.is_new", "ts")
+    lines = stage_files(lines, "ts", "log_lines")
+    folder = f"{staging_dir(spark)}/fixed-{uuid.uuid4().hex}"
+
+    def write(batch_lines, batch):
+        fixed = repair.fix_batch(
+            logs.parse_log(batch_lines.select("value")), batch, f"{folder}/days"
+        )
+        flat = fixed.select("common.mid", "common.is_new", "ts")
+        flat.write.mode("overwrite").parquet(f"{folder}/out/batch={batch}")
+
+    jobs.start_batches(lines, write, f"{folder}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select("mid", "is_new", "ts")
+
+
+def _timed(found: DataFrame, time: str, name: str) -> DataFrame:
+    """Records as a stream of several micro-batches in order of time, then one far later.
+
+    The last record, of no product and no visitor, closes the windows of the others.
+    """
+    page = F.struct(
+        F.lit("good_detail").alias("page_id"), F.lit(None).alias("last_page_id"),
+        F.lit("-1").alias("item"), F.lit(None).alias("during_time"),
+    )
+    end = {"sku_id": F.lit(-1), "page": page, time: F.lit(LAST_MILLIS if time == "ts" else LAST_STT)}
+    row = [end.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in found.dtypes]
+    last = found.sparkSession.range(1).select(*row).coalesce(1)
+    return stage_files(found, time, name, last)
 
 
 def _page_stream(spark, sf):
@@ -434,9 +468,21 @@ def stream_user_jump(spark, sf):
 
 @query
 def stream_visitor_stats(spark, sf):
-    """Page views, visits and durations per closed window."""
-    measures = stats.page_measures(_page_stream(spark, sf))
-    return stage_stream(stats.visitor_stats(measures, EVENT_WINDOW), "visitor_stats")
+    """All visitor measures per closed window, of three topics.
+
+    Bounces are known two bounce limits after they happen.
+    """
+    pages, visits_of_day, bounces = (
+        _timed(found, "ts", name)
+        for name, found in (
+            ("pages", _pages(spark, sf)),
+            ("visits", visits.unique_visit(_pages(spark, sf), adapt.VISIT_ORDER)),
+            ("bounces", visits.user_jump(_pages(spark, sf), adapt.BOUNCE_LIMIT_MS, adapt.VISIT_ORDER)),
+        )
+    )
+    bound = f"{2 * adapt.BOUNCE_LIMIT_MS} milliseconds"
+    found = jobs.visitor_stats(pages, visits_of_day, bounces, EVENT_WINDOW, bounce_delay=bound)
+    return stage_stream(found, "visitor_stats").where(F.col("stt") < LAST_STT)
 
 
 @query
@@ -446,17 +492,25 @@ def stream_order_wide(spark, sf):
         adapt.details(spark, sf, read=adapt.stream),
         ORDER_BOUND,
     )
-    kept = joined.select("detail_id", "order_id", "sku_id", "split_total_amount", "create_time")
-    return stage_stream(kept, "order_wide")
+    return stage_stream(joined, "order_wide")
 
 
 @query
 def stream_product_stats(spark, sf):
-    """Clicks and displays per closed window, by the two-step aggregate."""
-    pages = _page_stream(spark, sf)
-    measures = stats.product_union(stats.product_clicks(pages), stats.product_displays(pages))
-    found = jobs.product_stats(measures, EVENT_WINDOW)
-    return stage_stream(found.select("stt", "sku_id", "click_ct", "display_ct", "ts"), "product")
+    """All product measures per window, of seven topics."""
+    wide = stage(_order_wide(spark, sf), "order_wide")
+    sources = (
+        ("pages", "ts", _pages(spark, sf)),
+        ("wide", "create_time", wide),
+        ("paid", "order_create_time", _payment_wide(spark, sf, wide)),
+        ("carts", "create_time", adapt.carts(spark, sf)),
+        ("favors", "create_time", adapt.favors(spark, sf)),
+        ("refunds", "create_time", adapt.refunds(spark, sf)),
+        ("comments", "create_time", adapt.comments(spark, sf)),
+    )
+    streams = [_timed(found, time, name) for name, time, found in sources]
+    found = jobs.product_stats(*products.product_frames(*streams), window=EVENT_WINDOW)
+    return stage_stream(found, "product").where(F.col("stt") < LAST_STT)
 
 
 @query
@@ -493,14 +547,12 @@ def report_gmv(spark, sf):
 
 @query
 def report_top_brand(spark, sf):
-    found = reports.top_brands(_named_rows_of_day(spark, sf, ORDER_DAY), ORDER_DAY)
-    return found.withColumn("tm_id", F.coalesce("tm_id", F.lit(-1)))
+    return reports.top_brands(_named_rows_of_day(spark, sf, ORDER_DAY), ORDER_DAY)
 
 
 @query
 def report_top_category(spark, sf):
-    found = reports.top_categories(_named_rows_of_day(spark, sf, ORDER_DAY), ORDER_DAY)
-    return found.withColumn("category3_id", F.coalesce("category3_id", F.lit(-1)))
+    return reports.top_categories(_named_rows_of_day(spark, sf, ORDER_DAY), ORDER_DAY)
 
 
 @query

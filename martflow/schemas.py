@@ -34,8 +34,11 @@ PAGE = record(
     ts=LONG,
 )
 
-# Change event after normalizing.
-CHANGE = record(database=TEXT, table=TEXT, type=TEXT, data=TEXT_MAP)
+# Change event after normalizing.  ``before`` finds the row of a delete, ``ts`` is
+# when the database changed; messages may lack both.
+CHANGE = record(
+    database=TEXT, table=TEXT, type=TEXT, data=TEXT_MAP, before=TEXT_MAP, ts=LONG
+)
 
 # Raw change-capture envelope.
 ENVELOPE = record(

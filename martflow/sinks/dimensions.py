@@ -19,8 +19,9 @@ from pyspark.sql import types as T
 from martflow.operators.changes import fold_dimension, merge_folds, visible_rows
 from martflow.schemas import LONG, TEXT, record
 
-ORDER = ["batch", "seq"]
-_AT = record(batch=LONG, seq=LONG)
+# Later batches win; within one the time of the change, then the place in the topic.
+ORDER = ["batch", "at", "position"]
+_AT = record(batch=LONG, at=LONG, position=record(file=TEXT, nr=LONG))
 
 
 def dimension_columns(sink_columns: str, pk: str | None = None) -> list[str]:
@@ -66,7 +67,7 @@ class Dimension:
         return bases.agg(F.coalesce(F.max("upto"), F.lit(-1))).first()[0]
 
     def write(self, changes: DataFrame, batch: int) -> None:
-        """Fold a batch of changes (``type``, ``data``, ``seq``) and store it."""
+        """Fold a batch of changes (``type``, ``data``, ``at``, ``position``) and store it."""
         folded = fold_dimension(
             changes.withColumn("batch", F.lit(batch).cast("bigint")),
             list(self.columns),

@@ -18,14 +18,23 @@ def read_envelopes(lines: DataFrame) -> DataFrame:
 
 def read_routing(spark: SparkSession, folder: str) -> DataFrame:
     """The routing rules in force, from a folder of the rule table's envelopes."""
-    return latest_config(read_envelopes(spark.read.text(folder)), ["ts_ms"])
+    lines = spark.read.text(folder).select("value", "_metadata.file_name")
+    # Changes of one millisecond are told apart by the rule they state.
+    events = read_envelopes(lines).withColumn("_rule", F.to_json("data"))
+    return latest_config(events, ["ts_ms", "file_name", "_rule"])
 
 
 def read_changes(lines: DataFrame) -> DataFrame:
-    """Change-event texts to columns."""
+    """Change-event texts to columns; other columns of ``lines`` are kept."""
     return parse_text(lines, schemas.CHANGE)
 
 
+def rejected_changes(lines: DataFrame) -> DataFrame:
+    """The lines that are no change events, as they came."""
+    kept = lines.withColumn("_line", F.struct(*lines.columns))
+    return read_changes(kept).where(F.col("type").isNull()).select("_line.*")
+
+
 def snapshot_as_changes(rows: DataFrame, database: str, table: str) -> DataFrame:
     """Rows of a table as ``read`` events."""
     entries = [F.struct(F.lit(c).alias("k"), F.col(c).cast("string").alias("v")) for c in rows.columns]

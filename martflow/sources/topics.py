@@ -34,27 +34,46 @@ def read_topic(
     group: str | None = None,
     starting: str | None = None,
     files_per_batch: int | None = None,
+    positions: bool = False,
 ) -> DataFrame:
     """A topic as a stream with one text column ``value``.
 
     Name either the Kafka ``servers`` or the ``folder`` of topics.  What a job
-    writes batch by batch is read as the pattern ``<folder>/batch=*``.
+    writes batch by batch is read as the pattern ``<folder>/batch=*``.  With
+    ``positions`` each message says when it arrived (``arrived``, epoch ms) and
+    where it stands (``position``): on Kafka its offset, which orders the messages
+    of one key, in files the file and the place where a task's part of it begins.
     """
     if servers:
         reader = spark.readStream.format("kafka").options(
             **kafka_options(servers, topic, group, starting)
         )
-        return reader.load().select(F.col("value").cast("string").alias("value"))
+        where = [
+            F.unix_millis("timestamp").alias("arrived"),
+            F.struct(F.lit("").alias("file"), F.col("offset").alias("nr")).alias("position"),
+        ]
+        value = F.col("value").cast("string").alias("value")
+        return reader.load().select(value, *(where if positions else []))
     if not folder:
         raise ValueError("name Kafka servers or a folder")
     reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    where = [
+        F.unix_millis("_metadata.file_modification_time").alias("arrived"),
+        F.struct(
+            F.concat_ws(
+                ":", "_metadata.file_path", F.lpad(F.col("_metadata.file_block_start"), 20, "0")
+            ).alias("file"),
+            F.lit(None).cast("bigint").alias("nr"),
+        ).alias("position"),
+    ]
+    kept = ["value", *(where if positions else [])]
     if "*" in folder:
-        return reader.schema(record(value=TEXT)).text(f"{folder}/topic={topic}")
+        return reader.schema(record(value=TEXT)).text(f"{folder}/topic={topic}").select(*kept)
     # Through the folder, whose log lists the files that count.
     whole = reader.schema(record(value=TEXT, topic=TEXT)).text(folder)
-    return whole.where(F.col("topic") == topic).select("value")
+    return whole.where(F.col("topic") == topic).select(*kept)
 
 
 def read_topic_table(

@@ -11,7 +11,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from martflow import schemas
 from martflow.functions.text import map_text
@@ -20,7 +20,7 @@ from martflow.operators import changes, keywords, logs, orders, stats, visits
 from martflow.sinks.dimensions import Dimension, dimension_columns
 from martflow.sinks.results import append_results
 from martflow.sinks.topics import as_messages, write_messages
-from martflow.sources.changes import read_changes
+from martflow.sources.changes import read_changes, rejected_changes
 from martflow.streaming import repair
 
 # Topics between the jobs.
@@ -34,6 +34,8 @@ PAYMENT_WIDE = "dwm_payment_wide"
 
 # Bounces are known up to two bounce limits after they happen.
 VISITOR_DELAY = "23 seconds"
+# An order may be paid half an hour after it was made, and the payment lag a little.
+PAYMENT_DELAY = "1860 seconds"
 
 
 def start_batches(
@@ -48,13 +50,28 @@ def start_batches(
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def dropped_late(query: StreamingQuery) -> int:
-    """Rows that came after their window was closed, in the recent batches."""
-    return sum(
-        operator.get("numRowsDroppedByWatermark", 0)
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+class LateRows(StreamingQueryListener):
+    """Counts the rows that came after their window was closed, over all batches.
+
+    Add it with ``spark.streams.addListener`` before the queries start.
+    """
+
+    def __init__(self) -> None:
+        self.by_query: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.by_query.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        dropped = sum(o.numRowsDroppedByWatermark for o in event.progress.stateOperators)
+        query = str(event.progress.id)
+        self.by_query[query] = self.by_query.get(query, 0) + dropped
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
 
 
 # --- logs -------------------------------------------------------------------
@@ -78,17 +95,16 @@ def split_messages(records: DataFrame) -> DataFrame:
     return records.select(F.explode(messages).alias("m")).select("m.topic", "m.value")
 
 
-def base_log(lines: DataFrame) -> DataFrame:
-    """App log lines to start, page and display messages, new flags repaired."""
-    return split_messages(repair.fix_is_new(lines))
-
-
-def write_base_log(
-    day_folder: str, folder: str | None = None, servers: str | None = None
+def base_log(
+    day_folder: str,
+    folder: str | None = None,
+    servers: str | None = None,
+    reject_folder: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """The same, batch by batch, for large batches and hot devices.
+    """App log lines to start, page and display messages, new flags repaired.
 
-    First days are kept below ``day_folder``.
+    First days are kept below ``day_folder``; lines that are no records go to
+    ``reject_folder``.
     """
 
     def write(lines: DataFrame, batch: int) -> None:
@@ -98,6 +114,8 @@ def write_base_log(
             write_messages(split_messages(fixed), batch, servers, folder)
         finally:
             records.unpersist()
+        if reject_folder:
+            write_rejects(logs.rejected_lines(lines), batch, reject_folder)
 
     return write
 
@@ -132,41 +150,58 @@ def base_db(
     fact_folder: str | None = None,
     fact_servers: str | None = None,
     compact_every: int = 100,
+    reject_folder: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """Route each batch of change messages to dimensions and fact topics.
 
-    ``read_config`` gives the rules in force, one per table and operation; it is
-    asked once per batch.
+    The messages come with their positions (``read_topic(positions=True)``); of two
+    changes of a row the one that the database made later wins, else the one that
+    arrived later.  ``read_config`` gives the rules in force, one per table and
+    operation; it is asked once per batch.  Lines that are no changes go to
+    ``reject_folder``.
     """
 
     def write(lines: DataFrame, batch: int) -> None:
         spark = lines.sparkSession
-        # Ids grow within a partition, so they keep the order of arrival there.
-        arrived = lines.withColumn("seq", F.monotonically_increasing_id())
         config = read_config()
-        usable = changes.valid_changes(read_changes(arrived))
-        routed = changes.route_changes(usable, config).persist()
+        dimensions = dimensions_of(config, dimension_folder)
+        # In files, ids grow along the lines of a task's part.
+        line = F.coalesce("position.nr", F.monotonically_increasing_id())
+        read = read_changes(lines.withColumn("position", F.col("position").withField("nr", line)))
+        read = read.withColumn("at", F.coalesce("ts", "arrived"))
+        routed = changes.route_changes(changes.valid_changes(read), config).persist()
         try:
             write_messages(changes.fact_messages(routed), batch, fact_servers, fact_folder)
             dims = changes.dimension_changes(routed)
-            for dimension in dimensions_of(config, dimension_folder):
+            for dimension in dimensions:
                 table = dimension.folder.rsplit("/", 1)[1]
                 dimension.write(dims.where(F.col("sink_table") == table), batch)
                 if batch % compact_every == compact_every - 1:
                     dimension.compact(spark, batch)
         finally:
             routed.unpersist()
+        if reject_folder:
+            write_rejects(rejected_changes(lines), batch, reject_folder)
 
     return write
 
 
+def write_rejects(lines: DataFrame, batch: int, folder: str) -> None:
+    """Keep unreadable lines as they came; a repeated batch replaces itself."""
+    lines.select("value").write.mode("overwrite").text(f"{folder}/batch={batch}")
+
+
 def dimensions_of(config: DataFrame, folder: str) -> list[Dimension]:
-    """The dimension tables that the rules write; there are as many as rules."""
-    rules = config.where(
-        (F.col("sink_type") == schemas.SINK_DIMENSION) & (F.length("sink_columns") > 0)
-    ).select("sink_table", "sink_columns", "sink_pk")
+    """The dimension tables that the rules write; there are as many as rules.
+
+    A rule without a column list names no columns for a table, so it is refused.
+    """
+    rules = config.where(F.col("sink_type") == schemas.SINK_DIMENSION)
+    rules = rules.select("sink_table", "sink_columns", "sink_pk")
     tables: dict[str, tuple[dict, str]] = {}
     for table, columns, pk in rules.orderBy("sink_table", "sink_columns").collect():
+        if not columns:
+            raise ValueError(f"a rule of dimension {table} lists no columns")
         known, _ = tables.setdefault(table, ({}, pk or "id"))
         known.update(dict.fromkeys(dimension_columns(columns, pk)))
     return [
@@ -228,17 +263,36 @@ def visitor_stats(
     unique_visits: DataFrame,
     bounces: DataFrame,
     window: str = stats.WINDOW,
-    delay: str = VISITOR_DELAY,
+    delay: str = "3 seconds",
+    bounce_delay: str = VISITOR_DELAY,
 ) -> DataFrame:
-    measures = stats.visitor_union(pages, unique_visits, bounces)
-    return stats.visitor_stats(measures, window, delay)
+    """Visitor statistics of three streams, each with a watermark of its own.
+
+    Spark closes a window when the slowest of them has passed it.
+    """
+    measures = stats.union_on_time(
+        (stats.page_measures(pages), delay),
+        (stats.unique_visit_measures(unique_visits), delay),
+        (stats.bounce_measures(bounces), bounce_delay),
+    )
+    return stats.visitor_stats(measures, window)
 
 
 def product_stats(
-    measures: DataFrame, window: str = stats.WINDOW, delay: str = "5 seconds"
+    *measures: DataFrame,
+    window: str = stats.WINDOW,
+    delay: str = "5 seconds",
+    payment_delay: str = PAYMENT_DELAY,
 ) -> DataFrame:
-    """Statistics of the measures that ``plans.products.product_measures`` makes."""
-    return stats.product_stats(measures, window, delay)
+    """Product statistics of any measure frames, each with a watermark of its own.
+
+    Payments are dated by their order, so they come as late as orders may be paid.
+    """
+    dated = [
+        (frame, payment_delay if "payment_amount" in frame.columns else delay)
+        for frame in measures
+    ]
+    return stats.product_stats(stats.union_on_time(*dated), window)
 
 
 def write_product_stats(

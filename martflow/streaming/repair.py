@@ -1,77 +1,20 @@
-"""New-flag repair on a stream: one remembered day per device.
+"""New-flag repair on a stream: one remembered day per device, in a table.
 
-Two ways to remember.  :func:`fix_is_new` keeps the days in the query's state,
-for short micro-batches; a device's records of one batch meet in one task.
-:func:`fix_batch` keeps them in a table, for large micro-batches, and repairs
-each with the batch operators, which split a hot device.
+Each micro-batch is repaired with the batch operators, which combine on the map side
+and split a hot device, so the result does not hang on how its rows are cut up.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from martflow.functions.times import millis_to_day
-from martflow.operators.logs import parse_log
 from martflow.operators.visits import first_visit_days, fix_is_new_by
 from martflow.schemas import LONG, TEXT, record
 
-
-class FirstVisit(StatefulProcessor):
-    """Keeps the day of a device's first flagged record, forever.
-
-    Rows come in chunks of bounded size and leave in the same; only the day is
-    held, however many records a device has.
-    """
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._day = handle.getValueState("first_day", "day string")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        first = self._day.get()[0] if self._day.exists() else None
-        for frame in rows:
-            if first is None:
-                first = frame.loc[frame["ts"].idxmin(), "day"]
-                self._day.update((first,))
-            flag = np.where(frame["day"] == first, "1", "0")
-            yield pd.DataFrame({"value": frame["value"], "is_new": flag})
-
-    def close(self) -> None:
-        pass
-
-
-def fix_is_new(lines: DataFrame) -> DataFrame:
-    """Log lines to records with repaired flags, in arrival order.
-
-    Only lines flagged as new meet the state; the others pass by.  A device
-    whose first flagged records arrive out of order over midnight, in
-    different batches, keeps the day that arrived first.
-    """
-    flagged = F.coalesce(F.col("common.is_new") == "1", F.lit(False))
-    with_text = parse_log(lines.withColumn("_value", F.col("value")))
-    new = with_text.where(flagged).select(
-        F.col("common.mid").alias("mid"),
-        millis_to_day("ts").alias("day"),
-        "ts",
-        F.col("_value").alias("value"),
-    )
-    repaired = new.groupBy("mid").transformWithStateInPandas(
-        FirstVisit(),
-        outputStructType=record(value=TEXT, is_new=TEXT),
-        outputMode="Append",
-        timeMode="None",
-    )
-    records = parse_log(repaired)
-    records = records.withColumn(
-        "common", F.col("common").withField("is_new", F.col("is_new"))
-    ).drop("is_new")
-    return records.unionByName(with_text.where(~flagged).drop("_value"))
+# Days are stored in so many files per batch, cut by device.
+FILES = 8
 
 
 def _known_days(spark: SparkSession, folder: str, before: int) -> DataFrame:
@@ -96,6 +39,6 @@ def fix_batch(records: DataFrame, batch: int, folder: str) -> DataFrame:
     here = first_visit_days(records)
     known = _known_days(spark, folder, batch).join(here.select("mid"), "mid", "left_semi")
     new = here.join(known.select("mid"), "mid", "left_anti")
-    new.write.mode("overwrite").parquet(f"{folder}/batch={batch}")
+    new.repartition(FILES, "mid").write.mode("overwrite").parquet(f"{folder}/batch={batch}")
     stored = spark.read.schema(new.schema).parquet(f"{folder}/batch={batch}")
     return fix_is_new_by(records, known.unionByName(stored))

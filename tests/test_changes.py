@@ -3,7 +3,11 @@
 import json
 from decimal import Decimal
 
+import pytest
+from pyspark.sql import functions as F
+
 from martflow import schemas
+from martflow.functions.times import text_to_millis
 from martflow.operators import changes
 from martflow.operators.logs import parse_text
 from martflow.sinks.dimensions import Dimension, dimension_columns, dimension_schema
@@ -140,7 +144,8 @@ def test_fold(spark):
 def test_dimension_store(spark, tmp_path):
     dim = Dimension(f"{tmp_path}/dim_t", ("id", "name", "city"))
     assert dim.current(spark).collect() == []
-    df = events(spark, UPSERTS).drop("database", "table")
+    place = "named_struct('file', '', 'nr', CAST(seq AS BIGINT)) AS position"
+    df = events(spark, UPSERTS).drop("database", "table").selectExpr("*", "0L AS at", place)
     for batch in range(4):
         dim.write(df.where(f"seq div 2 = {batch}"), batch)
         dim.write(df.where(f"seq div 2 = {batch}"), batch)  # a repeated batch
@@ -168,9 +173,40 @@ def test_read_changes_keeps_other_columns(spark):
     df = read_changes(spark.createDataFrame([(5, text)], "seq BIGINT, value STRING"))
     assert df.first().asDict() == {
         "seq": 5, "database": "d", "table": "t", "type": "insert", "data": {"id": "1", "x": None},
+        "before": None, "ts": None,
     }
 
 
+def test_deletes_are_kept_and_found_by_the_row_before(spark):
+    lines = spark.createDataFrame(
+        [
+            ('{"op":"c","after":{"id":1,"name":"a"},"source":{"db":"d","table":"t"},"ts_ms":1}',),
+            ('{"op":"d","before":{"id":1,"name":"a"},"source":{"db":"d","table":"t"},"ts_ms":2}',),
+            ('{"op":"r","after":{"id":2,"name":"b"},"source":{"db":"d","table":"t"},"ts_ms":0}',),
+        ],
+        "value STRING",
+    )
+    events = changes.valid_changes(read_envelopes(lines))
+    assert sorted(r.type for r in events.collect()) == ["delete", "insert", "read"]
+    latest = changes.latest_rows(events, ["table", "id"], ["ts_ms"]).collect()
+    assert [(r.id, r.type) for r in latest] == [("2", "read")]
+    config = spark.createDataFrame(
+        [("t", op, "hbase", "dim_t", "id,name", None, None) for op in ("insert", "delete")], schemas.ROUTING
+    )
+    routed = changes.route_changes(events, config)
+    folded = changes.fold_dimension(routed, ["id", "name"], order=["ts_ms"])
+    assert list(map(tuple, folded.collect())) == [("2", "b")]
+
+
+@pytest.mark.parametrize(
+    "text, millis",
+    [("1970-01-01 12:00:00", 43_200_000), ("12:00:00", None), ("1970-01-01", None), ("x", None),
+     ("1970-01-01T12:00:00", None), ("1970-99-01 12:00:00", None)],
+)
+def test_only_date_time_texts_are_times(spark, text, millis):
+    assert spark.range(1).select(text_to_millis(F.lit(text)).alias("t")).first().t == millis
+
+
 def test_numbers_may_be_text(spark):
     texts = [
         '{"id": 8, "total_amount": 3.5, "create_time": "2024-03-01 10:00:00"}',

@@ -221,9 +221,12 @@ def test_keywords(spark):
 
 def test_tokenizer_in_sql(spark):
     spark.createDataFrame([("One two",), ("--",), (None,)], "t STRING").createOrReplaceTempView("texts")
-    statement = "SELECT s FROM texts, LATERAL ik_analyze(t) ORDER BY s"
+    words = "(SELECT ik_analyze(t) AS words FROM texts)"
+    statement = f"SELECT s FROM {words} LATERAL VIEW explode(words) x AS s ORDER BY s"
     register_tokenizer(spark)
     assert [r.s for r in spark.sql(statement).collect()] == ["one", "two"]
+    plan = spark.sql(statement.removesuffix(" ORDER BY s"))._jdf.queryExecution().executedPlan()
+    assert not any(word in plan.toString() for word in ("Join", "Aggregate", "Exchange", "Python"))
     spark.sql("DROP TEMPORARY FUNCTION ik_analyze")
     register_tokenizer(spark, lambda text: [text[:1], text[-1:]])
     assert [r.s for r in spark.sql(statement).collect()] == ["-", "-", "O", "o"]

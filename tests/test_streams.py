@@ -3,6 +3,8 @@
 import json
 import os
 import random
+import time
+from datetime import UTC, datetime
 from decimal import Decimal
 
 import pytest
@@ -76,19 +78,7 @@ def random_log(seed, n, span, step=1000):
     ]
 
 
-def by_file(stream, checkpoint, out):
-    """Base log in the query's state."""
-    return stream_messages(jobs.base_log(stream), checkpoint, folder=out)
-
-
-def by_batch(stream, checkpoint, out):
-    """Base log with its first days in a table."""
-    write = jobs.write_base_log(f"{out}-days", out)
-    return jobs.start_batches(stream, write, checkpoint)
-
-
-@pytest.mark.parametrize("start", [by_file, by_batch])
-def test_base_log_repairs_splits_and_survives_a_restart(spark, topics, tmp_path, start):
+def test_base_log_repairs_splits_and_survives_a_restart(spark, topics, tmp_path):
     records = random_log(1, 120, 4 * DAY)
     for r in records[::7]:
         r["start"] = {"entry": "icon"}
@@ -98,7 +88,9 @@ def test_base_log_repairs_splits_and_survives_a_restart(spark, topics, tmp_path,
     out, checkpoint = f"{tmp_path}/dwd", f"{tmp_path}/cp"
 
     def job(folder):
-        run(start(stream_log_lines(spark, f"{folder}/topic=ods", 1), checkpoint, out))
+        write = jobs.base_log(f"{tmp_path}/days", out, reject_folder=f"{tmp_path}/rejects")
+        lines = stream_log_lines(spark, f"{folder}/topic=ods", 1)
+        run(jobs.start_batches(lines, write, checkpoint))
 
     folder = topics("ods", [*one, "broken {"], two)
     job(folder)
@@ -115,9 +107,10 @@ def test_base_log_repairs_splits_and_survives_a_restart(spark, topics, tmp_path,
     shown = logs.parse_text(displays.select("value"), logs.split_display(fixed).schema)
     assert rows(shown) == rows(logs.split_display(fixed))
 
+    assert [r.value for r in spark.read.text(f"{tmp_path}/rejects").collect()] == ["broken {"]
+
     # The next job reads the topic that this one has written.
-    source = out if start is by_file else f"{out}/batch=*"
-    topic = read_topic_table(spark, jobs.PAGE_LOG, schemas.PAGE, folder=source)
+    topic = read_topic_table(spark, jobs.PAGE_LOG, schemas.PAGE, folder=f"{out}/batch=*")
     assert rows(table_of(topic.selectExpr(*flat), f"{tmp_path}/next")) == rows(pages.selectExpr(*flat))
 
 
@@ -134,6 +127,27 @@ def test_a_repeated_batch_gives_the_same_flags(spark, tmp_path):
         assert flags == expected[n]
 
 
+@pytest.mark.parametrize("chunk", [2, 10_000])
+def test_flags_do_not_hang_on_chunks_or_order(spark, tmp_path, chunk):
+    """Three batches, shuffled within, a third of all records from one device."""
+    rng = random.Random(6)
+    records = [
+        page("hot" if i % 3 == 0 else f"d{rng.randrange(20)}", i * 3_600_000, is_new="1")
+        for i in range(240)
+    ]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", chunk)
+    try:
+        got = []
+        for batch, part in enumerate(sliced(records, 3)):
+            rng.shuffle(part)
+            fixed = repair.fix_batch(frame(spark, part).repartition(5), batch, f"{tmp_path}/days")
+            got += [(r.common.mid, r.ts, r.common.is_new) for r in fixed.collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = visits.fix_is_new(frame(spark, records)).collect()
+    assert sorted(got) == sorted((r.common.mid, r.ts, r.common.is_new) for r in want)
+
+
 def test_bounces(spark, topics, tmp_path):
     folder = topics("pages", SAMPLE[:2], SAMPLE[2:], [page("end", LATER)])
     pages = read_topic_table(spark, "pages", schemas.PAGE, folder=folder, files_per_batch=1)
@@ -191,9 +205,18 @@ def test_late_records_are_dropped(spark, topics, tmp_path):
     pages = read_topic_table(spark, "pages", schemas.PAGE, folder=folder, files_per_batch=1)
     counts = stats.visitor_stats(stats.page_measures(pages), delay="3 seconds")
     query = counts.writeStream.format("parquet").option("path", f"{tmp_path}/out")
-    query = query.option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start()
-    run(query)
-    assert jobs.dropped_late(query) == 1
+    late = jobs.LateRows()
+    spark.streams.addListener(late)
+    try:
+        query = query.option("checkpointLocation", f"{tmp_path}/cp")
+        query = run(query.trigger(availableNow=True).start())
+        for _ in range(50):  # progress is reported a little later
+            if late.by_query.get(query.id):
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(late)
+    assert late.by_query[query.id] == 1
     found = spark.read.schema(counts.schema).parquet(f"{tmp_path}/out").where(f"ts < {LATER}")
     assert {(r.stt[-5:], r.pv_ct) for r in found.collect()} == {
         ("00:00", 1), ("00:30", 1), ("00:50", 1), ("01:00", 1),
@@ -284,7 +307,7 @@ def test_orders_payments_and_their_statistics_equal_batch(spark, topics, tmp_pat
     texts.sort(key=lambda t: json.loads(t)["create_time"])
     folder = topics("stats", *sliced(texts, 3), [end], [end])
     wide_topic = read_topic_table(spark, "stats", schemas.ORDER_WIDE_FULL, folder=folder, files_per_batch=1)
-    measures = stats.product_union(stats.product_orders(wide_topic))
+    measures = stats.product_orders(wide_topic)
     table = f"{tmp_path}/product_stats"
     run(jobs.start_batches(
         jobs.product_stats(measures),
@@ -340,7 +363,7 @@ def test_product_stats_of_all_seven_sources_equal_batch(spark, topics, tmp_path)
         read_topic_table(spark, n, schema, folder=topics(n, found, [end]), files_per_batch=1)
         for n, (schema, found, end) in shapes.items()
     ]
-    found = table_of(jobs.product_stats(products.product_measures(*streams)), tmp_path)
+    found = table_of(jobs.product_stats(*products.product_frames(*streams)), tmp_path)
     tables = [
         spark.createDataFrame(
             [{**dict.fromkeys(schemas.PRODUCT_ACTION.names), **r,
@@ -356,6 +379,46 @@ def test_product_stats_of_all_seven_sources_equal_batch(spark, topics, tmp_path)
     assert expected.where("refund_order_ct > 0").count() and expected.where("paid_order_ct > 0").count()
 
 
+def test_late_payments_and_bounces_are_counted(spark, topics, tmp_path):
+    """Payments half an hour after their order, bounces two batches behind the pages."""
+    base = 1709287200000  # 2024-03-01 10:00:00
+    text = lambda ms: datetime.fromtimestamp(ms / 1000, UTC).strftime("%Y-%m-%d %H:%M:%S")
+    steps = range(0, 8)
+    clicks = [[page("a", base + k * 600_000, "good_detail", item="5")] for k in steps]
+    paid = [
+        [{"sku_id": 5, "order_id": k, "split_total_amount": "2.00",
+          "order_create_time": text(base + k * 600_000 - 1_740_000)}]
+        for k in steps
+    ]
+    late = base + LATER
+    ends = [page("end", late, "good_detail", item="1")], [
+        {"sku_id": 1, "order_id": 0, "split_total_amount": "1.00", "order_create_time": text(late)}
+    ]
+    shape = schemas.record(
+        sku_id=schemas.LONG, order_id=schemas.LONG, split_total_amount=schemas.MONEY,
+        order_create_time=schemas.TEXT,
+    )
+    pages = read_topic_table(
+        spark, "pages", schemas.PAGE, folder=topics("pages", *clicks, ends[0]), files_per_batch=1
+    )
+    payments = read_topic_table(
+        spark, "paid", shape, folder=topics("paid", *paid, ends[1]), files_per_batch=1
+    )
+    frames = stats.product_clicks(pages), stats.product_payments(payments)
+    found = table_of(jobs.product_stats(*frames), tmp_path / "product").where("sku_id <> 1")
+    got = found.selectExpr("sum(paid_order_ct)", "sum(payment_amount)", "sum(click_ct)").first()
+    assert tuple(got) == (8, Decimal("16.00"), 8)
+
+    views = [[page("a", base + k * 10_000)] for k in steps]
+    behind = [[page("x", base)], [page("y", base)]] + views[:-2] + [views[-2] + views[-1]]
+    streams = [
+        read_topic_table(spark, n, schemas.PAGE, folder=topics(n, *parts, [page("end", late)]), files_per_batch=1)
+        for n, parts in (("views", views), ("visits", views), ("bounces", behind))
+    ]
+    found = table_of(jobs.visitor_stats(*streams), tmp_path / "visitor").where(f"ts < {late}")
+    assert found.selectExpr("sum(pv_ct)", "sum(uj_ct)").first() == (8, 10)
+
+
 def test_keywords_equal_batch(spark, topics, tmp_path):
     records = [page("a", i * 700, "good_list", item=f"red ring {i % 5}") for i in range(100)]
     folder = topics("pages", *sliced(records, 3), [page("end", LATER, "good_list", item="end")])
@@ -383,11 +446,11 @@ def test_changes_are_routed_by_the_rules_of_the_moment(spark, topics, tmp_path):
         rule(1, "r", source_table="cart", operate_type="insert", sink_type="kafka", sink_table="dwd_cart"),
     ])
     read_rules = lambda: read_routing(spark, rules)
-    dims, facts, checkpoint = (f"{tmp_path}/{n}" for n in ("dims", "facts", "cp"))
+    dims, facts, checkpoint, rejects = (f"{tmp_path}/{n}" for n in ("dims", "facts", "cp", "bad"))
 
     def job(folder):
-        lines = read_topic(spark, "db", folder=folder, files_per_batch=1)
-        write = jobs.base_db(read_rules, dims, facts, compact_every=2)
+        lines = read_topic(spark, "db", folder=folder, files_per_batch=1, positions=True)
+        write = jobs.base_db(read_rules, dims, facts, compact_every=2, reject_folder=rejects)
         run(jobs.start_batches(lines, write, checkpoint))
 
     job(topics(
@@ -403,9 +466,10 @@ def test_changes_are_routed_by_the_rules_of_the_moment(spark, topics, tmp_path):
     job(topics("db", [
         change("cart", "insert", id=5),
         change("order", "insert", id=8, total=3),
-        change("user", "delete", id=2, name="b"),
+        {**change("user", "delete"), "before": {"id": 2, "name": "b"}},
         "not json",
     ]))
+    assert [r.value for r in spark.read.text(rejects).collect()] == ["not json"]
 
     (dim,) = jobs.dimensions_of(read_rules(), dims)
     assert dim.columns == ("id", "name", "city")
@@ -417,6 +481,38 @@ def test_changes_are_routed_by_the_rules_of_the_moment(spark, topics, tmp_path):
     assert [r.value for r in table_of(topic, f"{tmp_path}/t").collect()] == ['{"id":"8","total":"3"}']
 
 
+def changes_in(spark, tmp_path, folder, rules, files=10):
+    lines = read_topic(spark, "db", folder=folder, files_per_batch=files, positions=True)
+    config = spark.createDataFrame(rules, schemas.ROUTING)
+    write = jobs.base_db(lambda: config, f"{tmp_path}/dims")
+    run(jobs.start_batches(lines, write, f"{tmp_path}/cp"))
+    return jobs.dimensions_of(config, f"{tmp_path}/dims")
+
+
+USER_RULES = [("user", op, "hbase", "dim_user", "id,name", "id", None) for op in ("insert", "update")]
+
+
+def test_the_newer_file_wins_whatever_its_size(spark, topics, tmp_path):
+    old = [change("user", "insert", id=1, name="old")]
+    new = [change("user", "update", id=1, name="new")]
+    new += [change("cart", "insert", id=n, name="x" * 50) for n in range(200)]
+    (dim,) = changes_in(spark, tmp_path, topics("db", old, new), USER_RULES)
+    assert rows(dim.current(spark)) == [("1", "new")]
+
+
+def test_the_later_change_wins_over_the_later_arrival(spark, topics, tmp_path):
+    one = [{**change("user", "update", id=1, name="later"), "ts": 2_000_000_000_000}]
+    two = [{**change("user", "insert", id=1, name="earlier"), "ts": 1_900_000_000_000}]
+    (dim,) = changes_in(spark, tmp_path, topics("db", one, two), USER_RULES)
+    assert rows(dim.current(spark)) == [("1", "later")]
+
+
+def test_a_rule_without_columns_is_refused(spark, tmp_path):
+    rules = [("user", "insert", "hbase", "dim_user", "", "id", None)]
+    with pytest.raises(ValueError, match="dim_user"):
+        jobs.dimensions_of(spark.createDataFrame(rules, schemas.ROUTING), "x")
+
+
 def test_kafka_options():
     assert kafka_options("h:1", "t", "g", "latest") == {
         "kafka.bootstrap.servers": "h:1", "subscribe": "t", "kafka.group.id": "g",
