@@ -16,17 +16,16 @@ def _parsed(lines: DataFrame, column: str, schema: T.StructType, name: str) -> D
 
     Numbers come as numbers or as text, so all values are read as text and cast
     afterwards; what cannot be cast is null.  The explode is a fence: a filter
-    that is pushed below the projection would parse the text again for every
-    field it looks at.
+    that is pushed below the projection would parse and cast the text again for
+    every field it looks at.
     """
     texts = T.StructType(
         schemas.as_text(schema).fields + [T.StructField(CORRUPT, T.StringType())]
     )
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     target = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-    raw = F.from_json(column, texts, options)
-    fenced = lines.select("*", F.explode(F.array(raw)).alias(name))
-    return fenced.withColumn(name, F.col(name).try_cast(target))
+    cast = F.from_json(column, texts, options).try_cast(target)
+    return lines.select("*", F.explode(F.array(cast)).alias(name))
 
 
 def parse_text(
@@ -41,13 +40,31 @@ def parse_text(
     return parsed.select(*kept, *[F.col("_r")[f].alias(f) for f in schema.names])
 
 
-def _usable() -> Column:
-    return F.coalesce(
+def checked_lines(lines: DataFrame) -> DataFrame:
+    """Log lines (``value`` text) with their records, parsed once for both uses.
+
+    Keep it (``persist``, or a written table) and take :func:`records_of` and
+    :func:`rejects_of` from it.
+    """
+    parsed = _parsed(lines, "value", schemas.PAGE, "_r")
+    usable = (
         F.col(f"_r.{CORRUPT}").isNull()
         & F.col("_r.common.mid").isNotNull()
-        & F.col("_r.ts").isNotNull(),
-        F.lit(False),
+        & F.col("_r.ts").isNotNull()
     )
+    return parsed.withColumn("_usable", F.coalesce(usable, F.lit(False)))
+
+
+def records_of(checked: DataFrame) -> DataFrame:
+    """The records among checked lines, and other columns than ``value``."""
+    kept = [c for c in checked.columns if c not in ("value", "_r", "_usable")]
+    fields = [F.col("_r")[f].alias(f) for f in schemas.PAGE.names]
+    return checked.where("_usable").select(*kept, *fields)
+
+
+def rejects_of(checked: DataFrame) -> DataFrame:
+    """The checked lines that are no records, as they came."""
+    return checked.where("NOT _usable").drop("_r", "_usable")
 
 
 def parse_log(lines: DataFrame) -> DataFrame:
@@ -56,15 +73,12 @@ def parse_log(lines: DataFrame) -> DataFrame:
     Columns of ``lines`` other than ``value`` are kept.  A device id and a time
     are required, everything else may be missing.
     """
-    kept = [c for c in lines.columns if c != "value"]
-    parsed = _parsed(lines, "value", schemas.PAGE, "_r").where(_usable())
-    return parsed.select(*kept, *[F.col("_r")[f].alias(f) for f in schemas.PAGE.names])
+    return records_of(checked_lines(lines))
 
 
 def rejected_lines(lines: DataFrame) -> DataFrame:
     """The lines :func:`parse_log` leaves out, as they came."""
-    parsed = _parsed(lines, "value", schemas.PAGE, "_r")
-    return parsed.where(~_usable()).select(lines.columns)
+    return rejects_of(checked_lines(lines))
 
 
 def is_start() -> Column:

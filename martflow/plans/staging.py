@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -10,7 +12,10 @@ from pyspark.sql import functions as F
 
 
 def staging_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one in local mode only."""
+    """The shared folder the cluster names; a temporary one in local mode only.
+
+    The temporary one goes with the process.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
@@ -18,7 +23,9 @@ def staging_dir(spark: SparkSession) -> str:
     if not context.getCheckpointDir():
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="martflow-"))
+        folder = tempfile.mkdtemp(prefix="martflow-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 
 

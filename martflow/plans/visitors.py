@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martflow.operators import logs, stats, visits
+from martflow.plans.staging import stage
 
 
 def repaired_visitor_measures(
@@ -16,10 +17,14 @@ def repaired_visitor_measures(
     """Visitor measures of raw log records, new flags repaired.
 
     Neither the daily first entry nor the bounce looks at the flag, so it is
-    repaired last: one join, on narrow rows, instead of one per branch.
+    repaired last: one join, on narrow rows, instead of one per branch.  Every
+    branch needs the records, so what they need of them is written once: text is
+    parsed once, and the branches read narrow columns.
     """
     carried = dict.fromkeys(["common", "page", "ts", *order])
-    pages = logs.split_page(records).select(*carried)
+    narrow = records.select(*carried, logs.is_start().alias("_start"))
+    records = stage(narrow, "visitor_records")
+    pages = records.where("NOT _start").drop("_start")
     measures = stats.visitor_union(
         pages,
         visits.unique_visit(pages, order),

@@ -18,6 +18,7 @@ from martflow.operators import changes, joins, keywords, logs, orders, stats, vi
 from martflow.plans import products, reports, visitors
 from martflow.plans.staging import stage, stage_files, stage_stream, staging_dir
 from martflow.session import tune
+from martflow.sinks.results import append_results, read_results
 from martflow.sinks.topics import as_messages
 from martflow.streaming import jobs, repair
 
@@ -561,11 +562,20 @@ def report_province(spark, sf):
     return reports.province_totals(stats.province_stats(wide), ORDER_DAY)
 
 
+def _stored_visitor_stats(spark, sf):
+    """Visitor statistics as the result table holds them: written, then read."""
+    table = f"{staging_dir(spark)}/visitor_stats-{uuid.uuid4().hex}"
+    append_results(QUERIES["visitor_stats"](spark, sf), table, 0)
+    return read_results(spark, table)
+
+
 @query
 def report_visitor(spark, sf):
-    return reports.visitor_totals(visitor_stats(spark, sf), EVENT_DAY)
+    """A day's partition of the stored statistics."""
+    return reports.visitor_totals(_stored_visitor_stats(spark, sf), EVENT_DAY)
 
 
 @query
 def report_visitor_ratios(spark, sf):
-    return reports.visitor_ratios(reports.visitor_totals(visitor_stats(spark, sf), EVENT_DAY))
+    totals = reports.visitor_totals(_stored_visitor_stats(spark, sf), EVENT_DAY)
+    return reports.visitor_ratios(totals)

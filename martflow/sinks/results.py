@@ -1,8 +1,11 @@
-"""Result tables: append-only, partitioned by the day of the window start."""
+"""Result tables: append-only, partitioned by the day of the window start, then by batch.
+
+A report of a day lists that day's folder only, whatever has been written before.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -15,9 +18,15 @@ def result_rows(df: DataFrame, helpers: tuple[str, ...] = ()) -> DataFrame:
 def append_results(
     df: DataFrame, table: str, batch: int, helpers: tuple[str, ...] = ()
 ) -> None:
-    """Append a micro-batch; a repeated batch replaces itself."""
-    rows = result_rows(df, helpers)
-    rows.write.mode("overwrite").partitionBy("day").parquet(f"{table}/batch={batch}")
+    """Append a micro-batch; a repeated batch replaces itself, day by day."""
+    rows = result_rows(df, helpers).withColumn("batch", F.lit(batch))
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("day", "batch").parquet(table)
+
+
+def read_results(spark: SparkSession, table: str) -> DataFrame:
+    """A result table; reports that ask for a ``day`` list its folder only."""
+    return spark.read.parquet(table).withColumn("day", F.col("day").cast("string"))
 
 
 def append_jdbc(

@@ -108,14 +108,14 @@ def base_log(
     """
 
     def write(lines: DataFrame, batch: int) -> None:
-        records = logs.parse_log(lines).persist()
+        checked = logs.checked_lines(lines).persist()
         try:
-            fixed = repair.fix_batch(records, batch, day_folder)
+            fixed = repair.fix_batch(logs.records_of(checked), batch, day_folder)
             write_messages(split_messages(fixed), batch, servers, folder)
+            if reject_folder:
+                write_rejects(logs.rejects_of(checked), batch, reject_folder)
         finally:
-            records.unpersist()
-        if reject_folder:
-            write_rejects(logs.rejected_lines(lines), batch, reject_folder)
+            checked.unpersist()
 
     return write
 
