@@ -45,6 +45,8 @@ def write_messages(
     As files, each batch has a folder ``batch=N`` that a repeated batch
     replaces; read them back as the folder ``<folder>/batch=*``.
     """
+    if not servers and not folder:
+        raise ValueError("name Kafka servers or a folder")
     rows = messages.select("topic", "value")
     if servers:
         rows.write.format("kafka").option("kafka.bootstrap.servers", servers).save()

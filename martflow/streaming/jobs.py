@@ -165,13 +165,17 @@ def base_db(
         spark = lines.sparkSession
         config = read_config()
         dimensions = dimensions_of(config, dimension_folder)
+        to_topics = fact_folder or fact_servers
+        if not to_topics and not config.where(F.col("sink_type") == schemas.SINK_FACT).isEmpty():
+            raise ValueError("a rule sends facts, and no servers or folder are named for them")
         # In files, ids grow along the lines of a task's part.
         line = F.coalesce("position.nr", F.monotonically_increasing_id())
         read = read_changes(lines.withColumn("position", F.col("position").withField("nr", line)))
         read = read.withColumn("at", F.coalesce("ts", "arrived"))
         routed = changes.route_changes(changes.valid_changes(read), config).persist()
         try:
-            write_messages(changes.fact_messages(routed), batch, fact_servers, fact_folder)
+            if to_topics:
+                write_messages(changes.fact_messages(routed), batch, fact_servers, fact_folder)
             dims = changes.dimension_changes(routed)
             for dimension in dimensions:
                 table = dimension.folder.rsplit("/", 1)[1]

@@ -202,3 +202,22 @@ def test_input_order_does_not_matter(spark):
     for operator in (visits.fix_is_new, visits.unique_visit, visitors.visitor_stats):
         one, two = (sorted(map(str, operator(f).collect())) for f in frames)
         assert one == two and one
+
+
+def test_a_line_is_parsed_and_cast_once(spark):
+    lines = spark.createDataFrame([("{}",)], "value STRING")
+    for df in (
+        logs.parse_log(lines).where("ts > 5").select("common.mid", "page.*", "ts"),
+        logs.rejected_lines(lines),
+    ):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(") == 1
+        assert plan.lower().count("cast(from_json(") == 1
+
+
+def test_visitor_statistics_parse_text_once(spark):
+    """What they read more than once is a written table of the columns they need."""
+    lines = spark.createDataFrame([("{}",)], "value STRING")
+    found = visitors.visitor_stats(logs.parse_log(lines))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json(" not in plan and "displays" not in plan
