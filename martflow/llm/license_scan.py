@@ -19,7 +19,6 @@ gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import string
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,7 +27,6 @@ from pyspark.sql import functions as F
 from martflow.llm.common import table
 
 BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_MIXED_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _FLAG = "\x01"  # in no plain form
 
 #: Fixed by the contract: phrase and label; with a word of the phrase as its keyword.
@@ -129,15 +127,18 @@ def rules() -> list[Rule]:
         for label, keyword, name in LICENSES:
             made.append((label, keyword, phrasing.format(name), priority, weight, False))
     return [
-        Rule(i, label, f" {keyword} ", f" {pattern}(?= )", priority, weight, base)
+        Rule(i, label, keyword, f" {pattern}(?= )", priority, weight, base)
         for i, (label, keyword, pattern, priority, weight, base) in enumerate(made)
     ]
 
 
 def plain_form(text: Column) -> Column:
-    """Words of a text with a space around each; " " if there is none."""
-    low = F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
-    return F.regexp_replace(F.concat(F.lit(" "), low, F.lit(" ")), BREAKS, " ")
+    """Words of a text in lower case with a space around each; " " if there is none.
+
+    Lower-casing reaches other letters than A-Z too. That changes no match: the only
+    other letter with one of A-Z below it is the Kelvin sign, and no rule has a k.
+    """
+    return F.regexp_replace(F.concat(F.lit(" "), F.lower(text), F.lit(" ")), BREAKS, " ")
 
 
 def _spaces(text: Column) -> Column:
@@ -177,19 +178,36 @@ _DETECTION = (
 
 def detections(plain: Column, known: list[Rule] | None = None) -> Column:
     """All detections of a plain form, by first word, the longer and the stronger first."""
-    known = rules() if known is None else known
+    by_keyword: dict[str, list[Rule]] = {}
+    for rule in rules() if known is None else known:
+        by_keyword.setdefault(rule.keyword, []).append(rule)
     listed = F.array(
         *[
             F.struct(
-                F.lit(r.number).alias("number"), F.lit(r.label).alias("label"),
-                F.lit(r.keyword).alias("keyword"), F.lit(r.pattern).alias("pattern"),
-                F.lit(r.priority).alias("priority"), F.lit(r.weight).alias("weight"),
-                F.lit(r.base).alias("base"),
+                F.lit(keyword).alias("keyword"),
+                F.array(
+                    *[
+                        F.struct(
+                            F.lit(r.number).alias("number"), F.lit(r.label).alias("label"),
+                            F.lit(r.pattern).alias("pattern"),
+                            F.lit(r.priority).alias("priority"),
+                            F.lit(r.weight).alias("weight"), F.lit(r.base).alias("base"),
+                        )
+                        for r in own
+                    ]
+                ).alias("rules"),
             )
-            for r in known
+            for keyword, own in by_keyword.items()
         ]
     )
-    tried = F.filter(listed, lambda r: F.contains(plain, r["keyword"]))
+    # The text's words meet the keywords once, by hash, not each keyword the text.
+    keywords = F.array(*map(F.lit, by_keyword))
+    held = F.transform(
+        F.array(F.array_intersect(F.split(plain, " "), keywords)),
+        lambda words: F.filter(listed, lambda group: F.array_contains(words, group["keyword"])),
+    )
+    tried = F.flatten(F.transform(F.flatten(held), lambda group: group["rules"]))
+    tried = F.filter(tried, lambda r: F.rlike(plain, r["pattern"]))
     found = F.flatten(F.transform(tried, lambda r: _of_rule(plain, r)))
 
     def before(a, b):
@@ -227,26 +245,21 @@ def standing(found: Column) -> Column:
     return F.aggregate(found, start, step, lambda state: state["kept"])
 
 
-def _once(value: Column, use) -> Column:
-    """``use`` of a value that is computed once, however often ``use`` names it."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def scan(documents: DataFrame, known: list[Rule] | None = None) -> DataFrame:
     """doc_id, n_words, found (all detections), stand (those not suppressed)."""
-    known = rules() if known is None else known
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    keywords = F.array(*[F.lit(k) for k in sorted({r.keyword.strip() for r in known})])
-    gate = _once(F.lower("text"), lambda low: F.exists(keywords, lambda k: F.contains(low, k)))
-    found = _once(plain_form(F.col("text")), lambda plain: detections(plain, known))
-    none = F.array().cast(f"array<{_DETECTION}>")
-    docs = docs.select(
-        "doc_id",
-        F.regexp_count("text", F.lit(_MIXED_CASE_WORD)).cast("long").alias("n_words"),
-        F.when(gate, found).otherwise(none).alias("found"),
+    plain = plain_form(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    # A function of an array's element computes the element once, a column may not.
+    read = F.transform(
+        F.array(plain),
+        lambda p: F.struct(
+            (_spaces(p) - 1).cast("long").alias("n_words"), detections(p, known).alias("found")
+        ),
     )
-    return docs.withColumn("stand", F.when(F.size("found") > 0, standing(F.col("found"))).otherwise(none))
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), read.alias("read"))
+    docs = docs.select("doc_id", F.explode("read").alias("read")).select("doc_id", "read.*")
+    none = F.array().cast(f"array<{_DETECTION}>")
+    stand = F.when(F.size("found") > 0, standing(F.col("found"))).otherwise(none)
+    return docs.withColumn("stand", stand)
 
 
 def license_labels(documents: DataFrame) -> DataFrame:
