@@ -15,7 +15,7 @@ def connection():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
 def test_query_matches_sql(spark, connection, name):
     columns, rows = spark_rows(contract.queries()[name](spark, SF_DIR))
     expected_columns, expected = sql_rows(connection, contract.oracle_sql()[name])
@@ -30,3 +30,7 @@ def test_query_matches_sql(spark, connection, name):
 
 def test_entry_runs(spark):
     assert contract.entry(spark).count() > 0
+
+
+def test_all_sql_has_a_query():
+    assert set(contract.oracle_sql()) <= set(contract.queries())
