@@ -5,7 +5,8 @@ layers and of attention within it. Documents are dealt to shards by a hash, each
 shard is packed by one task: pieces go, longest first, to the sequence of lowest cost
 that has room for them. A document longer than a sequence is cut into whole sequences
 and a rest. A shard has as many sequences as its ids need and no more, so that when
-no sequence has room for a piece, the emptiest takes what it can and the rest goes on.
+no sequence has room for a piece, the emptiest takes what it can and the rest waits for
+its turn among the others.
 A shard's padding is thus less than one sequence in all.
 
 Shards are sized by bytes of text, so that one holds some millions of ids at any size
@@ -61,7 +62,8 @@ def pack_lengths(
         if rest := length - whole * capacity:
             rests.append((rest, doc, whole * capacity))
             total += rest
-    rests.sort(key=lambda r: (-r[0], r[1]))
+    queue = [(-length, doc, start) for length, doc, start in rests]  # the longest first
+    heapq.heapify(queue)
     opened = range(sequences, sequences - (-total // capacity))
     room = dict.fromkeys(opened, capacity)
     cost = dict.fromkeys(opened, 0.0)
@@ -73,24 +75,25 @@ def pack_lengths(
         room[sequence] -= length
         cost[sequence] += linear * length + quadratic * length * length
 
-    for length, doc, start in rests:
-        while length:
-            while parked and -parked[0][0] >= length:
-                _, paid, sequence = heapq.heappop(parked)
-                heapq.heappush(ready, (paid, sequence))
-            while ready and room[ready[0][1]] < length:
-                paid, sequence = heapq.heappop(ready)
-                if room[sequence]:
-                    heapq.heappush(parked, (-room[sequence], paid, sequence))
-            if ready:
-                sequence = ready[0][1]
-                put(doc, start, length, sequence)
-                heapq.heapreplace(ready, (cost[sequence], sequence))
-                break
+    while queue:
+        length, doc, start = heapq.heappop(queue)
+        length = -length  # never more than the piece before
+        while parked and -parked[0][0] >= length:
+            _, paid, sequence = heapq.heappop(parked)
+            heapq.heappush(ready, (paid, sequence))
+        while ready and room[ready[0][1]] < length:
+            paid, sequence = heapq.heappop(ready)
+            if room[sequence]:
+                heapq.heappush(parked, (-room[sequence], paid, sequence))
+        if ready:
+            sequence = ready[0][1]
+            put(doc, start, length, sequence)
+            heapq.heapreplace(ready, (cost[sequence], sequence))
+        else:
             sequence = heapq.heappop(parked)[2]
             part = room[sequence]
             put(doc, start, part, sequence)
-            start, length = start + part, length - part
+            heapq.heappush(queue, (part - length, doc, start + part))
     return pieces
 
 
