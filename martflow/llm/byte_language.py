@@ -340,12 +340,13 @@ def keep_known(documents: DataFrame, least_score: float = LEAST_SCORE) -> DataFr
     """The rows in a language that was learned, told well enough; their columns as they are."""
     net = train(sample_stretches(documents))
     names = {c: f"c{i}" for i, c in enumerate(documents.columns)}
-    inner = documents.select(
-        *[F.col(f"`{c}`").alias(n) for c, n in names.items()],
-        F.col("text").cast("string").alias("text"),
-    )
+    inner = documents.select([F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    text = names["text"]
+    if dict(inner.dtypes)[text] != "string":
+        text = "text"
+        inner = inner.withColumn(text, F.col(names["text"]).cast("string"))
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in inner.schema.fields)
-    found = inner.mapInArrow(_predicted(net, "text"), f"{ddl}, lang_pred string, score double")
+    found = inner.mapInArrow(_predicted(net, text), f"{ddl}, lang_pred string, score double")
     found = found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score))
     return found.select([F.col(n).alias(c) for c, n in names.items()])
 

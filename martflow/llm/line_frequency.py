@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.llm.common import small_side, spare, table
+from martflow.llm.common import small_side, table
 from martflow.plans.staging import stage
 
 LEAST_WORDS = 10
@@ -33,7 +33,7 @@ WINDOW = 5
 LEAST_DOCS = 20
 SHARE = 0.1
 LEFT = 0.3
-_ROWS = 2000
+_ROWS = 400  # texts measured at once; it bounds a worker's memory
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _SYMBOL = np.zeros(256, bool)
@@ -265,8 +265,10 @@ def keep_good(documents: DataFrame, host: str = "source") -> DataFrame:
 
     names = {c: f"c{i}" for i, c in enumerate(documents.columns)}
     inner = documents.select([F.col(f"`{c}`").alias(n) for c, n in names.items()])
-    text = spare(inner.columns, "text")
-    inner = inner.withColumn(text, F.col(names["text"]).cast("string"))
+    text = names["text"]
+    if dict(inner.dtypes)[text] != "string":
+        text = "text"
+        inner = inner.withColumn(text, F.col(names["text"]).cast("string"))
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in inner.schema.fields)
     passed = inner.mapInArrow(_measured(text, False), f"{ddl}, {_MEASURES_DDL}, text_key binary")
     passed = passed.filter(~base_failed())

@@ -44,7 +44,7 @@ BAND_ROWS = 5
 # Signatures of a pair at the threshold agree less with a chance below 1 in 100,000.
 LEAST_AGREEMENT = 0.65
 _BLOCK = 256
-_ROWS = 1000
+_ROWS = 500
 
 
 def _mix(x: np.ndarray) -> np.ndarray:

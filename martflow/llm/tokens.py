@@ -16,7 +16,7 @@ import numpy as np
 # Words the pre-tokenizer leaves in one piece, but for one mark at the end. Neither
 # composing nor lower-casing their letters depends on what stands around them.
 _PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-į]+[.,]?").fullmatch
-_KEPT_WORDS = 600_000
+_KEPT_WORDS = 400_000
 _KEPT_CHARS = 64
 
 
