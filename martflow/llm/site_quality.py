@@ -15,7 +15,8 @@ its site without them.
 
 The classifier speaks of a document at the global rate. Its odds are moved by the odds
 of the site against the global odds, for quality and for toxicity alike. A document is
-kept if it is more likely good than not and not more likely toxic than not.
+kept if its quality is ``LEAST_QUALITY`` or more and its toxicity at most ``MOST_TOXIC``;
+a target without any label decides nothing.
 
 Defined results: a null text is an empty one; a null host or path is one of its own; a
 site without labels has its parent's rate; labels that are null, or of documents that do
@@ -36,14 +37,17 @@ from pyspark.sql import functions as F
 from martflow.llm.common import small_side, table
 from martflow.plans.staging import stage
 
-SAMPLE = 6000
+SAMPLE = 10_000
 VOCABULARY = 20_000
 LEAST_DOCS = 8
+STEM = 5
 LEAST_DEVIATION = 4.0  # standard deviations by which a word must tell labels apart
 SEED = 4
 TARGETS = ("quality", "toxic")
 SHAPE = 9
 MOST_EVIDENCE = 12.0  # log odds a text alone can give
+LEAST_QUALITY = 0.5
+MOST_TOXIC = 0.3  # a toxic document kept is worse than a clean one lost
 _ROWS = 1000
 _TRIM = string.punctuation + string.digits
 _MOST_STRENGTH = 10_000.0
@@ -63,7 +67,8 @@ _SHOUT, _SPACE = _class("!?"), _class(" \t\n\x0b\x0c\r")
 def read_texts(texts):
     """Of an Arrow array: (text number, word number) of distinct words, words, shapes.
 
-    Words are trimmed of marks and digits and brought to lower case.
+    Words are trimmed of marks and digits and brought to lower case; the first letters
+    of a longer one, with a star, count as a word too, so that its other forms tell.
     """
     import pyarrow as pa
     import pyarrow.compute as pc
@@ -75,11 +80,14 @@ def read_texts(texts):
     codes = coded.indices.to_numpy(zero_copy_only=False)
     docs = np.repeat(np.arange(rows), np.diff(split.offsets.to_numpy()))
     plain = [w.strip(_TRIM).lower() for w in coded.dictionary.to_pylist()]
-    words = list(dict.fromkeys(plain))
+    stems = [f"{w[:STEM]}*" if len(w) > STEM else w for w in plain]
+    words = list(dict.fromkeys([*plain, *stems]))
     number = {w: i for i, w in enumerate(words)}
-    names = np.array([number[w] for w in plain], np.int64)
     count = max(1, len(words))
-    own = np.unique(docs * count + names[codes]) if len(codes) else np.empty(0, np.int64)
+    own = np.empty(0, np.int64)
+    if len(codes):
+        names = np.array([[number[w] for w in plain], [number[w] for w in stems]], np.int64)
+        own = np.unique(docs * count + names[:, codes])
 
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset :][: rows + 1]
     data = texts.buffers()[2]
@@ -106,7 +114,7 @@ def read_texts(texts):
         share(_DIGIT) / size,
         share(_MARK) / size,
         share(_SHOUT) / size,
-        np.bincount(own // count, minlength=rows) / some,
+        np.bincount(own // count, minlength=rows) / (2 * some),
         np.bincount(different, minlength=rows) / all_lines,
         share(_SPACE) / size,
     ]
@@ -154,7 +162,7 @@ def telling(docs: np.ndarray, words: np.ndarray, labels: np.ndarray, count: int)
 
 def fit(
     docs: np.ndarray, words: np.ndarray, shape: np.ndarray, labels: np.ndarray,
-    vocabulary: list[str], steps: int = 400, rate: float = 0.05, ridge: float = 1e-3,
+    vocabulary: list[str], steps: int = 600, rate: float = 0.1, ridge: float = 1e-5,
 ) -> Classifier:
     """Fit both targets with Adam on whole batches; labels below 0 are unknown."""
     count, targets = labels.shape
@@ -250,20 +258,23 @@ def train(documents: DataFrame, counts: DataFrame, sample: int = SAMPLE) -> Clas
         import pyarrow as pa
 
         for batch in batches:
-            held = [[number[w] for w in own if w in number] for own in batch.column("words").to_pylist()]
+            held = [
+                np.array([number[w] for w in own if w in number], "<i4").tobytes()
+                for own in batch.column("words").to_pylist()
+            ]
             columns = [batch.column(n) for n in ("doc_id", *TARGETS, "shape")]
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(held, pa.list_(pa.int32()))], names=["doc_id", *TARGETS, "shape", "held"]
+                [*columns, pa.array(held, pa.binary())], names=["doc_id", *TARGETS, "shape", "held"]
             )
 
-    ddl = "doc_id long, quality double, toxic double, shape array<double>, held array<int>"
+    ddl = "doc_id long, quality double, toxic double, shape array<double>, held binary"
     rows = found.mapInArrow(numbered, ddl).collect()
     if not rows:
         return None
     rows.sort(key=lambda r: (r.doc_id, r.shape))
     return fit(
-        np.repeat(np.arange(len(rows)), [len(r.held) for r in rows]),
-        np.array([i for r in rows for i in r.held], np.int64),
+        np.repeat(np.arange(len(rows)), [len(r.held) // 4 for r in rows]),
+        np.frombuffer(b"".join(r.held for r in rows), "<i4").astype(np.int64),
         np.array([r.shape for r in rows]),
         np.array([[r.quality, r.toxic] for r in rows]),
         vocabulary,
@@ -345,7 +356,10 @@ def site_rates(paths: DataFrame) -> tuple[DataFrame, dict[str, dict[str, float]]
             for t in TARGETS
         ]
     ).first()
-    return sites, {t: {"rate": rate[t], "host": at_host[t], "path": at_path[t]} for t in TARGETS}
+    return sites, {
+        t: {"rate": rate[t], "host": at_host[t], "path": at_path[t], "labels": totals[f"n_{t}"] or 0}
+        for t in TARGETS
+    }
 
 
 def _shrunk(s: Column, n: Column, k: float, parent: Column) -> Column:
@@ -392,7 +406,9 @@ def judge(
             (1 / (1 + F.exp(-joint))).alias(t),
         ]
     found = found.select("doc_id", *columns)
-    return found.withColumn("kept", (F.col("quality") >= 0.5) & (F.col("toxic") <= 0.5))
+    good = F.lit(not figures["quality"]["labels"]) | (F.col("quality") >= LEAST_QUALITY)
+    clean = F.lit(not figures["toxic"]["labels"]) | (F.col("toxic") <= MOST_TOXIC)
+    return found.withColumn("kept", good & clean)
 
 
 def op4_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
