@@ -1,9 +1,7 @@
-"""Helpers the operators share: tables by name, spare column names, shared files."""
+"""Helpers the operators share: tables by name, small sides of joins, shared files."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,19 +10,20 @@ SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+ROWS_A_BATCH = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def spare(taken: Iterable[str], name: str) -> str:
-    """``name``, with underscores before it until no column is called so.
+def small_batches(spark: SparkSession) -> None:
+    """Have Python workers get whole texts some megabytes at a time, not by 10,000 rows."""
+    if not 0 < int(spark.conf.get(_BATCH)) <= ROWS_A_BATCH:
+        spark.conf.set(_BATCH, str(ROWS_A_BATCH))
 
-    Spark compares column names without case, so this does too.
-    """
-    used = {column.lower() for column in taken}
-    while name.lower() in used:
-        name = f"_{name}"
-    return name
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of a folder, for an operator that reads it in small batches."""
+    small_batches(spark)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def word_count(text: Column) -> Column:
