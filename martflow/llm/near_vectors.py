@@ -8,12 +8,19 @@ bounded window of those behind it. The last rows of a partition and the first of
 next are compared as well, so a pass has no seams. Verified pairs of all passes are
 united into components; a partition hands on one link a vector at most.
 
-Windows bound who is compared in a pass, so within a component all pairs are then
-compared in blocks of vectors, which counts every link the passes' windows left out.
-That work grows with the square of a component, as its links do, and is spread over
-block pairs; nothing is emitted but a count for each vector and block. What can be
-missed is a link between components that no pass brought together (recall is measured
-in the tests).
+Windows bound who is compared in a pass, so what they leave out is made up for by exact
+comparisons, and no link is missed at any table size:
+
+- Between components, classes are written once, ordered by the nearest of a few pivots,
+  and each file is held against every other by blocks. A row is left out of a block
+  only if the angle inequality rules out that it links there: its angle to a pivot is
+  beyond those of the block's rows by more than the threshold's angle. Rounded products
+  only choose the pairs that are then computed in double precision, and nothing is
+  emitted but links that unite components. This work grows with the square of the
+  classes where pivots do not tell them apart, as with evenly spread vectors.
+- Within a component all pairs are compared in blocks of vectors, which counts the
+  links. That work grows with the square of a component, as its links do, and is spread
+  over block pairs; nothing is emitted but a count for each vector and block.
 
 Defined results: a vector that is null, empty, zero, or holds null or non-finite
 components links with nothing; vectors of different lengths do not link; a row without
@@ -28,7 +35,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.llm.common import parts_for, table
+from martflow.llm.common import open_store, parts_for, table
 from martflow.llm.components import components
 from martflow.plans.staging import stage
 
@@ -39,6 +46,8 @@ WINDOW = 32
 SEED = 20
 _PART_ROWS = 20_000
 _BLOCK = 1024
+_PIVOTS = 64
+_FILE_ROWS = 8192
 
 
 def unit_vectors(column) -> list[bytes | None]:
@@ -264,6 +273,150 @@ def pass_links(
     return found.filter("a is not null").select("a", "b").union(seams)
 
 
+def _angles(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(vectors @ pivots.T, -1, 1))
+
+
+def _pivoted(pivots: dict[int, np.ndarray]):
+    """For ``mapInArrow``: put the bytes of a vector and its nearest pivot behind a row."""
+
+    def nearest(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            units = batch.column("unit").to_pylist()
+            lengths = np.array([len(u) for u in units], np.int64)
+            place = np.zeros(len(units), np.int32)
+            for length in np.unique(lengths):
+                if length in pivots:
+                    at = np.flatnonzero(lengths == length)
+                    vectors = np.frombuffer(b"".join(units[i] for i in at), "<f8")
+                    products = vectors.reshape(len(at), -1) @ pivots[length].T
+                    place[at] = products.argmax(axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(lengths.astype(np.int32)), pa.array(place)],
+                names=[*batch.schema.names, "size", "pivot"],
+            )
+
+    return nearest
+
+
+def across_links(a, b, held_a, held_b, pivots, threshold: float) -> list[tuple[int, int]]:
+    """Links between components that rows of ``a`` have with rows of ``b``.
+
+    They are (component, least component it reaches over the links of both blocks).
+    """
+    if pivots is not None:
+        limit = np.arccos(threshold) + 1e-6
+        one, two = _angles(a, pivots), _angles(b, pivots)
+        some = ((one >= two.min(axis=0) - limit) & (one <= two.max(axis=0) + limit)).all(axis=1)
+        a, held_a, one = a[some], held_a[some], one[some]
+        if not len(a):
+            return []
+        some = ((two >= one.min(axis=0) - limit) & (two <= one.max(axis=0) + limit)).all(axis=1)
+        b, held_b = b[some], held_b[some]
+    if not len(a) or not len(b):
+        return []
+    known, codes = np.unique(np.concatenate([held_a, held_b]), return_inverse=True)
+    code_a, code_b = codes[: len(a)], codes[len(a) :]
+    root = np.arange(len(known))
+    least = np.float32(threshold - 2e-7 * (a.shape[1] + 2))  # beyond what rounding takes
+    a4, b4 = a.astype(np.float32), b.astype(np.float32)
+    lows, highs = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for at in range(0, len(a), 512):
+        near = a4[at : at + 512] @ b4.T >= least
+        if not near.any():
+            continue
+        near &= root[code_a[at : at + 512], None] != root[code_b][None, :]
+        i, j = np.nonzero(near)
+        for k in range(0, len(i), 65536):
+            x, y = i[k : k + 65536] + at, j[k : k + 65536]
+            true = np.einsum("ij,ij->i", a[x], b[y]) >= threshold
+            pairs = np.unique(np.stack([code_a[x[true]], code_b[y[true]]], 1), axis=0)
+            lows.append(pairs[:, 0])
+            highs.append(pairs[:, 1])
+        low, high = np.concatenate(lows), np.concatenate(highs)
+        root = local_roots(len(known), low, high)
+        moved = np.flatnonzero(root != np.arange(len(known)))  # links as good as those so far
+        lows, highs = [moved], [root[moved]]
+    moved = np.flatnonzero(root != np.arange(len(known)))
+    return list(zip(known[moved].tolist(), known[root[moved]].tolist(), strict=True))
+
+
+def _crossed(files: list[str], pivots: dict[int, np.ndarray], threshold: float):
+    """For ``mapInArrow`` over numbers of files: links of a file with itself and half the rest.
+
+    The halves go round, so each two files meet in one task, and tasks are alike.
+    """
+
+    def read(number):
+        import pyarrow.parquet as pq
+
+        store, path = open_store(files[number])
+        with store.open_input_file(path) as source:
+            rows = pq.read_table(source, columns=["component", "size", "unit"])
+        sizes = rows["size"].to_numpy()
+        held, units = rows["component"].to_numpy(), rows["unit"].to_pylist()
+        for size in np.unique(sizes):
+            at = np.flatnonzero(sizes == size)
+            vectors = np.frombuffer(b"".join(units[i] for i in at), "<f8").reshape(len(at), -1)
+            for k in range(0, len(at), _FILE_ROWS):
+                yield int(size), vectors[k : k + _FILE_ROWS], held[at[k : k + _FILE_ROWS]]
+
+    def compare(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for own in batch.column("id").to_pylist():
+                mine = list(read(own))
+                for step in range(len(files) // 2 + 1):
+                    if 2 * step == len(files) and 2 * own >= len(files):
+                        continue  # the opposite file's task has this pair
+                    found = []
+                    for size, b, held_b in read((own + step) % len(files)):
+                        for length, a, held_a in mine:
+                            if length == size:
+                                known = pivots.get(size)
+                                found += across_links(a, b, held_a, held_b, known, threshold)
+                    a, b = zip(*dict.fromkeys(found), strict=True) if found else ((), ())
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]
+                    )
+
+    return compare
+
+
+def between(classes: DataFrame, label: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Links (a, b) between components, all that the components of ``label`` leave out."""
+    spark = classes.sparkSession
+    drawn = classes.orderBy(F.xxhash64("id"), "id").limit(_PIVOTS).select("unit").collect()
+    pivots: dict[int, list] = {}
+    for (unit,) in drawn:
+        pivots.setdefault(len(unit), []).append(np.frombuffer(bytes(unit), "<f8"))
+    pivots = {length: np.stack(own) for length, own in pivots.items()}
+    label = label.select(F.col("node").alias("id"), "component")
+    held = classes.select("id", "unit").join(label, "id", "left")
+    held = held.select("id", F.coalesce("component", "id").alias("component"), "unit")
+    held = held.mapInArrow(
+        _pivoted(pivots), "id long, component long, unit binary, size int, pivot int"
+    )
+    order = ["size", "pivot", "id"]
+    parts = parts_for(classes.count(), _FILE_ROWS)
+    held = stage(held.repartitionByRange(parts, *order).sortWithinPartitions(*order), "vector-files")
+    files = sorted(held.inputFiles())
+    numbers = spark.range(0, len(files), 1, max(1, len(files)))
+    return stage(numbers.mapInArrow(_crossed(files, pivots, threshold), "a long, b long"), "vector-between")
+
+
+def merged(label: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, component) after ``links`` between components of ``label``."""
+    moved = stage(components(links), "vector-moved")
+    roots = moved.select("node", F.col("node").alias("component"))  # those without a link too
+    moved = moved.select(F.col("node").alias("old"), F.col("component").alias("new"))
+    found = label.union(roots).distinct().join(moved, F.col("component") == F.col("old"), "left")
+    return found.select("node", F.coalesce("new", "component").alias("component"))
+
+
 def link_counts(classes: DataFrame, label: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(id, links) within the components of ``label``; classes have id, unit, copies."""
     label = label.select(F.col("node").alias("id"), "component")
@@ -305,6 +458,9 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, **passes) ->
     classes = stage(classes.withColumn("id", F.monotonically_increasing_id()), "vector-classes")
     links = pass_links(classes, threshold=threshold, **passes)
     label = stage(components(links), "vector-labels")
+    missed = between(classes, label, threshold)
+    if not missed.isEmpty():
+        label = stage(merged(label, missed), "vector-labels")
     counts = link_counts(classes, label, threshold)
 
     label = label.select(F.col("node").alias("id"), "component")

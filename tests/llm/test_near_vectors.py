@@ -96,3 +96,55 @@ def test_recall_on_the_whole_table(spark):
     assert all(r.n_links <= want[r.vec_id][1] for r in got)
     assert sum(r.n_links for r in got) >= 0.97 * sum(r[1] for r in want.values())
     assert np.mean([tuple(r) == want[r.vec_id] for r in got]) >= 0.99
+
+
+def planted(count, hot, pairs=200, size=64, seed=11):
+    """Vectors with lone pairs at cosine 0.90 to 0.92; ``hot``: a third near one direction."""
+    draw = np.random.default_rng(seed)
+
+    def scaled(x):
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+    base = scaled(draw.standard_normal((count, size)))
+    some = slice(0, count // 3 if hot else 0)
+    pole = np.eye(size)[0]
+    side = base[some] - np.outer(base[some] @ pole, pole)
+    base[some] = 0.8 * pole + 0.6 * scaled(side)
+    own = base[:pairs]
+    noise = draw.standard_normal(own.shape)
+    noise = scaled(noise - (noise * own).sum(1, keepdims=True) * own)
+    cosine = draw.uniform(0.901, 0.92, (pairs, 1))
+    base[-pairs:] = cosine * own + np.sqrt(1 - cosine**2) * noise
+    return base.astype(np.float32)
+
+
+def brute_links(vectors):
+    units = vectors.astype(np.float64)
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    links = np.zeros(len(units), np.int64)
+    for at in range(0, len(units), 1000):
+        links[at : at + 1000] = (units[at : at + 1000] @ units.T >= 0.9).sum(1) - 1
+    return links
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_no_lone_link_is_lost(spark, tmp_path, hot):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    vectors = planted(100_000, hot)
+    rows = {"vec_id": np.arange(len(vectors)), "embedding": list(vectors)}
+    pq.write_table(pa.table(rows), tmp_path / "embeddings.parquet")
+    got = near.op2_sorted_projections(spark, str(tmp_path)).toPandas().sort_values("vec_id")
+    want = brute_links(vectors)
+    assert want[-200:].min() >= 1
+    assert (got.n_links.to_numpy() == want).all()
+    assert (got.component_id.to_numpy()[-200:] == np.arange(200)).sum() >= 199
+
+
+@pytest.mark.parametrize("rows", [3, 8, 50])
+def test_exact_without_windows(spark, monkeypatch, rows):
+    monkeypatch.setattr(near, "_FILE_ROWS", rows)
+    given = corpus(5)
+    got = near.near_vectors(frame(spark, given), window=1, passes=1, hashes=1).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(brute(given), key=str)
