@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and gives a DataFrame that is written as Parquet
 and read again as the next one's ``docs``. All but the last give the columns of docs.
 
-- quality rules: documents that fail a rule, or of which line frequency leaves too
+- quality rules: lines that are boilerplate of their host are taken out of the texts;
+  documents that fail a rule, or of which line frequency leaves too
   little, go;
 - language: documents without a letter, or in no language told well enough, go;
 - near duplicates: of each group the document with the least id stays;

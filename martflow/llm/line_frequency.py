@@ -6,7 +6,8 @@ case, white space runs one space, none at the ends) and hashed; a line is boiler
 of its host when more than ``least_docs`` of the host's distinct documents hold it and
 they are more than ``share`` of them. Boilerplate is taken out, and a document is
 rejected as depleted when fewer than ``least_words`` words or less than ``left`` of
-its words remain. The limits are shares, so they behave alike at every size.
+its words remain. The limits are shares, so they behave alike at every size. ``judge``
+counts the words taken out of each document; ``keep_good`` gives the texts without them.
 
 Copies of one text on a host count as one document, so that copying alone makes no
 line boilerplate. Each document gives a line at most once, counts are combined before
@@ -82,7 +83,8 @@ def repeated_words(codes: np.ndarray, docs: np.ndarray, count: int) -> np.ndarra
 def measure(texts) -> tuple[dict[str, np.ndarray], dict]:
     """Measures of an Arrow array of texts, and each text's distinct lines.
 
-    The lines come as offsets into arrays of hashes and of words they hold in the text.
+    The lines come as offsets into arrays of hashes and of words they hold in the text;
+    ``every`` has the hashes of all lines in their order, blank ones too, from ``starts`` on.
     """
     import pyarrow as pa
     import pyarrow.compute as pc
@@ -113,7 +115,7 @@ def measure(texts) -> tuple[dict[str, np.ndarray], dict]:
     line = lines.flatten().dictionary_encode()
     shown = pc.ascii_trim_whitespace(line.dictionary)
     real = pc.not_equal(shown, "").to_numpy(zero_copy_only=False)
-    line_code = line.indices.to_numpy(zero_copy_only=False)
+    every = line_code = line.indices.to_numpy(zero_copy_only=False)
     line_doc, line_code = line_doc[real[line_code]], line_code[real[line_code]]
     kinds = max(1, len(real))
     own, times = np.unique(line_doc * kinds + line_code, return_counts=True)
@@ -143,11 +145,16 @@ def measure(texts) -> tuple[dict[str, np.ndarray], dict]:
         "offsets": np.searchsorted(doc[starts], np.arange(rows + 1)),
         "line": key[starts],
         "words": np.add.reduceat(held, starts) if len(starts) else held,
+        "starts": lines.offsets.to_numpy() - lines.offsets[0].as_py(),
+        "every": hashes[every],
     }
 
 
 def _measured(text_column: str, with_lines: bool):
-    """For ``mapInArrow``: put measures, and the lines if asked for, behind the columns."""
+    """For ``mapInArrow``: put measures and lines behind the columns.
+
+    With lines they are the distinct ones, in place of the text; else all, in their order.
+    """
 
     def add(batches):
         import pyarrow as pa
@@ -174,6 +181,9 @@ def _measured(text_column: str, with_lines: bool):
                     names += ["line", "line_words"]
                     keep = [n for n in part.schema.names if n != text_column]
                 else:
+                    starts = pa.array(lines["starts"], pa.int32())
+                    columns.append(pa.ListArray.from_arrays(starts, pa.array(lines["every"], pa.int64())))
+                    names.append("every_line")
                     keep = part.schema.names
                 yield pa.RecordBatch.from_arrays(
                     [part.column(n) for n in keep] + columns, names=[*keep, *names]
@@ -221,7 +231,7 @@ def depleted_rows(
     least_words: int = LEAST_WORDS,
     left: float = LEFT,
 ) -> DataFrame:
-    """Of rows that hold boilerplate: row, words it takes, whether too little remains."""
+    """Of rows that hold boilerplate: row, words it takes, its lines, whether too little remains."""
     pairs = F.explode(F.arrays_zip("line", "line_words")).alias("own")
     held = rows.select("row", "host", "n_words", pairs)
     held = held.select("row", "host", "n_words", "own.line", "own.line_words")
@@ -230,11 +240,12 @@ def depleted_rows(
         often, (F.col("line") == F.col("of_line")) & F.col("host").eqNullSafe(F.col("of_host"))
     )
     taken = held.groupBy("row").agg(
-        F.sum("line_words").alias("n_removed_words"), F.first("n_words").alias("n_all")
+        F.sum("line_words").alias("n_removed_words"), F.first("n_words").alias("n_all"),
+        F.collect_list("line").alias("often_lines"),
     )
     rest = F.col("n_all") - F.col("n_removed_words")
     few = (rest < least_words) | (rest < left * F.col("n_all"))
-    return taken.select("row", "n_removed_words", few.alias("depleted"))
+    return taken.select("row", "n_removed_words", "often_lines", few.alias("depleted"))
 
 
 def judge(documents: DataFrame, host: str = "source") -> DataFrame:
@@ -251,32 +262,43 @@ def judge(documents: DataFrame, host: str = "source") -> DataFrame:
 
 
 def keep_good(documents: DataFrame, host: str = "source") -> DataFrame:
-    """The rows that pass, with their columns as they are.
+    """The rows that pass, their texts without boilerplate lines, other columns as they are.
 
-    Base rules are applied as the texts pass by; only the keys of depleted texts,
-    written to a table whose size Spark then knows, are joined with them.
+    Base rules are applied as the texts pass by; only the keys of texts with boilerplate
+    and its lines, written to a table whose size Spark then knows, are joined with them.
     """
     rows = measured(documents, host)
     often = stage(boilerplate(rows), "boilerplate")
-    bad = depleted_rows(rows, often).filter("depleted").select("row")
-    bad = rows.join(bad, "row", "left_semi").filter(~base_failed())
-    bad = stage(bad.select("host", "text_key").distinct(), "depleted-texts")
-    bad = small_side(bad.select(F.col("host").alias("bad_host"), F.col("text_key").alias("bad_key")))
+    taken = depleted_rows(rows, often).select("row", "often_lines", "depleted")
+    held = rows.select("row", "host", "text_key", "n_words", "n_repeat_words")
+    held = held.filter(~base_failed()).join(taken, "row")
+    held = held.groupBy(F.col("host").alias("of_host"), F.col("text_key").alias("of_key"))
+    held = held.agg(F.first("often_lines").alias("often_lines"), F.first("depleted").alias("depleted"))
+    held = small_side(stage(held, "boilerplate-texts"))
 
     names = {c: f"c{i}" for i, c in enumerate(documents.columns)}
     inner = documents.select([F.col(f"`{c}`").alias(n) for c, n in names.items()])
-    text = names["text"]
-    if dict(inner.dtypes)[text] != "string":
+    text, kind = names["text"], inner.schema[names["text"]].dataType
+    if kind.simpleString() != "string":
         text = "text"
         inner = inner.withColumn(text, F.col(names["text"]).cast("string"))
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in inner.schema.fields)
-    passed = inner.mapInArrow(_measured(text, False), f"{ddl}, {_MEASURES_DDL}, text_key binary")
+    passed = inner.mapInArrow(
+        _measured(text, False), f"{ddl}, {_MEASURES_DDL}, text_key binary, every_line array<long>"
+    )
     passed = passed.filter(~base_failed())
     own = F.col(names[host]).cast("string")
     passed = passed.join(
-        bad, (F.col("text_key") == F.col("bad_key")) & own.eqNullSafe(F.col("bad_host")), "left_anti"
+        held, (F.col("text_key") == F.col("of_key")) & own.eqNullSafe(F.col("of_host")), "left"
+    )
+    passed = passed.filter(~F.coalesce("depleted", F.lit(False)))
+    lines = F.arrays_zip(F.split(text, "\n", -1).alias("shown"), F.col("every_line").alias("line"))
+    lines = F.filter(lines, lambda x: ~F.array_contains(F.col("often_lines"), x["line"]))
+    rest = F.array_join(F.transform(lines, lambda x: x["shown"]), "\n").cast(kind)
+    clean = F.when(F.col("often_lines").isNull(), F.col(names["text"])).otherwise(rest)
+    return passed.select(
+        [(clean if c == "text" else F.col(n)).alias(c) for c, n in names.items()]
     )
-    return passed.select([F.col(n).alias(c) for c, n in names.items()])
 
 
 def op9_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:

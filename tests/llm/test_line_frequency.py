@@ -105,6 +105,24 @@ def test_stage_keeps_columns_and_the_good(spark):
     assert sorted(map(str, (r.doc_id for r in kept.collect()))) == sorted(map(str, good))
 
 
+def test_stage_takes_boilerplate_out_of_texts(spark):
+    rows = rows_of_a_host()
+    menu, rest = rows[0][1].split("\n")
+    rows += [(600, f"\n{rest}\r\n\n \t{menu.upper()}\nlast É line\n", "a.org")]
+    docs = spark.createDataFrame([(*r, "x", 1, "y") for r in rows], SCHEMA)
+    got = lf.keep_good(docs).collect()
+    want = []
+    for (doc, text, host), verdict in zip(rows, brute(rows), strict=True):
+        if verdict[-1]:
+            taken = {plain(menu)} if host == "a.org" else set()
+            kept = [x for x in text.split("\n") if plain(x) not in taken]
+            want.append((doc, "\n".join(kept), host))
+            assert verdict[-2] == len(WORD.findall(text)) - len(WORD.findall(want[-1][1]))
+    assert sorted(((r.doc_id, r.text, r.source) for r in got), key=str) == sorted(want, key=str)
+    assert {r.text for r in got if r.doc_id == 600} == {f"\n{rest}\r\n\nlast É line\n"}
+    assert any("menu1" in r.text for r in got), "the line is no boilerplate of the other host"
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert lf.judge(docs).count() == 0
