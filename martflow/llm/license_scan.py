@@ -2,14 +2,14 @@
 
 A text is brought to its plain form: A-Z in lower case, words of letters and digits
 with one space around each. Rules are regular expressions over that form. There are
-some hundreds, made of licenses and phrasings; each has a keyword, and is tried only on
-texts that hold it. A phrasing sets the priority of a rule. A detection that lies within
-another of higher priority, or of the same but longer, or first in the order of rules,
-is suppressed. The three base phrases are rules too, of the highest priority; their
+some hundreds, made of licenses and phrasings; each has
+keywords, of which every match holds one as a word, and is tried only on texts that do.
+A phrasing sets the priority of a rule. A detection that lies within another of higher
+priority, or of the same but longer, or first in the order of rules, is suppressed. The three base phrases are rules too, of the highest priority; their
 labels stay whatever lies around them.
 
 All of it is a projection: one pass, no shuffle, no Python. The time a text takes grows
-with its length and the rules whose keyword it holds.
+with its length and the rules whose keywords it holds.
 
 Defined results: a null text is an empty one, without words and labels; empty label
 lists are empty strings; ``score`` is the largest weight of the detections that stay, 0
@@ -36,28 +36,28 @@ BASE = (
     ("cc by nc", "cc-by-nc", "cc"),
 )
 
-#: Label, keyword (a word of every match), names in plain form.
+#: Label, keywords (every match holds one of them as a word), names in plain form.
 LICENSES = (
-    ("mit", "mit", r"(?:mit|expat) licen[cs]e"),
+    ("mit", "mit expat", r"(?:mit|expat) licen[cs]e"),
     ("mit", "mit", r"mit style licen[cs]e"),
     ("apache-2", "apache", r"apache (?:software )?licen[cs]e(?: version| v)? ?2(?: 0)?"),
     ("apache-2", "apache", r"apache 2(?: 0)?(?: licen[cs]e)?"),
     ("apache-1.1", "apache", r"apache (?:software )?licen[cs]e(?: version| v)? ?1 1"),
     ("apache", "apache", r"apache (?:software )?licen[cs]e"),
-    ("gpl-2", "gpl", r"(?:gnu )?gpl(?: version| v)? ?2(?: 0)?"),
+    ("gpl-2", "gpl gpl2", r"(?:gnu )?gpl(?: version| v)? ?2(?: 0)?"),
     ("gpl-2", "general", r"(?:gnu )?general public licen[cs]e(?: version| v)? 2(?: 0)?"),
-    ("gpl-3", "gpl", r"(?:gnu )?gpl(?: version| v)? ?3(?: 0)?"),
+    ("gpl-3", "gpl gpl3", r"(?:gnu )?gpl(?: version| v)? ?3(?: 0)?"),
     ("gpl-3", "general", r"(?:gnu )?general public licen[cs]e(?: version| v)? 3(?: 0)?"),
     ("gpl", "general", r"gnu general public licen[cs]e"),
     ("gpl", "gpl", r"gnu gpl"),
     ("lgpl-2.1", "lesser", r"(?:gnu )?lesser general public licen[cs]e(?: version| v)? 2 1"),
     ("lgpl-3", "lesser", r"(?:gnu )?lesser general public licen[cs]e(?: version| v)? 3(?: 0)?"),
     ("lgpl", "lesser", r"(?:gnu )?lesser general public licen[cs]e"),
-    ("lgpl-2.1", "lgpl", r"(?:gnu )?lgpl(?: version| v)? ?2 1"),
-    ("lgpl-3", "lgpl", r"(?:gnu )?lgpl(?: version| v)? ?3(?: 0)?"),
+    ("lgpl-2.1", "lgpl lgpl2", r"(?:gnu )?lgpl(?: version| v)? ?2 1"),
+    ("lgpl-3", "lgpl lgpl3", r"(?:gnu )?lgpl(?: version| v)? ?3(?: 0)?"),
     ("agpl-3", "affero", r"(?:gnu )?affero general public licen[cs]e(?: version| v)? 3(?: 0)?"),
     ("agpl", "affero", r"(?:gnu )?affero general public licen[cs]e"),
-    ("agpl-3", "agpl", r"(?:gnu )?agpl(?: version| v)? ?3(?: 0)?"),
+    ("agpl-3", "agpl agpl3", r"(?:gnu )?agpl(?: version| v)? ?3(?: 0)?"),
     ("bsd-2", "bsd", r"(?:bsd 2 clause|2 clause bsd|simplified bsd)(?: licen[cs]e)?"),
     ("bsd-3", "bsd", r"(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd)(?: licen[cs]e)?"),
     ("bsd", "bsd", r"bsd licen[cs]e"),
@@ -67,7 +67,7 @@ LICENSES = (
     ("mpl", "mozilla", r"mozilla public licen[cs]e"),
     ("epl-1", "eclipse", r"eclipse public licen[cs]e(?: version| v)? 1(?: 0)?"),
     ("epl-2", "eclipse", r"eclipse public licen[cs]e(?: version| v)? 2(?: 0)?"),
-    ("cddl-1", "cddl", r"cddl(?: version| v)? ?1(?: 0)?"),
+    ("cddl-1", "cddl cddl1", r"cddl(?: version| v)? ?1(?: 0)?"),
     ("eupl", "european", r"european union public licen[cs]e"),
     ("artistic-2", "artistic", r"artistic licen[cs]e(?: version| v)? ?2(?: 0)?"),
     ("zlib", "zlib", r"zlib(?: libpng)? licen[cs]e"),
@@ -111,7 +111,7 @@ class Rule:
 
     number: int
     label: str
-    keyword: str
+    keywords: tuple[str, ...]
     pattern: str
     priority: int
     weight: float
@@ -127,8 +127,8 @@ def rules() -> list[Rule]:
         for label, keyword, name in LICENSES:
             made.append((label, keyword, phrasing.format(name), priority, weight, False))
     return [
-        Rule(i, label, keyword, f" {pattern}(?= )", priority, weight, base)
-        for i, (label, keyword, pattern, priority, weight, base) in enumerate(made)
+        Rule(i, label, tuple(keywords.split()), f" {pattern}(?= )", priority, weight, base)
+        for i, (label, keywords, pattern, priority, weight, base) in enumerate(made)
     ]
 
 
@@ -178,13 +178,13 @@ _DETECTION = (
 
 def detections(plain: Column, known: list[Rule] | None = None) -> Column:
     """All detections of a plain form, by first word, the longer and the stronger first."""
-    by_keyword: dict[str, list[Rule]] = {}
+    by_keywords: dict[tuple[str, ...], list[Rule]] = {}
     for rule in rules() if known is None else known:
-        by_keyword.setdefault(rule.keyword, []).append(rule)
+        by_keywords.setdefault(rule.keywords, []).append(rule)
     listed = F.array(
         *[
             F.struct(
-                F.lit(keyword).alias("keyword"),
+                F.array(*map(F.lit, keywords)).alias("keywords"),
                 F.array(
                     *[
                         F.struct(
@@ -197,14 +197,14 @@ def detections(plain: Column, known: list[Rule] | None = None) -> Column:
                     ]
                 ).alias("rules"),
             )
-            for keyword, own in by_keyword.items()
+            for keywords, own in by_keywords.items()
         ]
     )
     # The text's words meet the keywords once, by hash, not each keyword the text.
-    keywords = F.array(*map(F.lit, by_keyword))
+    keywords = F.array(*map(F.lit, dict.fromkeys(k for group in by_keywords for k in group)))
     held = F.transform(
         F.array(F.array_intersect(F.split(plain, " "), keywords)),
-        lambda words: F.filter(listed, lambda group: F.array_contains(words, group["keyword"])),
+        lambda words: F.filter(listed, lambda group: F.arrays_overlap(words, group["keywords"])),
     )
     tried = F.flatten(F.transform(F.flatten(held), lambda group: group["rules"]))
     tried = F.filter(tried, lambda r: F.rlike(plain, r["pattern"]))

@@ -70,6 +70,52 @@ def test_there_are_hundreds_of_rules():
         assert re.compile(rule.pattern)
 
 
+def matches(pattern):
+    """All texts of a pattern of literals, choices and options."""
+    from re import _constants as kind
+    from re import _parser as parser
+
+    def all_of(parts):
+        made = [""]
+        for part in parts:
+            made = [a + b for a in made for b in one(*part)]
+        return made
+
+    def one(op, value):
+        if op is kind.LITERAL:
+            return [chr(value)]
+        if op is kind.IN:
+            return [chr(c) for _, c in value]
+        if op is kind.BRANCH:
+            return [x for branch in value[1] for x in all_of(branch)]
+        if op is kind.SUBPATTERN:
+            return all_of(value[3])
+        if op is kind.MAX_REPEAT and tuple(value[:2]) == (0, 1):
+            return ["", *all_of(value[2])]
+        assert op is kind.ASSERT
+        return [""]
+
+    return all_of(parser.parse(pattern))
+
+
+def test_every_match_holds_a_keyword():
+    for rule in scan.rules():
+        made = matches(rule.pattern)
+        assert all(re.match(rule.pattern, f"{m} ") for m in made)
+        for match in made:
+            assert set(rule.keywords) & set(match.split()), (rule, match)
+
+
+def test_all_names_against_brute_force(spark):
+    rows = [x for _, _, name in scan.LICENSES for x in matches(name)]
+    rows += ["Licensed under the Expat License.", "GPL2 or GPL3", "LGPL2.1", "LGPL3", "AGPL3", "CDDL1.0"]
+    rows = list(enumerate(dict.fromkeys(rows)))
+    docs = spark.createDataFrame([(*r, "x", 1, "y") for r in rows], SCHEMA)
+    got = {r.doc_id: tuple(r)[1:] for r in scan.license_labels(docs).collect()}
+    for i, text in rows:
+        assert got[i] == brute(text) and got[i][5], text
+
+
 def test_against_brute_force(spark):
     rows = list(enumerate(t for t in texts() if not t or len(t) < 5000))
     docs = spark.createDataFrame([(*r, "x", 1, "y") for r in rows], SCHEMA)
