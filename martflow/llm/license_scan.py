@@ -2,7 +2,7 @@
 
 A text is brought to its plain form: A-Z in lower case, words of letters and digits
 with one space around each. Rules are regular expressions over that form. There are
-some hundreds, made of licenses and phrasings; each has
+some hundreds, made of license names and phrasings, and some written out; each has
 keywords, of which every match holds one as a word, and is tried only on texts that do.
 A phrasing sets the priority of a rule. A detection that lies within another of higher
 priority, or of the same but longer, or first in the order of rules, is suppressed. The three base phrases are rules too, of the highest priority; their
@@ -44,20 +44,20 @@ LICENSES = (
     ("apache-2", "apache", r"apache 2(?: 0)?(?: licen[cs]e)?"),
     ("apache-1.1", "apache", r"apache (?:software )?licen[cs]e(?: version| v)? ?1 1"),
     ("apache", "apache", r"apache (?:software )?licen[cs]e"),
-    ("gpl-2", "gpl gpl2", r"(?:gnu )?gpl(?: version| v)? ?2(?: 0)?"),
+    ("gpl-2", "gpl gpl2 gplv gplv2", r"(?:gnu )?gpl(?: version| ?v)? ?2(?: 0)?"),
     ("gpl-2", "general", r"(?:gnu )?general public licen[cs]e(?: version| v)? 2(?: 0)?"),
-    ("gpl-3", "gpl gpl3", r"(?:gnu )?gpl(?: version| v)? ?3(?: 0)?"),
+    ("gpl-3", "gpl gpl3 gplv gplv3", r"(?:gnu )?gpl(?: version| ?v)? ?3(?: 0)?"),
     ("gpl-3", "general", r"(?:gnu )?general public licen[cs]e(?: version| v)? 3(?: 0)?"),
     ("gpl", "general", r"gnu general public licen[cs]e"),
     ("gpl", "gpl", r"gnu gpl"),
     ("lgpl-2.1", "lesser", r"(?:gnu )?lesser general public licen[cs]e(?: version| v)? 2 1"),
     ("lgpl-3", "lesser", r"(?:gnu )?lesser general public licen[cs]e(?: version| v)? 3(?: 0)?"),
     ("lgpl", "lesser", r"(?:gnu )?lesser general public licen[cs]e"),
-    ("lgpl-2.1", "lgpl lgpl2", r"(?:gnu )?lgpl(?: version| v)? ?2 1"),
-    ("lgpl-3", "lgpl lgpl3", r"(?:gnu )?lgpl(?: version| v)? ?3(?: 0)?"),
+    ("lgpl-2.1", "lgpl lgpl2 lgplv lgplv2", r"(?:gnu )?lgpl(?: version| ?v)? ?2 1"),
+    ("lgpl-3", "lgpl lgpl3 lgplv lgplv3", r"(?:gnu )?lgpl(?: version| ?v)? ?3(?: 0)?"),
     ("agpl-3", "affero", r"(?:gnu )?affero general public licen[cs]e(?: version| v)? 3(?: 0)?"),
     ("agpl", "affero", r"(?:gnu )?affero general public licen[cs]e"),
-    ("agpl-3", "agpl agpl3", r"(?:gnu )?agpl(?: version| v)? ?3(?: 0)?"),
+    ("agpl-3", "agpl agpl3 agplv agplv3", r"(?:gnu )?agpl(?: version| ?v)? ?3(?: 0)?"),
     ("bsd-2", "bsd", r"(?:bsd 2 clause|2 clause bsd|simplified bsd)(?: licen[cs]e)?"),
     ("bsd-3", "bsd", r"(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd)(?: licen[cs]e)?"),
     ("bsd", "bsd", r"bsd licen[cs]e"),
@@ -101,6 +101,37 @@ PHRASINGS = (
     (2, 0.6, r"licen[cs]e {}"),
     (1, 0.5, r"{}"),
 )
+
+#: Label, keywords, identifiers behind the SPDX tag that are no name above.
+SPDX = (
+    ("mit", "mit", r"mit"),
+    ("isc", "isc", r"isc"),
+    ("zlib", "zlib", r"zlib"),
+    ("mpl-1.1", "mpl", r"mpl 1 1"),
+    ("mpl-2", "mpl", r"mpl 2 0"),
+    ("epl-1", "epl", r"epl 1 0"),
+    ("epl-2", "epl", r"epl 2 0"),
+    ("eupl", "eupl", r"eupl 1 [12]"),
+    ("apache-1.1", "apache", r"apache 1 1"),
+    ("lgpl-2.1", "lgpl", r"lgpl 2 1 (?:only|or later)"),
+    ("artistic-2", "artistic", r"artistic 2 0"),
+    ("boost-1", "bsl", r"bsl 1 0"),
+    ("ofl-1.1", "ofl", r"ofl 1 1"),
+)
+SPDX_PRIORITY = 8
+
+#: Label, keywords, opening sentences of license texts.
+OPENINGS = (
+    ("mit", "hereby", r"permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
+    ("boost-1", "hereby", r"permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation"),
+    ("isc", "hereby", r"permission to use copy modify and (?:or )?distribute this software for any purpose with or without fee is hereby granted"),
+    ("bsd", "redistribution", r"redistribution and use in source and binary forms with or without modification are permitted"),
+    ("zlib", "implied", r"this software is provided as is without any express or implied warranty in no event will the authors be held liable"),
+    ("gpl", "redistribute", r"you can redistribute it and or modify it under the terms of the gnu general public licen[cs]e"),
+    ("lgpl", "redistribute", r"you can redistribute it and or modify it under the terms of the gnu lesser general public licen[cs]e"),
+    ("unlicense", "unencumbered", r"this is free and unencumbered software released into the public domain"),
+)
+OPENING_PRIORITY, OPENING_WEIGHT = 7, 0.95
 BASE_PRIORITY = 9
 LEVELS = BASE_PRIORITY + 1
 
@@ -119,13 +150,18 @@ class Rule:
 
 
 def rules() -> list[Rule]:
-    """All rules in their order: the base phrases, then phrasing by phrasing."""
+    """All rules in their order: the base phrases, phrasing by phrasing, the written ones."""
     made = [
         (label, keyword, phrase, BASE_PRIORITY, 1.0, True) for phrase, label, keyword in BASE
     ]
     for priority, weight, phrasing in PHRASINGS:
         for label, keyword, name in LICENSES:
             made.append((label, keyword, phrasing.format(name), priority, weight, False))
+    for label, keyword, name in SPDX:
+        pattern = f"spdx licen[cs]e identifier {name}"
+        made.append((label, keyword, pattern, SPDX_PRIORITY, 1.0, False))
+    for label, keyword, pattern in OPENINGS:
+        made.append((label, keyword, pattern, OPENING_PRIORITY, OPENING_WEIGHT, False))
     return [
         Rule(i, label, tuple(keywords.split()), f" {pattern}(?= )", priority, weight, base)
         for i, (label, keywords, pattern, priority, weight, base) in enumerate(made)

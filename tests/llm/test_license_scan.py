@@ -116,6 +116,25 @@ def test_all_names_against_brute_force(spark):
         assert got[i] == brute(text) and got[i][5], text
 
 
+def test_written_forms(spark):
+    want = {
+        "SPDX-License-Identifier: MIT": "mit", "SPDX-License-Identifier: MPL-2.0": "mpl-2",
+        "SPDX-License-Identifier: Apache-2.0": "apache-2", "SPDX-License-Identifier: BSD-3-Clause": "bsd-3",
+        "SPDX-License-Identifier: GPL-2.0-only": "gpl-2", "SPDX-License-Identifier: ISC": "isc",
+        "released under GPLv2": "gpl-2", "GPLv3": "gpl-3", "LGPLv2.1": "lgpl-2.1", "AGPLv3": "agpl-3",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
+        "software and associated documentation files (the Software)": "mit",
+        "Redistribution and use in source and binary forms, with or without modification, are "
+        "permitted provided that": "bsd",
+        "mit alone says nothing": "",
+    }
+    rows = list(enumerate(want))
+    docs = spark.createDataFrame([(*r, "x", 1, "y") for r in rows], SCHEMA)
+    got = {r.doc_id: tuple(r)[1:] for r in scan.license_labels(docs).collect()}
+    for i, text in rows:
+        assert got[i] == brute(text) and got[i][5] == want[text], text
+
+
 def test_against_brute_force(spark):
     rows = list(enumerate(t for t in texts() if not t or len(t) < 5000))
     docs = spark.createDataFrame([(*r, "x", 1, "y") for r in rows], SCHEMA)
