@@ -9,6 +9,7 @@ from martflow.llm.mixing import OP10_SQL, op10_systematic_mix
 from martflow.llm.near_texts import op6_probminhash
 from martflow.llm.near_vectors import op2_sorted_projections
 from martflow.llm.packing import op3_cost_balanced_packing
+from martflow.llm.periodic_runs import op11_periodic_runs
 from martflow.llm.piece_counts import op7_viterbi_counts
 from martflow.llm.site_quality import op4_site_quality
 from martflow.llm.token_shards import op1_token_shards
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_byte_language": op8_byte_language,
     "op9_line_frequency": op9_line_frequency,
     "op10_systematic_mix": op10_systematic_mix,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {
