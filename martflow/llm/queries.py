@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from martflow.llm.byte_language import op8_byte_language
+from martflow.llm.centroids import OP12_SQL, op12_centroid_clusters
 from martflow.llm.license_scan import op5_license_scan
 from martflow.llm.line_frequency import OP9_SQL, op9_line_frequency
 from martflow.llm.mixing import OP10_SQL, op10_systematic_mix
@@ -26,9 +27,11 @@ QUERIES = {
     "op9_line_frequency": op9_line_frequency,
     "op10_systematic_mix": op10_systematic_mix,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_centroid_clusters": op12_centroid_clusters,
 }
 
 ORACLE: dict[str, str] = {
     "op9_line_frequency": OP9_SQL,
     "op10_systematic_mix": OP10_SQL,
+    "op12_centroid_clusters": OP12_SQL,
 }
