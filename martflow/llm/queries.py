@@ -14,6 +14,7 @@ from martflow.llm.periodic_runs import op11_periodic_runs
 from martflow.llm.piece_counts import op7_viterbi_counts
 from martflow.llm.site_quality import op4_site_quality
 from martflow.llm.token_shards import op1_token_shards
+from martflow.llm.warc import OP13_SQL, op13_warc_members
 
 QUERIES = {
     "op1_token_shards": op1_token_shards,
@@ -28,10 +29,12 @@ QUERIES = {
     "op10_systematic_mix": op10_systematic_mix,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_centroid_clusters": op12_centroid_clusters,
+    "op13_warc_members": op13_warc_members,
 }
 
 ORACLE: dict[str, str] = {
     "op9_line_frequency": OP9_SQL,
     "op10_systematic_mix": OP10_SQL,
     "op12_centroid_clusters": OP12_SQL,
+    "op13_warc_members": OP13_SQL,
 }
