@@ -201,7 +201,7 @@ class CommitTable:
 
     def _replaced_at(self, files: Files, path: str) -> int:
         for found in files.listed("merges"):
-            if path in json.loads(files.read(f"merges/{found.name}"))["replaced"]:
+            if path in json.loads(files.read_once(found, "merges"))["replaced"]:
                 return found.modified
         return 0
 
@@ -213,14 +213,14 @@ class CommitTable:
         commits, merges = files.listed("commits"), files.listed("merges")
         folds = files.listed("folds")
         if folds:
-            told = json.loads(files.read(f"folds/{folds[-1].name}"))
+            told = json.loads(files.read_once(folds[-1], "folds"))
             state.done, state.merges = told["done"], told["merges"]
             state.live = {s.path: s for s in map(_segment, told["live"])}
         known = dict(state.done)
         for found in commits:
             query, batch = _named(found.name)
             if batch > known.get(query, -1):
-                for line in files.read(f"commits/{found.name}").splitlines():
+                for line in files.read_once(found, "commits").splitlines():
                     segment = _segment(json.loads(line))
                     state.live[segment.path] = segment
                 state.done[query] = max(batch, state.done.get(query, -1))
@@ -229,7 +229,7 @@ class CommitTable:
             number = int(found.name.split(".")[0])
             if number <= state.merges:
                 continue
-            told = json.loads(files.read(f"merges/{found.name}"))
+            told = json.loads(files.read_once(found, "merges"))
             if all(path in state.live for path in told["replaced"]):
                 for path in told["replaced"]:
                     del state.live[path]
