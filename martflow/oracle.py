@@ -316,9 +316,7 @@ _BODIES = {
     "stream_fix_is_new": "SELECT mid, is_new, ts FROM fx",
     "stream_unique_visit": """
         SELECT DISTINCT mid, strftime(epoch_ms(ts), '%Y%m%d') AS day FROM entries""",
-    "stream_user_jump": f"""
-        SELECT {_LOG} FROM uj
-        WHERE (ts // 21600000 + 1) * 21600000 <= (SELECT max(ts) FROM pg) - 21600000""",
+    "stream_user_jump": f"SELECT {_LOG} FROM uj",
     "stream_visitor_stats": """
         SELECT strftime(epoch_ms(day_ms), '%Y-%m-%d %H:%M:%S') AS stt,
                strftime(epoch_ms(day_ms + 86400000), '%Y-%m-%d %H:%M:%S') AS edt,
@@ -335,7 +333,6 @@ _BODIES = {
                strftime(epoch_ms(slot), '%Y-%m-%d %H:%M:%S') AS stt,
                strftime(epoch_ms(slot + 10000), '%Y-%m-%d %H:%M:%S') AS edt, min(ts) AS ts
         FROM (SELECT keyword, ts, ts // 10000 * 10000 AS slot FROM kw)
-        WHERE slot + 10000 <= (SELECT max(ts) FROM kw) - 3000
         GROUP BY keyword, slot""",
     "time_functions": """
         SELECT event_id, strftime(epoch_ms(ts), '%Y-%m-%d %H:%M:%S') AS text,

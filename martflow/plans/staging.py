@@ -10,6 +10,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martflow.sinks.files import Files
+
 
 def staging_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary one in local mode only.
@@ -44,14 +46,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 def stage_files(
     df: DataFrame, time: str, name: str, last: DataFrame | None = None, slices: int = 4, files: int = 4
 ) -> DataFrame:
-    """Write ``df`` in slices of time, one after the other, and read it as a stream.
+    """Write ``df`` in slices of time and read it as a stream, one slice a micro-batch.
 
-    A micro-batch takes the files of a slice; the slices hold about as many rows each.
-    ``last`` is a slice of its own, at the end.
+    The slices hold about as many rows each. All are written in one job and then dated
+    one after the other, as a stream takes files by their age. ``last`` is a slice of its
+    own, at the end.
     """
     spark = df.sparkSession
     df = stage(df, name)
-    path = f"{staging_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    folder = f"{name}-{uuid.uuid4().hex}"
+    path = f"{staging_dir(spark)}/{folder}"
     at = F.col(time)
     if dict(df.dtypes)[time] == "string":
         at = F.unix_millis(F.try_to_timestamp(at))
@@ -59,15 +63,27 @@ def stage_files(
     cuts = df.agg(F.percentile_approx(at, shares))
     cuts = cuts.first()[0] or []
     number = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda cut: at > cut)) if cuts else F.lit(0)
-    number = F.coalesce(number, F.lit(0))
-    numbered = df.withColumn("_slice", number)
-    for k in range(len(cuts) + 1):
-        own = numbered.where(F.col("_slice") == k).drop("_slice")
-        own.repartition(files).write.mode("append").parquet(path)
+    number = F.coalesce(number, F.lit(0)).alias("slice")
+    place = F.col("slice") * files + F.pmod(F.xxhash64(time), F.lit(files))
+    sliced = df.select("*", number).repartitionById(slices * files, place.cast("int"))
+    sliced.write.partitionBy("slice").parquet(path)
     if last is not None:
-        last.write.mode("append").parquet(path)
+        last.write.parquet(f"{path}/slice={slices}")
+    written = Files(spark, path)
+    spare = None
+    for n, found in enumerate(f for f in written.listed() if f.is_folder):
+        inner = [f.name for f in written.listed(found.name)]
+        # A slice of few rows gets empty files, so that each is a micro-batch of its own.
+        while len(inner) < files:
+            if spare is None:
+                df.limit(0).coalesce(1).write.parquet(f"{path}/none")
+                spare = written.listed("none")[0].name
+            inner.append(f"none-{len(inner)}.parquet")
+            written.copy(f"none/{spare}", f"{found.name}/{inner[-1]}")
+        for file in inner:
+            written.date(f"{found.name}/{file}", 1_000_000_000_000 + n * 60_000)
     reader = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files)
-    return reader.parquet(path)
+    return reader.parquet(f"{path}/slice=*")
 
 
 def stage_stream(stream: DataFrame, name: str) -> DataFrame:

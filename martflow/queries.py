@@ -406,8 +406,8 @@ def keyword_stats(spark, sf):
 
 
 # --- streams ----------------------------------------------------------------
-# The tables as streams, through the jobs.  Windows that the end of the input
-# leaves open are not in the results.
+# The tables as streams, through the jobs.  A record of a far later day closes the
+# windows that the end of the input would leave open.
 
 
 @query
@@ -421,29 +421,36 @@ def stream_fix_is_new(spark, sf):
     folder = f"{staging_dir(spark)}/fixed-{uuid.uuid4().hex}"
 
     def write(batch_lines, batch):
-        fixed = repair.fix_batch(
-            logs.parse_log(batch_lines.select("value")), batch, f"{folder}/days"
-        )
-        flat = fixed.select("common.mid", "common.is_new", "ts")
-        flat.write.mode("overwrite").parquet(f"{folder}/out/batch={batch}")
+        parsed = logs.parse_log(batch_lines.select("value")).persist()
+        try:
+            fixed = repair.fix_batch(parsed, batch, f"{folder}/days")
+            flat = fixed.select("common.mid", "common.is_new", "ts")
+            flat.write.mode("overwrite").parquet(f"{folder}/out/batch={batch}")
+        finally:
+            parsed.unpersist()
 
     jobs.start_batches(lines, write, f"{folder}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{folder}/out").select("mid", "is_new", "ts")
 
 
-def _timed(found: DataFrame, time: str, name: str) -> DataFrame:
-    """Records as a stream of several micro-batches in order of time, then one far later.
+def _timed(found: DataFrame, time: str, name: str, page_id: str = "good_detail") -> DataFrame:
+    """Records as a stream of some micro-batches in order of time, then one far later.
 
     The last record, of no product and no visitor, closes the windows of the others.
     """
-    page = F.struct(
-        F.lit("good_detail").alias("page_id"), F.lit(None).alias("last_page_id"),
-        F.lit("-1").alias("item"), F.lit(None).alias("during_time"),
-    )
-    end = {"sku_id": F.lit(-1), "page": page, time: F.lit(LAST_MILLIS if time == "ts" else LAST_STT)}
-    row = [end.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in found.dtypes]
+    page = {"page_id": F.lit(page_id), "item": F.lit("-1")}
+    row = []
+    for field in found.schema:
+        value = F.lit(None)
+        if field.name == time:
+            value = F.lit(LAST_MILLIS if time == "ts" else LAST_STT)
+        elif field.name == "sku_id":
+            value = F.lit(-1)
+        elif field.name == "page":
+            value = F.struct(*[page.get(n, F.lit(None)).alias(n) for n in field.dataType.names])
+        row.append(value.cast(field.dataType).alias(field.name))
     last = found.sparkSession.range(1).select(*row).coalesce(1)
-    return stage_files(found, time, name, last)
+    return stage_files(found, time, name, last, slices=2)
 
 
 def _page_stream(spark, sf):
@@ -459,11 +466,8 @@ def stream_unique_visit(spark, sf):
 
 @query
 def stream_user_jump(spark, sf):
-    found = visits.user_jump(
-        _page_stream(spark, sf).select("event_id", "common", "page", "ts"),
-        adapt.BOUNCE_LIMIT_MS,
-        adapt.VISIT_ORDER,
-    )
+    pages = _pages(spark, sf).select("event_id", "common", "page", "ts")
+    found = visits.user_jump(_timed(pages, "ts", "pages"), adapt.BOUNCE_LIMIT_MS, adapt.VISIT_ORDER)
     return _flat_log(stage_stream(found, "user_jump"))
 
 
@@ -516,7 +520,7 @@ def stream_product_stats(spark, sf):
 
 @query
 def stream_keyword_stats(spark, sf):
-    pages = adapt.search_records(spark, sf, adapt.stream)
+    pages = _timed(adapt.search_records(spark, sf), "ts", "searches", "good_list")
     return stage_stream(jobs.keyword_stats(pages), "keyword_stats")
 
 

@@ -78,5 +78,13 @@ class Files:
     def make(self, name: str = "") -> None:
         self.store.mkdirs(self._path(name))
 
+    def copy(self, name: str, to: str) -> None:
+        util, conf = self.jvm.org.apache.hadoop.fs.FileUtil, self.store.getConf()
+        util.copy(self.store, self._path(name), self.store, self._path(to), False, conf)
+
+    def date(self, name: str, modified: int) -> None:
+        """Date a file by epoch ms."""
+        self.store.setTimes(self._path(name), modified, -1)
+
     def delete(self, name: str) -> None:
         self.store.delete(self._path(name), True)

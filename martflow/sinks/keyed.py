@@ -31,6 +31,14 @@ FEW_KEYS = 200
 _KEYS_A_PAGE = 1000
 
 
+@dataclass(frozen=True)
+class Chosen:
+    """Buckets to read, and the keys themselves where they are few."""
+
+    buckets: frozenset[str]
+    keys: tuple[str, ...] | None
+
+
 @dataclass(frozen=True)
 class KeyedTable:
     """Rows of ``schema`` by the text column ``key`` in so many ``buckets``.
@@ -94,25 +102,36 @@ class KeyedTable:
     def read(self, spark: SparkSession) -> DataFrame:
         return self.table.read(spark).drop(BUCKET)
 
-    def lookup(self, keys: DataFrame, column: str | None = None) -> DataFrame:
-        """Rows that may be of the keys in ``column``: of the buckets they hash to.
+    def choose(self, keys: DataFrame, column: str | None = None) -> Chosen:
+        """What a lookup of the keys in ``column`` has to read.
 
-        Rows of other keys of these buckets are among them unless the keys are few;
-        a join with the keys tells. ``keys`` is read once, for the driver: up to
-        ``FEW_KEYS`` distinct keys, or else the numbers of their buckets.
+        The driver gets ``FEW_KEYS`` keys at most, or the numbers of the buckets. Rows
+        are counted, not keys: make them distinct where they repeat.
         """
-        spark = keys.sparkSession
         column = column or self.key
-        wanted = keys.select(F.col(column).cast("string").alias("key"), self.bucket(column).alias("b"))
-        wanted = wanted.where(F.col("key").isNotNull())
-        few = wanted.distinct().limit(FEW_KEYS + 1).collect()
-        if not few:
-            return spark.createDataFrame([], self.schema)
+        key = F.col(column).cast("string")
+        wanted = keys.where(key.isNotNull()).select(key.alias("key"), self.bucket(column).alias("b"))
+        few = wanted.limit(FEW_KEYS + 1).collect()
         if len(few) <= FEW_KEYS:
-            found = self.table.read(spark, {r.b for r in few})
-            return found.where(_any_of(F.col(self.key), [r.key for r in few])).drop(BUCKET)
-        buckets = {r.b for r in wanted.select("b").distinct().collect()}
-        return self.table.read(spark, buckets).drop(BUCKET)
+            return Chosen(frozenset(r.b for r in few), tuple({r.key: None for r in few}))
+        return Chosen(frozenset(r.b for r in wanted.select("b").distinct().collect()), None)
+
+    def chosen_rows(self, spark: SparkSession, chosen: Chosen) -> DataFrame:
+        """The table's rows that a lookup has to read, as the table is now."""
+        if not chosen.buckets:
+            return spark.createDataFrame([], self.schema)
+        found = self.table.read(spark, chosen.buckets)
+        if chosen.keys is not None:
+            found = found.where(_any_of(F.col(self.key), list(chosen.keys)))
+        return found.drop(BUCKET)
+
+    def lookup(self, keys: DataFrame, column: str | None = None) -> DataFrame:
+        """Rows that may be of the keys in ``column``.
+
+        Where the keys are not few, rows of other keys of their buckets are among them;
+        a join with the keys tells.
+        """
+        return self.chosen_rows(keys.sparkSession, self.choose(keys, column))
 
 
 def _any_of(column: Column, values: list[str]) -> Column:

@@ -44,12 +44,13 @@ def fix_batch(records: DataFrame, batch: int, folder: str, buckets: int = BUCKET
     store = day_store(folder, buckets)
     here = first_visit_days(records).persist()
     try:
-        known = store.lookup(here)
+        chosen = store.choose(here)
+        known = store.chosen_rows(spark, chosen)
         new = here.join(known.select("mid"), "mid", "left_anti")
         if store.put(new, batch):
             store.merge(spark, _first)
-        # Of the same buckets, with what has just been stored.
-        days = store.lookup(here)
+        # With what has just been stored.
+        days = store.chosen_rows(spark, chosen)
     finally:
         here.unpersist()
     return fix_is_new_by(records, _first(days))
