@@ -18,7 +18,7 @@ from martflow.operators import changes, joins, keywords, logs, orders, stats, vi
 from martflow.plans import products, reports, visitors
 from martflow.plans.staging import stage, stage_files, stage_stream, staging_dir
 from martflow.session import tune
-from martflow.sinks.results import append_results, read_results
+from martflow.sinks.results import commit_results, read_committed
 from martflow.sinks.topics import as_messages
 from martflow.streaming import jobs, repair
 
@@ -569,8 +569,8 @@ def report_province(spark, sf):
 def _stored_visitor_stats(spark, sf):
     """Visitor statistics as the result table holds them: written, then read."""
     table = f"{staging_dir(spark)}/visitor_stats-{uuid.uuid4().hex}"
-    append_results(QUERIES["visitor_stats"](spark, sf), table, 0)
-    return read_results(spark, table)
+    commit_results(QUERIES["visitor_stats"](spark, sf), table, 0)
+    return read_committed(spark, table, [str(EVENT_DAY)])
 
 
 @query

@@ -138,7 +138,7 @@ class CommitTable:
             added = []
             for level in sorted({max(s.level for s in own) for own in chosen.values()}):
                 own = [s for g in chosen.values() if max(s.level for s in g) == level for s in g]
-                rows = self._rows(spark, own)
+                rows = self.of(spark, own)
                 added += self._write(files, fold(rows) if fold else rows, level + 1)
             replaced = [s.path for own in chosen.values() for s in own]
             files.make("merges")
@@ -247,7 +247,8 @@ class CommitTable:
         wanted = None if parts is None else set(parts)
         return [s for s in live if wanted is None or s.part in wanted]
 
-    def _rows(self, spark: SparkSession, segments: list[Segment]) -> DataFrame:
+    def of(self, spark: SparkSession, segments: list[Segment]) -> DataFrame:
+        """The rows of some segments."""
         if not segments:
             return spark.createDataFrame([], self.schema)
         reader = spark.read.schema(self.schema).option("basePath", f"{self.folder}/data")
@@ -256,7 +257,7 @@ class CommitTable:
 
     def read(self, spark: SparkSession, parts: Iterable[str] | None = None) -> DataFrame:
         """The table as it is now; of some parts, their files alone are listed."""
-        return self._rows(spark, self.segments(spark, parts))
+        return self.of(spark, self.segments(spark, parts))
 
     def stream(
         self,

@@ -1,23 +1,23 @@
 """Dimension tables that take upserts of single columns.
 
-A table is a folder with a ``base`` that holds everything up to a batch, and the
-folded ``changes`` of each batch since.  Writing a batch costs what the batch
-holds, whatever the table's size.  Reading scans the newest base and folds only
-the keys that have changed since.  A repeated batch replaces itself.  Bases that
-a newer one has replaced are left for whoever cleans up.
+A table is a keyed table (``keyed.py``) of folded changes: each batch adds a segment to the
+buckets of the keys that it changes, and segments of a bucket fold into one by levels, so
+a changed key rewrites its bucket alone.  Reading the whole table folds the buckets that
+hold more than one segment; a lookup reads what its keys need.  A repeated batch is there
+already.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martflow.operators.changes import fold_dimension, merge_folds, visible_rows
 from martflow.schemas import LONG, TEXT, record
+from martflow.sinks.keyed import BUCKET, KeyedTable
 
 # Later batches win; within one the time of the change, then the place in the topic.
 ORDER = ["batch", "at", "position"]
@@ -47,6 +47,8 @@ class Dimension:
     columns: tuple[str, ...]
     pk: str = "id"
 
+    buckets: int = 16
+
     def _schema(self) -> T.StructType:
         cell = record(value=TEXT, at=_AT)
         return T.StructType(
@@ -54,19 +56,14 @@ class Dimension:
             + [T.StructField(name, cell) for name in self.columns]
         )
 
-    def _read(self, spark: SparkSession, part: str, schema: T.StructType) -> DataFrame:
-        try:
-            return spark.read.schema(schema).parquet(f"{self.folder}/{part}")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return spark.createDataFrame([], schema)
+    @property
+    def store(self) -> KeyedTable:
+        return KeyedTable(self.folder, self._schema(), "_pk", self.buckets)
 
-    def _compacted_to(self, spark: SparkSession) -> int:
-        bases = self._read(spark, "bases", record(upto=LONG))
-        return bases.agg(F.coalesce(F.max("upto"), F.lit(-1))).first()[0]
+    def _fold(self, folds: DataFrame) -> DataFrame:
+        return merge_folds(folds, list(self.columns))
 
-    def write(self, changes: DataFrame, batch: int) -> None:
+    def write(self, changes: DataFrame, batch: int, query: str | None = None) -> None:
         """Fold a batch of changes (``type``, ``data``, ``at``, ``position``) and store it."""
         folded = fold_dimension(
             changes.withColumn("batch", F.lit(batch).cast("bigint")),
@@ -75,32 +72,34 @@ class Dimension:
             ORDER,
             keep_state=True,
         )
-        since = self._compacted_to(changes.sparkSession)
-        folded.write.mode("overwrite").parquet(
-            f"{self.folder}/changes/since={since}/batch={batch}"
-        )
+        if self.store.put(folded, batch, query):
+            self.store.merge(changes.sparkSession, self._fold)
 
     def _state(self, spark: SparkSession) -> DataFrame:
-        upto = self._compacted_to(spark)
-        base = self._read(spark, f"base/upto={upto}", self._schema())
-        later = self._read(spark, f"changes/since={upto}", self._schema()).select(base.columns)
-        changed = later.select("_pk").distinct()
-        same = base.join(changed, "_pk", "left_anti")
-        old = base.join(changed, "_pk", "left_semi")
-        return same.unionByName(merge_folds(old.unionByName(later), list(self.columns)))
+        table = self.store.table
+        held: dict[str, list] = {}
+        for segment in table.segments(spark):
+            held.setdefault(segment.part, []).append(segment)
+        # A segment holds a key once, so a bucket with one segment is as it should be.
+        alone = [own[0] for own in held.values() if len(own) == 1]
+        several = [segment for own in held.values() if len(own) > 1 for segment in own]
+        found = table.of(spark, alone).drop(BUCKET)
+        if not several:
+            return found
+        return found.unionByName(self._fold(table.of(spark, several).drop(BUCKET)))
 
     def current(self, spark: SparkSession) -> DataFrame:
         """The table as it is now, one row per key."""
         return visible_rows(self._state(spark), list(self.columns), self.pk)
 
-    def compact(self, spark: SparkSession, upto: int) -> None:
-        """Write a base of everything so far; ``upto`` is the last batch written.
+    def lookup(self, keys: DataFrame, column: str) -> DataFrame:
+        """The table's rows that have one of the keys in ``column``, and maybe others.
 
-        The base counts once it is listed, so a failed compaction leaves the
-        table as it was.
+        Reads the keys' buckets, and of them the keys alone where they are few.
         """
-        if upto <= self._compacted_to(spark):
-            return
-        self._state(spark).write.mode("overwrite").parquet(f"{self.folder}/base/upto={upto}")
-        listed = spark.createDataFrame([(upto,)], record(upto=LONG))
-        listed.coalesce(1).write.mode("append").parquet(f"{self.folder}/bases")
+        wanted = keys.select(column).distinct()
+        return visible_rows(self._fold(self.store.lookup(wanted, column)), list(self.columns), self.pk)
+
+    def compact(self, spark: SparkSession, upto: int | None = None) -> None:
+        """Fold every bucket into one segment, whatever its levels; ``upto`` is not needed."""
+        self.store.merge(spark, self._fold, whole=True)

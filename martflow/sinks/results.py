@@ -1,12 +1,22 @@
-"""Result tables: append-only, partitioned by the day of the window start, then by batch.
+"""Result tables: append-only, split by the day of the window start.
 
-A report of a day lists that day's folder only, whatever has been written before.
+``commit_results`` puts them behind commits: readers see a batch whole and once, and the
+files of a day are merged by levels. ``append_results`` writes a plain folder by day and
+batch, for readers that know nothing of commits; one that has read the first attempt of a
+repeated batch sees the batch twice. A report of a day lists that day's files only,
+whatever has been written before.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from martflow.sinks.commits import FAN_IN, CommitTable
+from martflow.sinks.files import Files
 
 
 def result_rows(df: DataFrame, helpers: tuple[str, ...] = ()) -> DataFrame:
@@ -29,6 +39,54 @@ def read_results(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.parquet(table).withColumn("day", F.col("day").cast("string"))
 
 
+def _committed(spark: SparkSession, table: str, rows: DataFrame | None = None) -> CommitTable:
+    """The table by the shape its first batch had."""
+    files = Files(spark, table)
+    if not files.exists("schema.json"):
+        if rows is None:
+            raise FileNotFoundError(f"{table} has no batch")
+        files.make()
+        try:
+            files.put("schema.json", rows.schema.json())
+        except FileExistsError:  # another query's batch came first
+            pass
+    shape = T.StructType.fromJson(json.loads(files.read("schema.json")))
+    return CommitTable(table, shape, "day")
+
+
+def commit_results(
+    df: DataFrame,
+    table: str,
+    batch: int,
+    helpers: tuple[str, ...] = (),
+    query: str | None = None,
+    fan_in: int = FAN_IN,
+) -> bool:
+    """Append a micro-batch, whole and once; False if it is there already.
+
+    ``query`` is that of the micro-batch unless named. Days that have got ``fan_in`` files
+    of a size are merged.
+    """
+    rows = result_rows(df, helpers)
+    held = _committed(df.sparkSession, table, rows)
+    done = held.commit(rows, batch, query)
+    if done:
+        held.merge(df.sparkSession, fan_in=fan_in)
+    return done
+
+
+def read_committed(
+    spark: SparkSession, table: str, days: list[str] | None = None
+) -> DataFrame:
+    """A table that ``commit_results`` writes, as it is now; of some days or of all."""
+    return _committed(spark, table).read(spark, days)
+
+
+def stream_committed(spark: SparkSession, table: str, batches: int | None = None) -> DataFrame:
+    """The same as a stream: each row once."""
+    return _committed(spark, table).stream(spark, batches=batches)
+
+
 def append_jdbc(
     df: DataFrame,
     url: str,

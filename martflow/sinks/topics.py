@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from martflow.schemas import TEXT, record
+from martflow.sinks.commits import CommitTable
+
 
 def as_messages(df: DataFrame, topic: str) -> DataFrame:
     """Each row as JSON text for one topic; null fields are left out."""
@@ -34,21 +37,32 @@ def stream_messages(
     return writer.format("text").partitionBy("topic").start(folder)
 
 
+def topic_commits(folder: str) -> CommitTable:
+    """Topics behind commits, a part for each."""
+    return CommitTable(folder, record(topic=TEXT, value=TEXT), "topic")
+
+
 def write_messages(
     messages: DataFrame,
     batch: int,
     servers: str | None = None,
     folder: str | None = None,
+    committed: bool = False,
 ) -> None:
     """The same for one micro-batch.
 
     As files, each batch has a folder ``batch=N`` that a repeated batch
-    replaces; read them back as the folder ``<folder>/batch=*``.
+    replaces; read them back as the folder ``<folder>/batch=*``.  With ``committed``
+    they lie behind commits, and readers see each message once (``topic_commits``).
     """
     if not servers and not folder:
         raise ValueError("name Kafka servers or a folder")
+    if committed and not folder:
+        raise ValueError("commits need a folder; Kafka may get a batch twice")
     rows = messages.select("topic", "value")
-    if servers:
+    if committed:
+        topic_commits(folder).commit(rows, batch)
+    elif servers:
         rows.write.format("kafka").option("kafka.bootstrap.servers", servers).save()
     else:
         rows.write.mode("overwrite").partitionBy("topic").text(f"{folder}/batch={batch}")

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from martflow.operators.logs import parse_text
 from martflow.schemas import TEXT, record
+from martflow.sinks.topics import topic_commits
 
 
 def kafka_options(
@@ -35,6 +36,7 @@ def read_topic(
     starting: str | None = None,
     files_per_batch: int | None = None,
     positions: bool = False,
+    committed: bool = False,
 ) -> DataFrame:
     """A topic as a stream with one text column ``value``.
 
@@ -43,7 +45,14 @@ def read_topic(
     ``positions`` each message says when it arrived (``arrived``, epoch ms) and
     where it stands (``position``): on Kafka its offset, which orders the messages
     of one key, in files the file and the place where a task's part of it begins.
+    A ``committed`` folder is one that jobs commit to: each message comes once, and
+    ``files_per_batch`` counts their batches.
     """
+    if committed:
+        if not folder or positions:
+            raise ValueError("a committed topic has a folder, and no positions")
+        rows = topic_commits(folder).stream(spark, [topic], files_per_batch)
+        return rows.select("value")
     if servers:
         reader = spark.readStream.format("kafka").options(
             **kafka_options(servers, topic, group, starting)
@@ -84,7 +93,10 @@ def read_topic_table(
     folder: str | None = None,
     group: str | None = None,
     files_per_batch: int | None = None,
+    committed: bool = False,
 ) -> DataFrame:
     """A JSON topic as a typed stream; on Kafka from the latest records on."""
-    lines = read_topic(spark, topic, servers, folder, group, "latest", files_per_batch)
+    lines = read_topic(
+        spark, topic, servers, folder, group, "latest", files_per_batch, committed=committed
+    )
     return parse_text(lines, schema)

@@ -18,7 +18,7 @@ from martflow.functions.text import map_text
 from martflow.functions.times import millis_to_day, with_event_time
 from martflow.operators import changes, keywords, logs, orders, stats, visits
 from martflow.sinks.dimensions import Dimension, dimension_columns
-from martflow.sinks.results import append_results
+from martflow.sinks.results import append_results, commit_results
 from martflow.sinks.topics import as_messages, write_messages
 from martflow.sources.changes import read_changes, rejected_changes
 from martflow.streaming import repair
@@ -100,18 +100,19 @@ def base_log(
     folder: str | None = None,
     servers: str | None = None,
     reject_folder: str | None = None,
+    committed: bool = False,
 ) -> Callable[[DataFrame, int], None]:
     """App log lines to start, page and display messages, new flags repaired.
 
     First days are kept below ``day_folder``; lines that are no records go to
-    ``reject_folder``.
+    ``reject_folder``.  ``committed`` messages are seen once by their readers.
     """
 
     def write(lines: DataFrame, batch: int) -> None:
         checked = logs.checked_lines(lines).persist()
         try:
             fixed = repair.fix_batch(logs.records_of(checked), batch, day_folder)
-            write_messages(split_messages(fixed), batch, servers, folder)
+            write_messages(split_messages(fixed), batch, servers, folder, committed)
             if reject_folder:
                 write_rejects(logs.rejects_of(checked), batch, reject_folder)
         finally:
@@ -151,6 +152,7 @@ def base_db(
     fact_servers: str | None = None,
     compact_every: int = 100,
     reject_folder: str | None = None,
+    committed: bool = False,
 ) -> Callable[[DataFrame, int], None]:
     """Route each batch of change messages to dimensions and fact topics.
 
@@ -175,7 +177,8 @@ def base_db(
         routed = changes.route_changes(changes.valid_changes(read), config).persist()
         try:
             if to_topics:
-                write_messages(changes.fact_messages(routed), batch, fact_servers, fact_folder)
+                facts = changes.fact_messages(routed)
+                write_messages(facts, batch, fact_servers, fact_folder, committed)
             dims = changes.dimension_changes(routed)
             for dimension in dimensions:
                 table = dimension.folder.rsplit("/", 1)[1]
@@ -227,28 +230,51 @@ def order_wide(
     return orders.order_wide(orders_in, details_in, bound, delay, salts)
 
 
+# Dimensions by name: frames, which are joined whole, or tables, which are looked up.
+Dimensions = dict[str, DataFrame | Dimension]
+
+
+def _rows_for(dims: Dimensions, name: str, keys: DataFrame, column: str) -> DataFrame:
+    """What a micro-batch needs of a dimension: the rows of its keys."""
+    dim = dims[name]
+    return dim.lookup(keys, column) if isinstance(dim, Dimension) else dim
+
+
+def _named_products(rows: DataFrame, dims: Dimensions, price: bool = False) -> DataFrame:
+    skus = _rows_for(dims, "sku", rows, "sku_id")
+    others = [
+        _rows_for(dims, name, skus, column)
+        for name, column in (("spu", "spu_id"), ("category", "category3_id"), ("trademark", "tm_id"))
+    ]
+    return orders.with_product_tables(rows, skus, *others, price=price)
+
+
 def write_order_wide(
-    read_dimensions: Callable[[], dict[str, DataFrame]],
+    read_dimensions: Callable[[], Dimensions],
     folder: str | None = None,
     servers: str | None = None,
     as_of: date | None = None,
+    committed: bool = False,
 ) -> Callable[[DataFrame, int], None]:
-    """Look a batch of wide orders up in the current dimensions and send it."""
+    """Look a batch of wide orders up in the current dimensions and send it.
+
+    Of a ``Dimension`` table a batch reads the buckets of its keys, of a frame all rows.
+    """
 
     def write(wide: DataFrame, batch: int) -> None:
         dims = read_dimensions()
-        rows = orders.with_user(wide, dims["user"], as_of)
-        rows = orders.with_province(rows, dims["province"])
-        rows = orders.with_product_tables(rows, *_product_tables(dims))
-        write_messages(as_messages(rows, ORDER_WIDE), batch, servers, folder)
+        wide = wide.persist()  # its keys are asked for before its rows
+        try:
+            rows = orders.with_user(wide, _rows_for(dims, "user", wide, "user_id"), as_of)
+            provinces = _rows_for(dims, "province", wide, "province_id")
+            rows = _named_products(orders.with_province(rows, provinces), dims)
+            write_messages(as_messages(rows, ORDER_WIDE), batch, servers, folder, committed)
+        finally:
+            wide.unpersist()
 
     return write
 
 
-def _product_tables(dims: dict[str, DataFrame]) -> list[DataFrame]:
-    return [dims[name] for name in ("sku", "spu", "category", "trademark")]
-
-
 def payment_wide(
     payments: DataFrame,
     wide: DataFrame,
@@ -300,26 +326,29 @@ def product_stats(
 
 
 def write_product_stats(
-    read_dimensions: Callable[[], dict[str, DataFrame]], table: str
+    read_dimensions: Callable[[], Dimensions], table: str, committed: bool = False
 ) -> Callable[[DataFrame, int], None]:
     """Name a batch of product rows from the current dimensions and append it."""
+    append = commit_results if committed else append_results
 
     def write(rows: DataFrame, batch: int) -> None:
-        named = orders.with_product_tables(
-            rows, *_product_tables(read_dimensions()), price=True
-        )
-        append_results(named, table, batch)
+        rows = rows.persist()
+        try:
+            append(_named_products(rows, read_dimensions(), price=True), table, batch)
+        finally:
+            rows.unpersist()
 
     return write
 
 
 def write_results(
-    table: str, helpers: tuple[str, ...] = ()
+    table: str, helpers: tuple[str, ...] = (), committed: bool = False
 ) -> Callable[[DataFrame, int], None]:
-    """Append each batch to a result table."""
+    """Append each batch to a result table; ``committed``, its readers see it once."""
+    append = commit_results if committed else append_results
 
     def write(rows: DataFrame, batch: int) -> None:
-        append_results(rows, table, batch, helpers)
+        append(rows, table, batch, helpers)
 
     return write
 

@@ -1,13 +1,22 @@
 """Tables behind commits: whole batches, once, for readers and streams."""
 
+import json
+import os
 import threading
 from collections import Counter
 
 import pytest
+from pyspark.errors import StreamingQueryException
 
 from martflow.schemas import LONG, TEXT, record
+from martflow.sinks import results
 from martflow.sinks.commits import CommitTable
 from martflow.sinks.files import Files
+from martflow.sinks.topics import write_messages
+from martflow.sources.logs import stream_log_lines
+from martflow.sources.topics import read_topic
+from martflow.streaming import jobs
+from test_logs import page
 
 SHAPE = record(day=TEXT, id=LONG, note=TEXT)
 
@@ -155,3 +164,70 @@ def test_streams_name_their_batches_by_their_checkpoint(spark, tmp_path):
         query = query.option("checkpointLocation", f"{tmp_path}/{checkpoint}")
         assert query.trigger(availableNow=True).start().awaitTermination(60)
     assert got(t.read(spark)) == [("d", 1, "r")] * 2
+
+
+RESULT = "stt string, edt string, keyword string, ct long, helper string"
+
+
+def test_results_behind_commits(spark, tmp_path):
+    """Batches repeat; days are merged; a report's day is read alone; a stream sees rows once."""
+    path = f"{tmp_path}/results"
+    with pytest.raises(FileNotFoundError):
+        results.read_committed(spark, path)
+    expected = []
+    for n in range(7):
+        day = f"2024-01-0{n % 2 + 1}"
+        row = (f"{day} 00:00:{n:02}", f"{day} 00:00:{n:02}", "k", n, "h")
+        expected.append((*row[:4], day.replace("-", "")))
+        for again in (True, False):
+            df = spark.createDataFrame([row], RESULT)
+            assert results.commit_results(df, path, n, ("helper",), fan_in=3) == again
+    whole = results.read_committed(spark, path)
+    assert whole.columns == ["stt", "edt", "keyword", "ct", "day"]
+    assert got(whole) == sorted(expected, key=str)
+    day = results.read_committed(spark, path, ["20240101"])
+    assert got(day) == sorted((r for r in expected if r[4] == "20240101"), key=str)
+    assert len(day.inputFiles()) <= 2 and all("day=20240101" in f for f in day.inputFiles())
+    stream = results.stream_committed(spark, path, batches=2).writeStream.format("parquet")
+    stream = stream.option("checkpointLocation", f"{tmp_path}/cp").option("path", f"{tmp_path}/out")
+    assert stream.trigger(availableNow=True).start().awaitTermination(120)
+    assert got(spark.read.schema(whole.schema).parquet(f"{tmp_path}/out")) == sorted(expected, key=str)
+
+
+def test_a_job_killed_before_its_commit_sends_its_messages_once(spark, tmp_path, monkeypatch):
+    """From the base log to the next job, over a crash and a restart from the checkpoint."""
+    lines = [json.dumps(page(f"d{n}", n * 1000)) for n in range(6)]
+    os.makedirs(f"{tmp_path}/ods")
+    for n in range(3):
+        with open(f"{tmp_path}/ods/{n}.txt", "w") as out:
+            out.write("\n".join(lines[2 * n : 2 * n + 2]))
+        os.utime(f"{tmp_path}/ods/{n}.txt", (1000 + n, 1000 + n))
+    put, seen = Files.put, []
+
+    def killed(self, name, text):
+        if self.folder.endswith("/dwd") and name.startswith("commits/") and len(seen) == 1:
+            seen.append(name)
+            raise RuntimeError("killed")
+        if self.folder.endswith("/dwd"):
+            seen.append(name)
+        return put(self, name, text)
+
+    def start():
+        write = jobs.base_log(f"{tmp_path}/days", f"{tmp_path}/dwd", committed=True)
+        query = jobs.start_batches(stream_log_lines(spark, f"{tmp_path}/ods", 1), write, f"{tmp_path}/cp")
+        return query.awaitTermination(120)
+
+    monkeypatch.setattr(Files, "put", killed)
+    with pytest.raises(StreamingQueryException):
+        start()
+    assert start()
+    assert len(seen) == 4
+    topic = read_topic(spark, jobs.PAGE_LOG, folder=f"{tmp_path}/dwd", committed=True)
+    query = topic.writeStream.format("text").option("checkpointLocation", f"{tmp_path}/cp2")
+    assert query.trigger(availableNow=True).start(f"{tmp_path}/out").awaitTermination(120)
+    mids = sorted(json.loads(r.value)["common"]["mid"] for r in spark.read.text(f"{tmp_path}/out").collect())
+    assert mids == [f"d{n}" for n in range(6)]
+    with pytest.raises(ValueError):
+        read_topic(spark, "t", folder="x", committed=True, positions=True)
+    with pytest.raises(ValueError):
+        write_messages(topic, 0, servers="h:1", committed=True)

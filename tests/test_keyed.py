@@ -1,14 +1,18 @@
 """Tables looked up by key: what is found, and what is read for it."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from martflow.operators import visits
+from martflow.operators import orders, visits
 from martflow.schemas import TEXT, record
 from martflow.sinks import keyed
+from martflow.sinks.dimensions import Dimension
 from martflow.sinks.keyed import KeyedTable
-from martflow.streaming import repair
+from martflow.streaming import jobs, repair
 from test_logs import frame, page
+from test_streams import dimensions, shop, shop_tables
 
 DAY = 86_400_000
 SHAPE = record(id=TEXT, name=TEXT)
@@ -108,3 +112,51 @@ def test_flags_by_two_queries(spark, tmp_path):
     store.merge(spark, repair._first, whole=True)
     assert rows_of(store.read(spark)) == [("x", "20240103")]
     assert visits.first_visit_days(records).count() == 1
+
+
+def dimension_of(spark, folder, frame_of_rows, buckets=4):
+    """A dimension table with the rows of a frame, by changes of two batches."""
+    columns = frame_of_rows.columns
+    dim = Dimension(folder, tuple(columns), "id", buckets)
+    changes = frame_of_rows.select(
+        F.lit("insert").alias("type"),
+        F.map_from_arrays(F.array(*map(F.lit, columns)), F.array(*columns)).alias("data"),
+        F.lit(1).cast("bigint").alias("at"),
+        F.struct(F.lit("").alias("file"), F.lit(1).cast("bigint").alias("nr")).alias("position"),
+    )
+    dim.write(changes, 0)
+    dim.write(changes.limit(1), 1)
+    return dim
+
+
+def test_a_changed_key_rewrites_its_bucket_only(spark, tmp_path):
+    rows = spark.range(100).select(F.col("id").cast("string"), F.lit("a").alias("name"))
+    dim = dimension_of(spark, f"{tmp_path}/dim", rows, 8)
+    dim.compact(spark)
+    before = {s.part: s.path for s in dim.store.table.segments(spark)}
+    assert len(before) == 8
+    change = spark.createDataFrame(
+        [("update", {"id": "7", "name": "b"}, 2, ("", 2))],
+        "type string, data map<string,string>, at long, position struct<file:string,nr:long>",
+    )
+    dim.write(change, 2)
+    dim.write(change, 2)
+    dim.compact(spark)
+    after = {s.part: s.path for s in dim.store.table.segments(spark)}
+    assert sum(before[p] != after[p] for p in before) == 1
+    found = dict(map(tuple, dim.current(spark).collect()))
+    assert len(found) == 100 and found["7"] == "b" and found["8"] == "a"
+    looked = dim.lookup(keys_of(spark, ["7", "7", "x", None]), "k")
+    assert rows_of(looked) == [("7", "b")]
+
+
+def test_wide_orders_by_lookups_are_those_of_whole_joins(spark, tmp_path):
+    placed, lines, _ = shop_tables(spark, shop(random.Random(8), 40))
+    wide = orders.order_wide(placed, lines)
+    frames = dimensions(spark)
+    tables = {n: dimension_of(spark, f"{tmp_path}/{n}", f) for n, f in frames.items()}
+    for name, dims in (("frames", frames), ("tables", tables)):
+        jobs.write_order_wide(lambda d=dims: d, f"{tmp_path}/out-{name}")(wide, 0)
+    texts = [sorted(r.value for r in spark.read.text(f"{tmp_path}/out-{n}").collect()) for n in ("frames", "tables")]
+    assert texts[0] == texts[1] and len(texts[0]) > 40
+    assert any("Acme" in t for t in texts[0])
