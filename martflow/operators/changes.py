@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martflow import schemas
@@ -107,6 +107,43 @@ def latest_config(config_changes: DataFrame, order: list[str]) -> DataFrame:
     )
 
 
+def rule_versions(config_changes: DataFrame, at: str, order: list[str] | None = None) -> DataFrame:
+    """Every rule there ever was, with the stretch of positions it was in force.
+
+    ``at`` is where a rule change stands, in the terms of the changes that will be routed:
+    a time or an offset.  A version holds from ``since`` to before ``until``, the place of
+    the next change of the same table and operation, or without end; a deleted rule ends,
+    and so does one whose row goes over to another table or operation.  Of changes at one
+    place the last by ``order`` counts.  The window runs over the history of one rule.
+    """
+    order = [at, *(order or [])]
+    empty = _empty_map()
+    before = F.col("before") if "before" in config_changes.columns else F.lit(None)
+    before = F.coalesce(before.cast("map<string,string>"), empty)
+    after = F.coalesce(F.when(~F.col("type").eqNullSafe("delete"), F.col("data")), empty)
+    ended = F.struct(before.alias("rule"), F.lit(False).alias("holds"))
+    started = F.struct(after.alias("rule"), F.lit(True).alias("holds"))
+    ends = F.explode(F.array(ended, started)).alias("step")
+    keys = ["source_table", "operate_type"]
+    steps = config_changes.select(*order, ends).select(
+        *order,
+        F.col("step.holds").alias("holds"),
+        *[F.col("step.rule")[name].alias(name) for name in schemas.ROUTING.names],
+    )
+    # A change ends what was in force and starts anew, in this order at one place.
+    along = Window.partitionBy(*keys).orderBy(*order, "holds")
+    steps = steps.where(F.col("source_table").isNotNull())
+    steps = steps.withColumn("until", F.lead(at).over(along))
+    held = steps.where(F.col("holds") & (F.col("until").isNull() | (F.col("until") > F.col(at))))
+    return held.select(*schemas.ROUTING.names, F.col(at).alias("since"), "until")
+
+
+def _meets(at: str, since: Column, until: Column) -> Column:
+    """Whether a change stands where a rule version was in force."""
+    place = F.col(at)
+    return F.coalesce((place >= since) & (until.isNull() | (place < until)), F.lit(False))
+
+
 def project_columns(data: Column | str, columns: Column | str) -> Column:
     """Keep the map entries a comma list names; an empty list keeps all."""
     data = F.col(data) if isinstance(data, str) else data
@@ -116,13 +153,8 @@ def project_columns(data: Column | str, columns: Column | str) -> Column:
     return F.when(F.coalesce(F.length(columns), F.lit(0)) == 0, data).otherwise(wanted)
 
 
-def route_changes(changes: DataFrame, config: DataFrame) -> DataFrame:
-    """Give each change its sink by (table, operation); no rule, no output.
-
-    Bootstrap inserts and the rows of a snapshot count as inserts.  Adds ``sink_type``, ``sink_table``,
-    ``sink_pk`` and cuts ``data`` to the rule's columns.  Only dimension and
-    fact sinks are served.  ``config`` holds one rule per table and operation.
-    """
+def _with_rules(changes: DataFrame, config: DataFrame, kept: list[str]) -> DataFrame:
+    """Changes, typed as rules name operations, beside the rules of their table and type."""
     rules = config.select(
         F.col("source_table").alias("table"),
         F.col("operate_type").alias("type"),
@@ -130,19 +162,90 @@ def route_changes(changes: DataFrame, config: DataFrame) -> DataFrame:
         "sink_table",
         "sink_columns",
         F.coalesce("sink_pk", F.lit("id")).alias("sink_pk"),
-    ).where(F.col("sink_type").isin(schemas.SINK_DIMENSION, schemas.SINK_FACT))
-    typed = changes.withColumn(
-        "type",
-        F.when(F.col("type").isin(schemas.BOOTSTRAP_INSERT, "read"), "insert").otherwise(
-            F.col("type")
-        ),
+        *kept,
+    )
+    return _typed(changes).join(rules, ["table", "type"])
+
+
+def _typed(changes: DataFrame) -> DataFrame:
+    inserted = F.col("type").isin(schemas.BOOTSTRAP_INSERT, "read")
+    return changes.withColumn("type", F.when(inserted, "insert").otherwise(F.col("type")))
+
+
+def _served() -> Column:
+    return F.col("sink_type").isin(schemas.SINK_DIMENSION, schemas.SINK_FACT)
+
+
+def route_changes(changes: DataFrame, config: DataFrame) -> DataFrame:
+    """Give each change its sink by (table, operation); no rule, no output.
+
+    Bootstrap inserts and the rows of a snapshot count as inserts.  Adds ``sink_type``, ``sink_table``,
+    ``sink_pk`` and cuts ``data`` to the rule's columns.  Only dimension and
+    fact sinks are served.  ``config`` holds one rule per table and operation.
+    """
+    return _routed(_with_rules(changes, config.where(_served()), []), changes.columns)
+
+
+def _routed(met: DataFrame, columns: list[str]) -> DataFrame:
+    cut = met.withColumn("data", project_columns("data", "sink_columns"))
+    return cut.select(*columns, "sink_type", "sink_table", "sink_pk")
+
+
+def route_changes_as_of(changes: DataFrame, versions: DataFrame, at: str = "at") -> DataFrame:
+    """:func:`route_changes` by the rule in force where each change stands.
+
+    ``versions`` are those of :func:`rule_versions`, ``at`` is the place of a change in
+    the same terms.  What was routed does not hang on when it was: a rule that changes in
+    the middle of a micro-batch routes both halves rightly, and a rerun in batch agrees.
+    """
+    met = _with_rules(changes, versions.where(_served()), ["since", "until"])
+    return _routed(met.where(_meets(at, F.col("since"), F.col("until"))), changes.columns)
+
+
+def without_rule(changes: DataFrame, versions: DataFrame, at: str = "at") -> DataFrame:
+    """Changes that a rule would take, but none was in force where they stand.
+
+    Those from before the first rule of their table and operation, and after its end.
+    Changes of tables and operations no rule ever named are not among them.
+    """
+    keys = ["table", "type"]
+    rules = versions.select(
+        F.col("source_table").alias("table"), F.col("operate_type").alias("type"), "since", "until"
     )
-    return (
-        typed.join(rules, ["table", "type"])
-        .withColumn("data", project_columns("data", "sink_columns"))
-        .select(*changes.columns, "sink_type", "sink_table", "sink_pk")
+    # One row per rule: a change joins its rule's stretches, not each of them.
+    stretches = rules.groupBy(*keys).agg(
+        F.collect_list(F.struct("since", "until")).alias("_stretches")
     )
 
+    def meets(stretch: Column) -> Column:
+        return _meets(at, stretch["since"], stretch["until"])
+
+    typed = _typed(changes.withColumn("_as", F.col("type")))
+    missed = typed.join(stretches, keys).where(~F.exists("_stretches", meets))
+    return missed.withColumn("type", F.col("_as")).select(changes.columns)
+
+
+def handed_over(chunks: DataFrame, log: DataFrame) -> DataFrame:
+    """A table's rows, read in chunks while it changed, and its log, as one change frame.
+
+    ``log`` holds the changes from where the first chunk was begun, or from earlier;
+    ``chunks`` holds ``read`` rows with the same columns, each at the log's position
+    when its chunk was begun.  A chunk's row stands for all changes up to there; later
+    ones come after it, also those that the chunk may have seen already.  So the fold of
+    the result by (position, ``_read``), as ``latest_rows`` makes it, is the table at the
+    log's end, in whatever order chunks and changes were taken.  Nothing is locked.
+    """
+    read = chunks.withColumn("_read", F.lit(True))
+    return read.unionByName(log.withColumn("_read", F.lit(False)))
+
+
+def handover_table(
+    chunks: DataFrame, log: DataFrame, keys: list[str], position: str = "position"
+) -> DataFrame:
+    """The table at the log's end; see :func:`handed_over`."""
+    both = handed_over(chunks, log)
+    return latest_rows(both, keys, [position, "_read"]).drop("_read")
+
 
 def dimension_changes(routed: DataFrame) -> DataFrame:
     return routed.where(F.col("sink_type") == schemas.SINK_DIMENSION)

@@ -232,6 +232,44 @@ _BODIES = {
                CASE WHEN type = 'delete' THEN 0 WHEN sink_table = 'dwd_order_update' THEN 1
                     WHEN sink_table = 'dim_user_info' THEN 2 ELSE 3 END AS fields
         FROM routed""",
+    "route_changes_as_of": """
+        WITH half AS (SELECT max(event_id) // 2 AS half FROM events),
+        all_rules AS (
+            SELECT tbl, type AS op, sink_type, sink_table FROM rules
+            UNION ALL SELECT 'cart_info', 'insert', 'clickhouse', 'ck_cart_info'),
+        typed AS (
+            SELECT * REPLACE (CASE type WHEN 'bootstrap-insert' THEN 'insert' ELSE type END AS type)
+            FROM chg),
+        versions AS (
+            SELECT r.* REPLACE (
+                       CASE WHEN l.late AND r.tbl = 'order_info' AND r.op = 'update'
+                            THEN 'dwd_later' ELSE sink_table END AS sink_table),
+                   l.late AND r.tbl = 'user_info' AND r.op = 'update' AS id_only,
+                   CASE WHEN l.late THEN half ELSE 0 END AS since,
+                   CASE WHEN NOT l.late THEN half END AS until
+            FROM all_rules r, half, (VALUES (false), (true)) l(late)
+            WHERE NOT (l.late AND r.tbl = 'sku_info' AND r.op = 'delete')
+              AND NOT (NOT l.late AND r.tbl = 'order_info' AND r.op = 'insert')),
+        met AS (
+            SELECT c.*, v.* EXCLUDE (tbl, op)
+            FROM typed c JOIN versions v ON c.tbl = v.tbl AND c.type = v.op
+              AND c.seq >= v.since AND (v.until IS NULL OR c.seq < v.until))
+        SELECT seq, tbl AS "table", sink_type, sink_table,
+               CASE WHEN type = 'delete' THEN 0 WHEN sink_table IN ('dwd_order_update', 'dwd_later') THEN 1
+                    WHEN id_only THEN 1 WHEN sink_table = 'dim_user_info' THEN 2 ELSE 3 END AS fields
+        FROM met WHERE sink_type IN ('hbase', 'kafka')
+        UNION ALL
+        SELECT seq, tbl, NULL, NULL, CASE type WHEN 'delete' THEN 0 WHEN 'update' THEN 2 ELSE 3 END
+        FROM typed c SEMI JOIN all_rules r ON c.tbl = r.tbl AND c.type = r.op
+        ANTI JOIN met USING (seq)""",
+    "cdc_handover": """
+        SELECT tbl AS "table", id, name, amount FROM (
+            SELECT *, row_number() OVER (PARTITION BY tbl, id ORDER BY seq DESC) AS rn FROM env)
+        WHERE rn = 1 AND type <> 'delete'""",
+    "dim_point_lookup": """
+        SELECT l_orderkey * 10 + l_linenumber AS id, l_partkey + 50 AS sku_id,
+               coalesce(p_name, 'from order') AS sku_name, CAST(p_size + 3 AS VARCHAR) AS spu_id
+        FROM lineitem LEFT JOIN part ON p_partkey = l_partkey + 50""",
     "project_columns": """
         SELECT seq, CASE WHEN type <> 'delete' THEN id END AS id,
                CASE WHEN sink_table <> 'dwd_order_update' THEN name END AS name,
@@ -314,8 +352,7 @@ _BODIES = {
                min(ts) AS ts
         FROM kw GROUP BY keyword, kw.ts // 10000""",
     "stream_fix_is_new": "SELECT mid, is_new, ts FROM fx",
-    "stream_unique_visit": """
-        SELECT DISTINCT mid, strftime(epoch_ms(ts), '%Y%m%d') AS day FROM entries""",
+    "stream_unique_visit": f"SELECT {_LOG} FROM uv",
     "stream_user_jump": f"SELECT {_LOG} FROM uj",
     "stream_visitor_stats": """
         SELECT strftime(epoch_ms(day_ms), '%Y-%m-%d %H:%M:%S') AS stt,

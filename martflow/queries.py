@@ -18,6 +18,7 @@ from martflow.operators import changes, joins, keywords, logs, orders, stats, vi
 from martflow.plans import products, reports, visitors
 from martflow.plans.staging import stage, stage_files, stage_stream, staging_dir
 from martflow.session import tune
+from martflow.sinks.keyed import KeyedTable
 from martflow.sinks.results import commit_results, read_committed
 from martflow.sinks.topics import as_messages
 from martflow.streaming import jobs, repair
@@ -182,6 +183,90 @@ def route_changes(spark, sf):
     )
 
 
+def _rule_history(spark, sf):
+    """Changes of the rule table, placed by the ids of the events they fall between.
+
+    Half way a rule begins, one ends, one cuts its columns, and one goes to another topic.
+    """
+    half = (adapt.events(spark, sf).agg(F.max("event_id")).first()[0] or 0) // 2
+    first = adapt.routing(spark)
+    row = F.map_from_arrays(
+        F.array(*map(F.lit, first.columns)), F.array(*[F.col(c).cast("string") for c in first.columns])
+    )
+    operation = F.concat_ws(":", "source_table", "operate_type")
+    begins, ends = operation == "order_info:insert", operation == "sku_info:delete"
+    cut = F.map_concat(
+        F.map_filter(row, lambda k, _: ~k.isin("sink_columns", "sink_table")),
+        F.create_map(
+            F.lit("sink_columns"), F.when(operation == "user_info:update", "id").otherwise(F.col("sink_columns")),
+            F.lit("sink_table"), F.when(operation == "order_info:update", "dwd_later").otherwise(F.col("sink_table")),
+        ),
+    )
+    empty = F.map_filter(row, lambda k, v: F.lit(False))
+    start = first.where(~begins).select(
+        F.lit(0).cast("bigint").alias("seq"), F.lit("insert").alias("type"), empty.alias("before"), row.alias("data")
+    )
+    later = first.select(
+        F.lit(half).cast("bigint").alias("seq"),
+        F.when(begins, "insert").when(ends, "delete").otherwise("update").alias("type"),
+        F.when(begins, empty).otherwise(row).alias("before"),
+        F.when(ends, empty).otherwise(cut).alias("data"),
+    )
+    return start.unionByName(later)
+
+
+@query
+def route_changes_as_of(spark, sf):
+    """Changes by the rules in force where they stand; those without one have no sink."""
+    versions = changes.rule_versions(_rule_history(spark, sf), "seq")
+    valid = changes.valid_changes(adapt.changes(spark, sf))
+    routed = changes.route_changes_as_of(valid, versions, "seq")
+    missed = changes.without_rule(valid, versions, "seq").select(
+        "*", *[F.lit(None).cast("string").alias(c) for c in ("sink_type", "sink_table", "sink_pk")]
+    )
+    return routed.unionByName(missed).select(
+        "seq", "table", "sink_type", "sink_table", F.size("data").alias("fields")
+    )
+
+
+@query
+def cdc_handover(spark, sf):
+    """Each table's rows, read in four chunks of keys while the log went on, and the log.
+
+    The chunks see all changes up to where they were read, a little after they were
+    begun; the log that is followed begins where the first chunk does.
+    """
+    events = changes.normalize_envelopes(adapt.envelopes(spark, sf))
+    last = events.agg(F.max("seq")).first()[0] or 0
+    key = changes.row_value(events, "id")
+    chunks = None
+    for n in range(4):
+        begun = last * (n + 2) // 8
+        seen = events.where((F.col("seq") <= begun + last // 16) & (F.pmod(F.xxhash64(key), F.lit(4)) == n))
+        rows = changes.latest_rows(seen, ["table", "id"], ["seq"])
+        rows = rows.withColumns({"type": F.lit("read"), "seq": F.lit(begun).cast("bigint")})
+        chunks = rows if chunks is None else chunks.unionByName(rows)
+    log = events.where(F.col("seq") > last * 2 // 8).withColumn("id", key)
+    latest = changes.handover_table(chunks, log, ["table", "id"], "seq")
+    data = F.col("data")
+    return latest.select("table", "id", data["name"].alias("name"), data["amount"].alias("amount"))
+
+
+@query
+def dim_point_lookup(spark, sf):
+    """Order lines beside their products, looked up in a table in key buckets."""
+    folder = f"{staging_dir(spark)}/sku-{uuid.uuid4().hex}"
+    skus = adapt.skus(spark, sf)
+    store = KeyedTable(folder, skus.schema, "id", 8)
+    store.put(skus, 0)
+    lines = adapt.details(spark, sf)
+    found = store.lookup(lines.select("sku_id").distinct(), "sku_id")
+    named = joins.enrich(
+        lines, found, {"sku_id": "id"}, {"sku_name": F.col("sku_name"), "spu_id": F.col("spu_id")}
+    )
+    return named.select("id", "sku_id", "sku_name", "spu_id")
+
+
 @query
 def project_columns(spark, sf):
     routed = changes.route_changes(
@@ -459,9 +544,10 @@ def _page_stream(spark, sf):
 
 @query
 def stream_unique_visit(spark, sf):
-    """Devices and days; which of a day's entries comes first depends on arrival."""
-    found = stage_stream(jobs.unique_visit(_page_stream(spark, sf)), "unique_visit")
-    return found.select("common.mid", times.millis_to_day("ts").alias("day"))
+    """The first entries by time, each given out once its day is over."""
+    pages = _timed(_pages(spark, sf).select("event_id", "common", "page", "ts"), "ts", "pages")
+    found = jobs.first_entries(pages, "0 seconds", adapt.VISIT_ORDER)
+    return _flat_log(stage_stream(found, "unique_visit"))
 
 
 @query

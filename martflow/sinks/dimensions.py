@@ -41,13 +41,18 @@ def dimension_schema(sink_columns: str, pk: str | None = None) -> T.StructType:
 
 @dataclass(frozen=True)
 class Dimension:
-    """A dimension table in ``folder`` with text ``columns`` and the key ``pk``."""
+    """A dimension table in ``folder`` with text ``columns`` and the key ``pk``.
+
+    Later by ``order`` wins: by default the later batch.  By ("at", "position") it is the
+    later change, whatever query wrote it and when, as a table needs that several write.
+    """
 
     folder: str
     columns: tuple[str, ...]
     pk: str = "id"
 
     buckets: int = 16
+    order: tuple[str, ...] = tuple(ORDER)
 
     def _schema(self) -> T.StructType:
         cell = record(value=TEXT, at=_AT)
@@ -69,7 +74,7 @@ class Dimension:
             changes.withColumn("batch", F.lit(batch).cast("bigint")),
             list(self.columns),
             self.pk,
-            ORDER,
+            list(self.order),
             keep_state=True,
         )
         if self.store.put(folded, batch, query):

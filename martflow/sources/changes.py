@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martflow import schemas
-from martflow.operators.changes import latest_config, normalize_envelopes
+from martflow.operators.changes import latest_config, normalize_envelopes, rule_versions
 from martflow.operators.logs import parse_text
 
 
@@ -24,6 +24,13 @@ def read_routing(spark: SparkSession, folder: str) -> DataFrame:
     return latest_config(events, ["ts_ms", "file_name", "_rule"])
 
 
+def read_rule_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """Every rule of such a folder, with the times (epoch ms) it was in force."""
+    lines = spark.read.text(folder).select("value", "_metadata.file_name")
+    events = read_envelopes(lines).withColumn("_rule", F.to_json("data"))
+    return rule_versions(events, "ts_ms", ["file_name", "_rule"])
+
+
 def read_changes(lines: DataFrame) -> DataFrame:
     """Change-event texts to columns; other columns of ``lines`` are kept."""
     return parse_text(lines, schemas.CHANGE)

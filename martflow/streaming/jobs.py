@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from martflow import schemas
 from martflow.functions.text import map_text
-from martflow.functions.times import millis_to_day, with_event_time
+from martflow.functions.times import EVENT_TIME, millis_to_day, with_event_time
 from martflow.operators import changes, keywords, logs, orders, stats, visits
 from martflow.sinks.dimensions import Dimension, dimension_columns
 from martflow.sinks.results import append_results, commit_results
@@ -137,6 +137,24 @@ def unique_visit(pages: DataFrame, delay: str = "1 day", salts: int = 8) -> Data
     return thinned.dropDuplicatesWithinWatermark(["_mid", "_day"]).select(pages.columns)
 
 
+def first_entries(
+    pages: DataFrame, delay: str = "1 hour", order: tuple[str, ...] = visits.DEFAULT_ORDER
+) -> DataFrame:
+    """The first entry by time of each device and day, once its day is over.
+
+    A day's first entries come when the watermark has passed the day's end, and are then
+    forgotten; entries later than ``delay`` are dropped.  A device costs a day one row of
+    state, combined before it is shuffled.  The rows are those of the batch operator.
+    """
+    columns = [c for c in pages.columns if c != EVENT_TIME]
+    timed = with_event_time(visits.session_entries(pages), delay)
+    return (
+        timed.groupBy(F.window(EVENT_TIME, "1 day"), F.col("common.mid").alias("mid"))
+        .agg(F.min_by(F.struct(*columns), F.struct(*order)).alias("r"))
+        .select("r.*")
+    )
+
+
 def user_jump(pages: DataFrame, limit_ms: int = 10_000, late_ms: int = 0) -> DataFrame:
     """Bounces; the same operator as in batch."""
     return visits.user_jump(pages, limit_ms, late_ms=late_ms)
@@ -159,8 +177,10 @@ def base_db(
     The messages come with their positions (``read_topic(positions=True)``); of two
     changes of a row the one that the database made later wins, else the one that
     arrived later.  ``read_config`` gives the rules in force, one per table and
-    operation; it is asked once per batch.  Lines that are no changes go to
-    ``reject_folder``.
+    operation; it is asked once per batch.  Given versions of rules
+    (``read_rule_versions``), each change meets the rule in force at its own time.
+    Lines that are no changes go to ``reject_folder``, and with versions those that
+    came before their rule or after its end.
     """
 
     def write(lines: DataFrame, batch: int) -> None:
@@ -172,9 +192,13 @@ def base_db(
             raise ValueError("a rule sends facts, and no servers or folder are named for them")
         # In files, ids grow along the lines of a task's part.
         line = F.coalesce("position.nr", F.monotonically_increasing_id())
-        read = read_changes(lines.withColumn("position", F.col("position").withField("nr", line)))
+        placed = lines.withColumn("position", F.col("position").withField("nr", line))
+        read = read_changes(placed.withColumn("line", F.col("value")))
         read = read.withColumn("at", F.coalesce("ts", "arrived"))
-        routed = changes.route_changes(changes.valid_changes(read), config).persist()
+        valid = changes.valid_changes(read)
+        versioned = "since" in config.columns
+        route = changes.route_changes_as_of if versioned else changes.route_changes
+        routed = route(valid, config).persist()
         try:
             if to_topics:
                 facts = changes.fact_messages(routed)
@@ -188,7 +212,11 @@ def base_db(
         finally:
             routed.unpersist()
         if reject_folder:
-            write_rejects(rejected_changes(lines), batch, reject_folder)
+            rejects = rejected_changes(lines).select("value")
+            if versioned:
+                kept = valid.select("at", "type", "table", F.col("line").alias("value"))
+                rejects = rejects.unionByName(changes.without_rule(kept, config).select("value"))
+            write_rejects(rejects, batch, reject_folder)
 
     return write
 
