@@ -19,6 +19,7 @@ gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import string
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -90,6 +91,8 @@ LICENSES = (
     ("cc", "creative", r"creative commons licen[cs]e"),
 )
 
+_CHUNK = 256
+
 #: Priority, weight, phrasing; {} is the name.
 PHRASINGS = (
     (8, 1.0, r"spdx licen[cs]e identifier {}"),
@@ -169,12 +172,9 @@ def rules() -> list[Rule]:
 
 
 def plain_form(text: Column) -> Column:
-    """Words of a text in lower case with a space around each; " " if there is none.
-
-    Lower-casing reaches other letters than A-Z too. That changes no match: the only
-    other letter with one of A-Z below it is the Kelvin sign, and no rule has a k.
-    """
-    return F.regexp_replace(F.concat(F.lit(" "), F.lower(text), F.lit(" ")), BREAKS, " ")
+    """Words of a text, A-Z in lower case, with a space around each; " " if there is none."""
+    lower = F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+    return F.regexp_replace(F.concat(F.lit(" "), lower, F.lit(" ")), BREAKS, " ")
 
 
 def _spaces(text: Column) -> Column:
@@ -262,7 +262,8 @@ def standing(found: Column) -> Column:
     """Detections that are not suppressed.
 
     Along the order of ``detections`` whatever can contain a detection comes before it.
-    So it is enough to keep, for each priority, the farthest last word so far.
+    So it is enough to keep, for each priority, the farthest last word so far. What
+    stands is gathered in chunks, as an array is copied whenever it grows.
     """
     far = F.array_repeat(F.lit(-1).cast("long"), LEVELS)
     start = F.struct(far.alias("far"), F.array().cast(f"array<{_DETECTION}>").alias("kept"))
@@ -278,7 +279,22 @@ def standing(found: Column) -> Column:
         kept = F.when(inside, state["kept"]).otherwise(F.concat(state["kept"], F.array(one)))
         return F.struct(moved.alias("far"), kept.alias("kept"))
 
-    return F.aggregate(found, start, step, lambda state: state["kept"])
+    def chunk_step(state, n):
+        fresh = F.struct(state["far"].alias("far"), start["kept"].alias("kept"))
+        own = F.aggregate(F.slice(found, n * _CHUNK + 1, F.lit(_CHUNK)), fresh, step)
+        # The chunk is worked through once, by a function of an array's element.
+        return F.get(
+            F.transform(
+                F.array(own),
+                lambda done: F.struct(
+                    done["far"].alias("far"), F.concat(state["kept"], done["kept"]).alias("kept")
+                ),
+            ),
+            F.lit(0),
+        )
+
+    chunks = F.sequence(F.lit(0), F.floor((F.size(found) - 1) / _CHUNK).cast("int"))
+    return F.aggregate(chunks, start, chunk_step, lambda state: state["kept"])
 
 
 def scan(documents: DataFrame, known: list[Rule] | None = None) -> DataFrame:

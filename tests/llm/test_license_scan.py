@@ -170,3 +170,26 @@ def test_query_against_brute_force(spark):
     got = scan.op5_license_scan(spark, "/root/testdata/sf0.001").collect()
     assert sorted(map(tuple, got)) == sorted((d, *brute(t)) for d, t in want)
     assert pytest.approx(1.0) == max(r.score for r in got)
+
+
+def test_other_capitals_stay(spark):
+    """The Kelvin sign is no k."""
+    text = "Creative Commons Attribution Share Ali\u212ae"
+    docs = spark.createDataFrame([(1, text), (2, text.replace("\u212a", "K"))], "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in scan.license_labels(docs).collect()}
+    assert got == {1: "cc-by", 2: "cc-by-sa"}
+
+
+def test_long_texts_dense_in_detections(spark):
+    import time
+
+    def seconds(times):
+        docs = spark.createDataFrame([(1, "cc by nc " * times)], "doc_id long, text string")
+        start = time.time()
+        row = scan.license_labels(docs).first()
+        assert (row.n_base, row.base_labels) == (times, "cc-by-nc")
+        assert row.n_standing == times
+        return time.time() - start
+
+    fixed = min(seconds(10) for _ in range(2))
+    assert seconds(32_000) < fixed + 20
