@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.llm.common import table
+from martflow.llm.common import returning, table
 
 SAMPLE = 400
 EXCERPTS = 4
@@ -41,7 +41,7 @@ UNKNOWN = "und"
 _AT_ONCE = 2048
 _LETTERS = np.zeros(256, np.float32)
 _LETTERS[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = 1
-_LETTER = re.compile(r"[^\W\d_]")
+_ASCII_LETTER = re.compile("[A-Za-z]")
 
 
 @dataclass
@@ -281,7 +281,7 @@ def sample_stretches(documents: DataFrame, sample: int = SAMPLE) -> list[tuple[s
             for lang, text in zip(
                 batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True
             ):
-                if not _LETTER.search(text):
+                if not has_letter(text):
                     continue
                 data = text.encode()
                 last = max(0, len(data) - STRETCH)
@@ -296,6 +296,11 @@ def sample_stretches(documents: DataFrame, sample: int = SAMPLE) -> list[tuple[s
     return [(r.lang, bytes(r.data)) for r in found.collect()]
 
 
+def has_letter(text: str) -> bool:
+    """Whether one of its characters is a letter; numerals like ``Ⅷ`` or ``²`` are none."""
+    return bool(_ASCII_LETTER.search(text)) or any(map(str.isalpha, text))
+
+
 def _predicted(net: Network | None, text_column: str):
     """For ``mapInArrow``: put lang_pred and score behind the columns of a row."""
 
@@ -307,7 +312,7 @@ def _predicted(net: Network | None, text_column: str):
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 texts = part.column(text_column).to_pylist()
-                known = [i for i, t in enumerate(texts) if reader and t and _LETTER.search(t)]
+                known = [i for i, t in enumerate(texts) if reader and t and has_letter(t)]
                 names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
                 if known:
                     total = reader([texts[i].encode() for i in known])
@@ -320,7 +325,7 @@ def _predicted(net: Network | None, text_column: str):
                     names=[*part.schema.names, "lang_pred", "score"],
                 )
 
-    return predict
+    return returning(predict)
 
 
 def predict(documents: DataFrame, net: Network | None) -> DataFrame:

@@ -140,3 +140,15 @@ def test_held_out_accuracy_of_the_query(spark):
     assert len(got) == len(want)
     held_out = [r for r in got if r.held_out]
     assert np.mean([r.lang_pred == want[r.doc_id] for r in held_out]) >= 0.98
+
+
+@pytest.mark.parametrize("text", ["²", "½", "² ½", "Ⅷ ①", "12 _ 3", "", "٣", "\n"])
+def test_numerals_are_no_letters(spark, text):
+    assert not lang.has_letter(text)
+    docs = spark.createDataFrame([(1, text), (2, text + "é")], "doc_id long, text string")
+    net = lang.Network(
+        ["en", "fr"], np.zeros((2, 256, 6), np.float32), np.zeros((2, 2, 6), np.float32),
+        np.zeros((4, 2), np.float32), np.zeros(2, np.float32),
+    )
+    found = {r.doc_id: r.lang_pred for r in lang.predict(docs, net).collect()}
+    assert found[1] == "und" and found[2] in ("en", "fr")
