@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.llm.common import small_side, table
+from martflow.llm.common import returning, small_side, table
 from martflow.plans.staging import stage
 
 LEAST_WORDS = 10
@@ -189,7 +189,7 @@ def _measured(text_column: str, with_lines: bool):
                     [part.column(n) for n in keep] + columns, names=[*keep, *names]
                 )
 
-    return add
+    return returning(add)
 
 
 def base_failed(n_words="n_words", n_repeat_words="n_repeat_words"):

@@ -38,7 +38,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.llm.common import small_side, table
+from martflow.llm.common import returning, small_side, table
 from martflow.llm.components import components
 from martflow.plans.staging import stage
 
@@ -349,7 +349,7 @@ def near_duplicates(
     """
     docs = _with_text_keys(documents, F.col("doc_id").cast("long").alias("doc_id"))
     signed = docs.mapInArrow(
-        _signed, "doc_id long, k1 long, k2 int, words binary, sign binary"
+        returning(_signed), "doc_id long, k1 long, k2 int, words binary, sign binary"
     ).withColumn("row", F.monotonically_increasing_id())
     signed = stage(signed, "near-signatures")
 
@@ -424,7 +424,7 @@ def _shingle_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     """(id, shingles, times) of the wanted classes (id, k1, k2)."""
     keyed = _with_text_keys(documents)
     texts = keyed.join(small_side(wanted), ["k1", "k2"]).dropDuplicates(["id"]).select("id", "text")
-    return texts.mapInArrow(_shingled, "id long, shingles binary, times binary")
+    return texts.mapInArrow(returning(_shingled), "id long, shingles binary, times binary")
 
 
 def _block_links(members: DataFrame, threshold: float) -> DataFrame:

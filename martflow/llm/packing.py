@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martflow.llm import tokens
-from martflow.llm.common import parts_for, table
+from martflow.llm.common import parts_for, returning, table
 
 CAPACITY = 2048
 LINEAR = 1.0
@@ -149,7 +149,7 @@ def pack(
         if held:
             yield from pack_shard(held)
 
-    return coded.repartitionById(shards, "shard").mapInArrow(pack_task, COLUMNS)
+    return coded.repartitionById(shards, "shard").mapInArrow(returning(pack_task), COLUMNS)
 
 
 def op3_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
