@@ -38,6 +38,10 @@ MOST = 2.0
 BUCKETS = 1024
 SEED = "mix-1"
 _ONE = 1 << 24
+# What a document that is taken is in memory on the narrow side of a join, and how much
+# of them is sent to all executors; beyond that both sides are shuffled.
+_TAKEN_BYTES = 160
+_SENT_BYTES = 64 << 20
 
 
 def source_targets(
@@ -156,12 +160,36 @@ def mixed(documents: DataFrame) -> DataFrame:
 
 
 def take_mix(documents: DataFrame) -> DataFrame:
-    """Each document as often as it is taken, with its columns as they are."""
+    """Each document as often as it is taken, with its columns as they are.
+
+    Places are found on narrow rows. What is taken of a document goes back to it by its
+    mark: texts are shuffled once, and not at all where the narrow rows are few enough to
+    be sent to them. Of rows equal in ``doc_id``, source and text one stands for all.
+    """
+    doc_id = F.col("doc_id").cast("long").alias("doc_id")
+    found = copies(documents.select(doc_id, *_placing()), ["doc_id"])
+    taken = found.groupBy(F.col("mark").alias("of"), F.col("doc_id").alias("of_id"), F.col("source").alias("of_source"))
+    taken = taken.agg(F.count(F.lit(1)).alias("rows"), F.sum("copies").cast("int").alias("times"))
+    taken = stage(taken.where("times > 0"), "mix-taken")
+    if taken.count() * _TAKEN_BYTES <= _SENT_BYTES:
+        taken = F.broadcast(taken)
+
     names = {c: f"c{i}" for i, c in enumerate(documents.columns)}
     own = [F.col(f"`{c}`").alias(n) for c, n in names.items()]
-    found = copies(documents.select(*own, *_placing()), [names["doc_id"]])
-    repeats = F.array_repeat(F.lit(0), F.col("copies").cast("int"))
-    found = found.withColumn("repeat", F.explode(repeats))
+    source, _, mark = _placing()
+    marked = documents.select(*own, doc_id, source, mark)
+    met = marked.join(
+        taken,
+        (F.col("mark") == F.col("of"))
+        & F.col("doc_id").eqNullSafe(F.col("of_id"))
+        & F.col("source").eqNullSafe(F.col("of_source")),
+    )
+    row = F.struct(*names.values())
+    single = met.where("rows = 1").select("times", row.alias("row"))
+    several = met.where("rows > 1").groupBy("of", "of_id", "of_source")
+    several = several.agg(F.first("times").alias("times"), F.first(row).alias("row"))
+    found = single.unionByName(several.select("times", "row"))
+    found = found.select("row.*", F.explode(F.array_repeat(F.lit(0), F.col("times"))).alias("repeat"))
     return found.select([F.col(n).alias(c) for c, n in names.items()])
 
 

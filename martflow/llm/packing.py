@@ -105,14 +105,18 @@ def pack(
     linear: float = LINEAR,
     quadratic: float = QUADRATIC,
     shard_bytes: int = SHARD_BYTES,
+    **encoding: int,
 ) -> DataFrame:
-    """The pieces of all documents (``doc_id``, ``text``); see the module."""
+    """The pieces of all documents (``doc_id``, ``text``); see the module.
+
+    ``encoding`` bounds what a worker remembers and holds, as in ``tokens.id_columns``.
+    """
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = docs.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 8)).first()[0]
     shards = parts_for(size, shard_bytes)
     dealt = F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int")
     coded = docs.withColumn("shard", dealt).mapInArrow(
-        tokens.id_columns(tokenizer, end_id, "text"), "doc_id long, shard int, ids binary"
+        tokens.id_columns(tokenizer, end_id, "text", **encoding), "doc_id long, shard int, ids binary"
     )
     width = tokens.id_width(tokenizer)
 

@@ -55,7 +55,8 @@ class Encoder:
     what it knew: frequent words stay.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept_words: int = _KEPT_WORDS):
+        self.kept_words = kept_words
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -132,7 +133,7 @@ class Encoder:
         codes = coded.indices.to_numpy(zero_copy_only=False)
         words = coded.dictionary.to_pylist()
 
-        if len(self.known.index) > _KEPT_WORDS:
+        if len(self.known.index) > self.kept_words:
             self.known, self.before = _Words(), self.known
         new = self._missing(words)
         self._learn(new)
@@ -164,7 +165,7 @@ def _gather(flat, starts, lengths, extra=None) -> np.ndarray:
     return flat[np.minimum(index, len(flat) - 1)]
 
 
-def _slices(batches, text_column: str):
+def _slices(batches, text_column: str, at_once: int):
     """Rows some megabytes of text at a time, whatever batches they come in."""
     import pyarrow as pa
 
@@ -172,7 +173,7 @@ def _slices(batches, text_column: str):
     for batch in batches:
         for at in range(0, batch.num_rows, 2000):
             part = batch.slice(at, 2000)
-            if held and size + part.column(text_column).nbytes > _BYTES_AT_ONCE:
+            if held and size + part.column(text_column).nbytes > at_once:
                 yield pa.concat_batches(held)
                 held, size = [], 0
             held.append(part)
@@ -181,29 +182,37 @@ def _slices(batches, text_column: str):
         yield pa.concat_batches(held)
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, kept_words: int = _KEPT_WORDS) -> Encoder:
     """The encoder of this Python worker."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
-
-
-def id_columns(path: str, end_id: int, text_column: str, drop_text: bool = True):
+    if (path, kept_words) not in _ENCODERS:
+        _ENCODERS[path, kept_words] = Encoder(path, kept_words)
+    return _ENCODERS[path, kept_words]
+
+
+def id_columns(
+    path: str,
+    end_id: int,
+    text_column: str,
+    drop_text: bool = True,
+    kept_words: int = _KEPT_WORDS,
+    bytes_at_once: int = _BYTES_AT_ONCE,
+):
     """A function for ``mapInArrow``: adds ``ids`` (little-endian bytes) to rows.
 
     Each id takes two bytes where the vocabulary allows it, else four. ``end_id``
-    closes every document.
+    closes every document. A worker remembers twice ``kept_words`` at most, and holds some
+    ten times ``bytes_at_once``: with less of both it is smaller and slower.
     """
 
     def add(batches):
         import pyarrow as pa
 
-        encode = encoder(path)
+        encode = encoder(path, kept_words)
         kind = np.uint16 if len(encode.ends) <= 1 << 16 else np.uint32
-        for part in _slices(batches, text_column):
+        for part in _slices(batches, text_column, bytes_at_once):
             flat, counts = encode(part.column(text_column))
             ends = np.cumsum(counts)
             flat = np.insert(flat, ends, end_id).astype(kind)
