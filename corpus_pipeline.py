@@ -49,7 +49,9 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     small_batches(spark)
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    # Small workers, beside executors that the stages before have filled.
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(docs, path, shard_bytes=16 << 20, kept_words=100_000, bytes_at_once=4 << 20)
 
 
 STAGES: list[tuple[str, Stage]] = [
