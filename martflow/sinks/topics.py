@@ -61,7 +61,9 @@ def write_messages(
         raise ValueError("commits need a folder; Kafka may get a batch twice")
     rows = messages.select("topic", "value")
     if committed:
-        topic_commits(folder).commit(rows, batch)
+        table = topic_commits(folder)
+        if table.commit(rows, batch):
+            table.merge(messages.sparkSession)
     elif servers:
         rows.write.format("kafka").option("kafka.bootstrap.servers", servers).save()
     else:
