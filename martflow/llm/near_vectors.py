@@ -22,6 +22,9 @@ comparisons, and no link is missed at any table size:
   links. That work grows with the square of a component, as its links do, and is spread
   over block pairs; nothing is emitted but a count for each vector and block.
 
+One function decides whether a pair within rounding of the threshold links, in passes,
+between components and in counts alike; so a vector has no link if and only if it is alone.
+
 Defined results: a vector that is null, empty, zero, or holds null or non-finite
 components links with nothing; vectors of different lengths do not link; a row without
 ``vec_id`` takes part, and its component is null if no other row has an id; repeated
@@ -48,6 +51,7 @@ _PART_ROWS = 20_000
 _BLOCK = 1024
 _PIVOTS = 64
 _FILE_ROWS = 8192
+_SETTLED = 65536
 
 
 def unit_vectors(column) -> list[bytes | None]:
@@ -146,11 +150,34 @@ def local_roots(count: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return root
 
 
+def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Cosine of each row of ``a`` with that of ``b``: what alone decides near the threshold.
+
+    It is the same for a pair in either order, whatever rows stand beside it.
+    """
+    return np.ascontiguousarray(a * b).sum(axis=1)
+
+
+def settled(products: np.ndarray, a, b, threshold: float) -> np.ndarray:
+    """Whether pairs link, by products of rows of ``a`` and ``b`` (alike or crosswise).
+
+    Products decide where rounding cannot matter, ``cosines`` where it can. So each step
+    of the operator, whichever way it multiplies, takes the same pairs for links.
+    """
+    near = products >= threshold
+    unsure = np.nonzero(np.abs(products - threshold) <= 1e-12 + 1e-15 * a.shape[1])
+    for k in range(0, len(unsure[0]), _SETTLED):
+        at = tuple(u[k : k + _SETTLED] for u in unsure)
+        near[at] = cosines(a[at[0]], b[at[-1]]) >= threshold
+    return near
+
+
 def window_links(vectors, groups, window: int, threshold: float):
     """Positions (i, j) of near vectors at most ``window`` apart, in one group."""
     one, two = [], []
     for step in range(1, min(window, len(vectors) - 1) + 1):
-        near = np.einsum("ij,ij->i", vectors[:-step], vectors[step:]) >= threshold
+        a, b = vectors[:-step], vectors[step:]
+        near = settled(np.einsum("ij,ij->i", a, b), a, b, threshold)
         near &= groups[:-step] == groups[step:]
         at = np.flatnonzero(near)
         one.append(at)
@@ -240,7 +267,7 @@ def _counted(threshold: float):
             )
             if not len(a) or not len(b):
                 continue
-            near = a @ b.T >= threshold
+            near = settled(a @ b.T, a, b, threshold)
             if low == high:
                 np.fill_diagonal(near, False)
             found.append((one.id.to_numpy(), near @ two.copies.to_numpy()))
@@ -331,7 +358,7 @@ def across_links(a, b, held_a, held_b, pivots, threshold: float) -> list[tuple[i
         i, j = np.nonzero(near)
         for k in range(0, len(i), 65536):
             x, y = i[k : k + 65536] + at, j[k : k + 65536]
-            true = np.einsum("ij,ij->i", a[x], b[y]) >= threshold
+            true = cosines(a[x], b[y]) >= threshold
             pairs = np.unique(np.stack([code_a[x[true]], code_b[y[true]]], 1), axis=0)
             lows.append(pairs[:, 0])
             highs.append(pairs[:, 1])

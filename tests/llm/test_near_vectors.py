@@ -148,3 +148,42 @@ def test_exact_without_windows(spark, monkeypatch, rows):
     given = corpus(5)
     got = near.near_vectors(frame(spark, given), window=1, passes=1, hashes=1).collect()
     assert sorted(map(tuple, got), key=str) == sorted(brute(given), key=str)
+
+
+def at_the_limit(pairs=150, size=48, seed=23):
+    """Lone pairs at cosine 0.9 within rounding, about half to either side."""
+    draw = np.random.default_rng(seed)
+    base = draw.standard_normal((pairs, size))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    side = draw.standard_normal(base.shape)
+    side -= (side * base).sum(1, keepdims=True) * base
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    return np.concatenate([base, 0.9 * base + np.sqrt(1 - 0.81) * side])
+
+
+@pytest.mark.parametrize("window", [1, 32])
+def test_ties_at_the_threshold_are_decided_alike(spark, window):
+    vectors = at_the_limit()
+    schema = "vec_id long, embedding array<double>, component long, n_links string, id int"
+    rows = [(i, v.tolist(), 7, "clash", 0) for i, v in enumerate(vectors)]
+    got = near.near_vectors(spark.createDataFrame(rows, schema), window=window).collect()
+    held = {}
+    for row in got:
+        held.setdefault(row.component_id, []).append(row)
+    assert {len(own) for own in held.values()} == {1, 2}
+    assert all((row.n_links == 0) == (len(held[row.component_id]) == 1) for row in got)
+    units = np.stack([unit(v) for v in vectors])
+    links = near.cosines(units[:150], units[150:]) >= 0.9
+    linked = {row.vec_id for row in got if row.n_links}
+    assert linked == {i for i in range(300) if links[i % 150]}
+
+
+def test_products_and_cosines_settle_alike():
+    vectors = at_the_limit(60)
+    a, b = vectors[:60], vectors[60:]
+    crossed = near.settled(a @ b.T, a, b, 0.9)
+    assert (crossed.T == near.settled(b @ a.T, b, a, 0.9)).all()
+    alike = near.settled(np.einsum("ij,ij->i", a, b), a, b, 0.9)
+    assert (np.diagonal(crossed) == alike).all()
+    alone = [near.cosines(a[i : i + 1], b[i : i + 1])[0] >= 0.9 for i in range(60)]
+    assert alike.tolist() == alone
