@@ -345,6 +345,35 @@ _BODIES = {
         SELECT ps.*, s.* EXCLUDE (id) FROM ps LEFT JOIN sku s ON ps.sku_id = s.id""",
     "keyword_tokens": "SELECT keyword, ts FROM kw",
     "keyword_lateral": "SELECT keyword, ts FROM kw",
+    # Places of a run from the right; the best of each is kept in front of those behind it.
+    "keyword_segments": """
+        WITH RECURSIVE dict AS (
+            SELECT keyword AS word, count(*) AS weight FROM kw WHERE length(keyword) <= 4 GROUP BY 1),
+        held AS (SELECT map(list(word), list(weight)) AS m FROM dict),
+        dp AS (
+            SELECT DISTINCT keyword AS run, length(keyword) AS p,
+                   [{'u': 0::BIGINT, 'w': 0::BIGINT, 's': 0::BIGINT, 'l': 0::BIGINT}] AS best FROM kw
+            UNION ALL
+            SELECT run, p - 1, list_prepend(list_sort(list_concat(
+                [{'u': best[1].u + 1, 'w': best[1].w, 's': best[1].s, 'l': 0::BIGINT}],
+                list_transform(
+                    list_filter(range(1, least(4, length(run) - p + 1) + 1),
+                                lambda k: m[substr(run, p, k)] IS NOT NULL),
+                    lambda k: {'u': best[k].u, 'w': best[k].w + 1,
+                               's': best[k].s - m[substr(run, p, k)], 'l': -k})))[1], best)
+            FROM dp, held WHERE p > 0),
+        walk AS (
+            SELECT run, best, CAST(1 AS BIGINT) AS place FROM dp WHERE p = 0
+            UNION ALL
+            SELECT run, best, place + greatest(1, -best[place].l) FROM walk WHERE place <= length(run)),
+        steps AS (SELECT run, place, -best[place].l AS size FROM walk WHERE place <= length(run)),
+        pieces AS (
+            SELECT run, place, size FROM steps WHERE size > 0
+            UNION ALL
+            SELECT run, min(place), count(*) FROM (
+                SELECT run, place, place - row_number() OVER (PARTITION BY run ORDER BY place) AS gap
+                FROM steps WHERE size = 0) GROUP BY run, gap)
+        SELECT substr(run, place, size) AS keyword, ts FROM kw JOIN pieces ON run = keyword""",
     "keyword_stats": """
         SELECT keyword, count(*) AS ct, 'SEARCH' AS source,
                strftime(epoch_ms(ts // 10000 * 10000), '%Y-%m-%d %H:%M:%S') AS stt,

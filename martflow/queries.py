@@ -484,6 +484,15 @@ def keyword_lateral(spark, sf):
     )
 
 
+@query
+def keyword_segments(spark, sf):
+    """The tokens read by a dictionary of the searches' own short words, weighed by use."""
+    found = keywords.searches(adapt.search_records(spark, sf))
+    short = keywords.keyword_tokens(found).where(F.length("keyword") <= 4)
+    dictionary = short.groupBy(F.col("keyword").alias("word")).agg(F.count(F.lit(1)).alias("weight"))
+    return keywords.keyword_segments(found, dictionary)
+
+
 @query
 def keyword_stats(spark, sf):
     words = keywords.keyword_tokens(keywords.searches(adapt.search_records(spark, sf)))
