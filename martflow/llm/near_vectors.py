@@ -12,7 +12,8 @@ Windows bound who is compared in a pass, so what they leave out is made up for b
 comparisons, and no link is missed at any table size:
 
 - Between components, classes are written once, ordered by the nearest of a few pivots,
-  and each file is held against every other by blocks. A row is left out of a block
+  and each file is held against every other by blocks, which is read only if the least and
+  greatest angles of both files to the pivots leave room for a link. A row is left out of a block
   only if the angle inequality rules out that it links there: its angle to a pivot is
   beyond those of the block's rows by more than the threshold's angle. Rounded products
   only choose the pairs that are then computed in double precision, and nothing is
@@ -370,41 +371,114 @@ def across_links(a, b, held_a, held_b, pivots, threshold: float) -> list[tuple[i
     return list(zip(known[moved].tolist(), known[root[moved]].tolist(), strict=True))
 
 
-def _crossed(files: list[str], pivots: dict[int, np.ndarray], threshold: float):
+def angle_bounds(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """The least and the greatest angle of the rows to each pivot."""
+    angles = _angles(vectors, pivots)
+    return np.stack([angles.min(axis=0), angles.max(axis=0)])
+
+
+def may_link(one: np.ndarray, two: np.ndarray, threshold: float) -> bool:
+    """Whether the angle inequality leaves room for a link of rows within these bounds."""
+    limit = np.arccos(threshold) + 1e-6
+    return bool(((one[0] <= two[1] + limit) & (two[0] <= one[1] + limit)).all())
+
+
+def _file_blocks(file: str):
+    """(length, vectors, components) of a file of vectors, by blocks."""
+    import pyarrow.parquet as pq
+
+    store, path = open_store(file)
+    with store.open_input_file(path) as source:
+        rows = pq.read_table(source, columns=["component", "size", "unit"])
+    sizes = rows["size"].to_numpy()
+    held, units = rows["component"].to_numpy(), rows["unit"].to_pylist()
+    for size in np.unique(sizes):
+        at = np.flatnonzero(sizes == size)
+        vectors = np.frombuffer(b"".join(units[i] for i in at), "<f8").reshape(len(at), -1)
+        for k in range(0, len(at), _FILE_ROWS):
+            yield int(size), vectors[k : k + _FILE_ROWS], held[at[k : k + _FILE_ROWS]]
+
+
+def _bounded(files: list[str], pivots: dict[int, np.ndarray]):
+    """For ``mapInArrow`` over numbers of files: the angle bounds of each length in a file.
+
+    Vectors of a length without pivots have no bounds.
+    """
+
+    def bound(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for number in batch.column("id").to_pylist():
+                found: dict[int, np.ndarray | None] = {}
+                for size, vectors, _ in _file_blocks(files[number]):
+                    if size not in pivots:
+                        found[size] = None
+                        continue
+                    own = angle_bounds(vectors, pivots[size])
+                    if size in found:
+                        known = found[size]
+                        own = np.stack([np.minimum(known[0], own[0]), np.maximum(known[1], own[1])])
+                    found[size] = own
+                packed = [None if x is None else x.tobytes() for x in found.values()]
+                columns = [
+                    pa.array([number] * len(found), pa.int64()),
+                    pa.array(list(found), pa.int32()),
+                    pa.array(packed, pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "size", "bounds"])
+
+    return bound
+
+
+def _crossed(files: list[str], bounds: list[str], pivots: dict[int, np.ndarray], threshold: float):
     """For ``mapInArrow`` over numbers of files: links of a file with itself and half the rest.
 
-    The halves go round, so each two files meet in one task, and tasks are alike.
+    The halves go round, so each two files meet in one task, and tasks are alike. A file is
+    read only if its bounds leave room for a link.
     """
 
-    def read(number):
+    def known_bounds():
         import pyarrow.parquet as pq
 
-        store, path = open_store(files[number])
-        with store.open_input_file(path) as source:
-            rows = pq.read_table(source, columns=["component", "size", "unit"])
-        sizes = rows["size"].to_numpy()
-        held, units = rows["component"].to_numpy(), rows["unit"].to_pylist()
-        for size in np.unique(sizes):
-            at = np.flatnonzero(sizes == size)
-            vectors = np.frombuffer(b"".join(units[i] for i in at), "<f8").reshape(len(at), -1)
-            for k in range(0, len(at), _FILE_ROWS):
-                yield int(size), vectors[k : k + _FILE_ROWS], held[at[k : k + _FILE_ROWS]]
+        found: dict[int, dict[int, np.ndarray | None]] = {}
+        for file in bounds:
+            store, path = open_store(file)
+            with store.open_input_file(path) as source:
+                rows = pq.read_table(source, columns=["id", "size", "bounds"]).to_pylist()
+            for row in rows:
+                packed = row["bounds"]
+                own = None if packed is None else np.frombuffer(packed, "<f8").reshape(2, -1)
+                found.setdefault(row["id"], {})[row["size"]] = own
+        return found
 
     def compare(batches):
         import pyarrow as pa
 
+        known = known_bounds()
+
+        def meet(own: int, other: int) -> bool:
+            one, two = known.get(own, {}), known.get(other, {})
+            return any(
+                one[size] is None or may_link(one[size], two[size], threshold)
+                for size in one.keys() & two.keys()
+            )
+
         for batch in batches:
             for own in batch.column("id").to_pylist():
-                mine = list(read(own))
+                mine = list(_file_blocks(files[own]))
                 for step in range(len(files) // 2 + 1):
                     if 2 * step == len(files) and 2 * own >= len(files):
                         continue  # the opposite file's task has this pair
+                    other = (own + step) % len(files)
+                    if not meet(own, other):
+                        continue
                     found = []
-                    for size, b, held_b in read((own + step) % len(files)):
+                    for size, b, held_b in _file_blocks(files[other]):
                         for length, a, held_a in mine:
                             if length == size:
-                                known = pivots.get(size)
-                                found += across_links(a, b, held_a, held_b, known, threshold)
+                                near = pivots.get(size)
+                                found += across_links(a, b, held_a, held_b, near, threshold)
                     a, b = zip(*dict.fromkeys(found), strict=True) if found else ((), ())
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]
@@ -432,7 +506,13 @@ def between(classes: DataFrame, label: DataFrame, threshold: float = THRESHOLD)
     held = stage(held.repartitionByRange(parts, *order).sortWithinPartitions(*order), "vector-files")
     files = sorted(held.inputFiles())
     numbers = spark.range(0, len(files), 1, max(1, len(files)))
-    return stage(numbers.mapInArrow(_crossed(files, pivots, threshold), "a long, b long"), "vector-between")
+    # A row of a kilobyte for each file: all of them are read by each task, of few files.
+    bounds = numbers.mapInArrow(_bounded(files, pivots), "id long, size int, bounds binary")
+    bounds = stage(bounds.repartition(parts_for(len(files), _PART_ROWS)), "vector-bounds")
+    crossed = numbers.mapInArrow(
+        _crossed(files, sorted(bounds.inputFiles()), pivots, threshold), "a long, b long"
+    )
+    return stage(crossed, "vector-between")
 
 
 def merged(label: DataFrame, links: DataFrame) -> DataFrame:

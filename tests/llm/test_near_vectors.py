@@ -187,3 +187,35 @@ def test_products_and_cosines_settle_alike():
     assert (np.diagonal(crossed) == alike).all()
     alone = [near.cosines(a[i : i + 1], b[i : i + 1])[0] >= 0.9 for i in range(60)]
     assert alike.tolist() == alone
+
+
+def test_files_are_ruled_out_by_their_bounds():
+    draw = np.random.default_rng(4)
+
+    def near_axis(axis, count=200):
+        rows = 0.1 * draw.standard_normal((count, 16)) + np.eye(16)[axis]
+        return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+
+    pivots = near_axis(0, 3)
+    one, far, same = near_axis(0), near_axis(5), near_axis(0)
+    bounds = [near.angle_bounds(x, pivots) for x in (one, far, same)]
+    assert not near.may_link(bounds[0], bounds[1], 0.9)
+    assert near.may_link(bounds[0], bounds[2], 0.9)
+    assert (one @ far.T).max() < 0.9 <= (one @ same.T).max()
+    for _ in range(200):  # whatever links is let in
+        a, b = (draw.standard_normal((2, 3)) for _ in range(2))
+        a, b = (x / np.linalg.norm(x, axis=1, keepdims=True) for x in (a, b))
+        pivot = np.eye(3)
+        if (a @ b.T).max() >= 0.9:
+            assert near.may_link(near.angle_bounds(a, pivot), near.angle_bounds(b, pivot), 0.9)
+
+
+def test_clusters_apart_and_other_lengths(spark, monkeypatch):
+    monkeypatch.setattr(near, "_FILE_ROWS", 20)
+    draw = np.random.default_rng(9)
+    rows = [np.eye(12)[i % 6] + 0.08 * draw.standard_normal(12) for i in range(90)]
+    rows += [draw.standard_normal(5) for _ in range(4)]
+    given = [(i, v.tolist()) for i, v in enumerate(rows)]
+    got = near.near_vectors(frame(spark, given), window=1, passes=1, hashes=1).collect()
+    given = [(i, np.float32(v).tolist()) for i, v in given]
+    assert sorted(map(tuple, got)) == sorted(brute(given))
