@@ -40,6 +40,51 @@ def test_each_id_once_and_little_padding(lengths, capacity):
     check_pieces(lengths, packing.pack_lengths(lengths, capacity), capacity)
 
 
+def brute_pack(lengths, capacity):
+    """The same rule by looking at every sequence for every piece."""
+    pieces, used, waiting = [], 0, []
+    for doc, length in enumerate(lengths):
+        at = 0
+        while length - at >= capacity:
+            pieces.append((doc, at, capacity, used, 0))
+            used, at = used + 1, at + capacity
+        if at < length:
+            waiting.append((doc, at, length - at))
+    ids = sum(length for _, _, length in waiting)
+    held = {used + k: [] for k in range((ids + capacity - 1) // capacity)}
+
+    def room(sequence):
+        return capacity - sum(held[sequence])
+
+    def cost(sequence):
+        return sum(n + n * n / 1024 for n in held[sequence])
+
+    while waiting:
+        doc, start, length = piece = max(waiting, key=lambda w: (w[2], -w[0], -w[1]))
+        waiting.remove(piece)
+        fit = [s for s in held if room(s) >= length]
+        if fit:
+            sequence, part = min(fit, key=lambda s: (cost(s), s)), length
+        else:
+            sequence = min(held, key=lambda s: (-room(s), cost(s), s))
+            part = room(sequence)
+            waiting.append((doc, start + part, length - part))
+        pieces.append((doc, start, part, sequence, capacity - room(sequence)))
+        held[sequence].append(part)
+    return pieces
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, 70), max_size=40), st.integers(1, 32))
+def test_pieces_against_looking_at_every_sequence(lengths, capacity):
+    assert sorted(packing.pack_lengths(lengths, capacity)) == sorted(brute_pack(lengths, capacity))
+
+
+def test_long_lists_against_looking_at_every_sequence():
+    lengths = np.random.default_rng(8).integers(0, 5000, 300).tolist() + [700] * 40
+    assert sorted(packing.pack_lengths(lengths)) == sorted(brute_pack(lengths, 2048))
+
+
 def test_costs_are_even():
     lengths = np.random.default_rng(5).integers(20, 2000, 5000).tolist()
     cost = defaultdict(float)
