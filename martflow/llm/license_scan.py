@@ -2,8 +2,8 @@
 
 A text is brought to its plain form: A-Z in lower case, words of letters and digits
 with one space around each. Rules are regular expressions over that form. There are
-some hundreds, made of license names and phrasings, and some written out; each has
-keywords, of which every match holds one as a word, and is tried only on texts that do.
+some hundreds: license names in phrasings, and some 170 written each for itself, which are
+identifiers, sentences of license texts, notices and exceptions. Each has keywords, of which every match holds one as a word, and is tried only on texts that do.
 A phrasing sets the priority of a rule. A detection that lies within another of higher
 priority, or of the same but longer, or first in the order of rules, is suppressed. The three base phrases are rules too, of the highest priority; their
 labels stay whatever lies around them.
@@ -120,6 +120,72 @@ SPDX = (
     ("artistic-2", "artistic", r"artistic 2 0"),
     ("boost-1", "bsl", r"bsl 1 0"),
     ("ofl-1.1", "ofl", r"ofl 1 1"),
+    ("0bsd", "spdx", r"0bsd"),
+    ("aal", "spdx", r"aal"),
+    ("afl-3", "spdx", r"afl 3 0"),
+    ("apsl-2", "spdx", r"apsl 2 0"),
+    ("blueoak-1", "spdx", r"blueoak 1 0 0"),
+    ("bsd-1", "spdx", r"bsd 1 clause"),
+    ("bsd-4", "spdx", r"bsd 4 clause(?: uc)?"),
+    ("busl-1.1", "spdx", r"busl 1 1"),
+    ("cc0-1", "spdx", r"cc0 1 0"),
+    ("cecill-2.1", "spdx", r"cecill 2 1"),
+    ("cecill-b", "spdx", r"cecill b"),
+    ("cecill-c", "spdx", r"cecill c"),
+    ("cern-ohl-p-2", "spdx", r"cern ohl p 2 0"),
+    ("cern-ohl-s-2", "spdx", r"cern ohl s 2 0"),
+    ("cern-ohl-w-2", "spdx", r"cern ohl w 2 0"),
+    ("cpal-1", "spdx", r"cpal 1 0"),
+    ("cpl-1", "spdx", r"cpl 1 0"),
+    ("curl", "spdx", r"curl"),
+    ("ecl-2", "spdx", r"ecl 2 0"),
+    ("efl-2", "spdx", r"efl 2 0"),
+    ("elastic-2", "spdx", r"elastic 2 0"),
+    ("fair", "spdx", r"fair"),
+    ("ftl", "spdx", r"ftl"),
+    ("gfdl-1.2", "spdx", r"gfdl 1 2(?: only| or later)?"),
+    ("gfdl-1.3", "spdx", r"gfdl 1 3(?: only| or later)?"),
+    ("hpnd", "spdx", r"hpnd"),
+    ("ijg", "spdx", r"ijg"),
+    ("ipl-1", "spdx", r"ipl 1 0"),
+    ("json", "spdx", r"json"),
+    ("libpng-2", "spdx", r"libpng 2 0"),
+    ("libtiff", "spdx", r"libtiff"),
+    ("lppl-1.3", "spdx", r"lppl 1 3[ac]"),
+    ("mit-0", "spdx", r"mit 0"),
+    ("ms-pl", "spdx", r"ms pl"),
+    ("ms-rl", "spdx", r"ms rl"),
+    ("mulan-2", "spdx", r"mulanpsl 2 0"),
+    ("naist-2003", "spdx", r"naist 2003"),
+    ("nasa-1.3", "spdx", r"nasa 1 3"),
+    ("ncsa", "spdx", r"ncsa"),
+    ("ntp", "spdx", r"ntp"),
+    ("odbl-1", "spdx", r"odbl 1 0"),
+    ("odc-by-1", "spdx", r"odc by 1 0"),
+    ("openssl", "spdx", r"openssl"),
+    ("osl-3", "spdx", r"osl 3 0"),
+    ("pddl-1", "spdx", r"pddl 1 0"),
+    ("php-3", "spdx", r"php 3 01?"),
+    ("postgresql", "spdx", r"postgresql"),
+    ("python-2", "spdx", r"(?:psf|python) 2 0"),
+    ("qpl-1", "spdx", r"qpl 1 0"),
+    ("rpl-1.5", "spdx", r"rpl 1 5"),
+    ("ruby", "spdx", r"ruby"),
+    ("sissl", "spdx", r"sissl"),
+    ("sleepycat", "spdx", r"sleepycat"),
+    ("sspl-1", "spdx", r"sspl 1 0"),
+    ("tcl", "spdx", r"tcl"),
+    ("unicode-2016", "spdx", r"unicode dfs 2016"),
+    ("unicode-3", "spdx", r"unicode 3 0"),
+    ("upl-1", "spdx", r"upl 1 0"),
+    ("vim", "spdx", r"vim"),
+    ("w3c", "spdx", r"w3c"),
+    ("x11", "spdx", r"x11"),
+    ("zpl-2.1", "spdx", r"zpl 2 1"),
+    ("classpath-exception", "spdx", r"gpl 2 0(?: only| or later)? with classpath exception 2 0"),
+    ("linux-syscall-note", "spdx", r"gpl 2 0(?: only| or later)? with linux syscall note"),
+    ("gcc-exception", "spdx", r"gpl 3 0(?: only| or later)? with gcc exception 3 1"),
+    ("llvm-exception", "spdx", r"apache 2 0 with llvm exception"),
 )
 SPDX_PRIORITY = 8
 
@@ -133,6 +199,107 @@ OPENINGS = (
     ("gpl", "redistribute", r"you can redistribute it and or modify it under the terms of the gnu general public licen[cs]e"),
     ("lgpl", "redistribute", r"you can redistribute it and or modify it under the terms of the gnu lesser general public licen[cs]e"),
     ("unlicense", "unencumbered", r"this is free and unencumbered software released into the public domain"),
+    ("postgresql", "hereby", r"distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted"),
+    ("unicode-2016", "hereby", r"permission is hereby granted free of charge to any person obtaining a copy of the unicode data files"),
+    ("busl-1.1", "hereby", r"the licensor hereby grants you the right to copy modify create derivative works redistribute and make non production use"),
+    ("gpl-2", "freedom", r"the licenses for most software are designed to take away your freedom to share and change it"),
+    ("gpl-3", "copyleft", r"the gnu general public licen[cs]e is a free copyleft licen[cs]e"),
+    ("agpl-3", "copyleft", r"the gnu affero general public licen[cs]e is a free copyleft licen[cs]e"),
+    ("lgpl-3", "incorporates", r"this version of the gnu lesser general public licen[cs]e incorporates the terms and conditions of version 3"),
+    ("gfdl", "documentation", r"modify this document under the terms of the gnu free documentation licen[cs]e"),
+    ("artistic-1", "intent", r"the intent of this document is to state the conditions under which a package may be copied"),
+    ("artistic-2", "establishes", r"this licen[cs]e establishes the terms under which a given free software package may be copied"),
+    ("wtfpl", "verbatim", r"distribute verbatim or modified copies of this licen[cs]e document and changing it is allowed"),
+    ("ms-pl", "governs", r"this licen[cs]e governs use of the accompanying software if you use the software you accept this licen[cs]e"),
+)
+
+#: Label, keywords, sentences within license texts.
+SENTENCES = (
+    ("mit", "substantial", r"shall be included in all copies or substantial portions of the software"),
+    ("mit", "deal", r"to deal in the software without restriction"),
+    ("ncsa", "deal", r"to deal with the software without restriction"),
+    ("isc", "disclaims", r"the software is provided as is and the author disclaims all warranties with regard to this software"),
+    ("apache-2", "irrevocable", r"perpetual worldwide non exclusive no charge royalty free irrevocable copyright licen[cs]e"),
+    ("apache-2", "reproduction", r"terms and conditions for use reproduction and distribution"),
+    ("apache-1.1", "apache", r"this product includes software developed by the apache software foundation"),
+    ("bsd", "redistributions", r"redistributions of source code must retain the above copyright notice"),
+    ("bsd", "redistributions", r"redistributions in binary form must reproduce the above copyright notice"),
+    ("bsd-3", "endorse", r"nor the names of its contributors may be used to endorse or promote products"),
+    ("bsd-4", "advertising", r"all advertising materials mentioning features or use of this software must display the following acknowledge?ment"),
+    ("x11", "consortium", r"the name of the x consortium shall not be used in advertising"),
+    ("zlib", "misrepresented", r"the origin of this software must not be misrepresented"),
+    ("zlib", "altered", r"altered source versions must be plainly marked as such"),
+    ("gpl", "hope", r"this program is distributed in the hope that it will be useful but without any warranty"),
+    ("lgpl", "hope", r"this library is distributed in the hope that it will be useful but without any warranty"),
+    ("lgpl", "derivative", r"contains no derivative of any portion of the library but is designed to work with the library"),
+    ("mpl-2", "incompatible", r"this source code form is incompatible with secondary licen[cs]es"),
+    ("epl", "eclipse", r"the accompanying program is provided under the terms of this eclipse public licen[cs]e"),
+    ("cddl", "development", r"common development and distribution licen[cs]e"),
+    ("unlicense", "compile", r"anyone is free to copy modify publish use compile sell or distribute this software"),
+    ("unlicense", "dedication", r"we make this dedication for the benefit of the public at large"),
+    ("cc0-1", "deed", r"the person who associated a work with this deed has dedicated the work to the public domain"),
+    ("cc0-1", "waived", r"has waived all copyright and related or neighbou?ring rights"),
+    ("ofl-1.1", "fonts", r"the fonts and derivatives however cannot be released under any other type of licen[cs]e"),
+    ("python-2", "psf", r"psf is making python available to licensee on an as is basis"),
+    ("php-3", "php", r"this product includes php software freely available from"),
+    ("openssl", "openssl", r"this product includes software developed by the openssl project"),
+    ("json", "evil", r"the software shall be used for good not evil"),
+    ("beerware", "beer", r"you think this stuff is worth it you can buy me a beer in return"),
+    ("w3c", "licensee", r"you the licensee agree that you have read understood and will comply"),
+    ("sspl-1", "functionality", r"if you make the functionality of the program or a modified version available to third parties as a service"),
+    ("elastic-2", "hosted", r"you may not provide the software to third parties as a hosted or managed service"),
+    ("commons-clause", "sell", r"the licen[cs]e does not grant to you the right to sell the software"),
+    ("odbl-1", "database", r"open data commons open database licen[cs]e"),
+    ("pddl-1", "dedication", r"open data commons public domain dedication"),
+    ("all-rights-reserved", "reproduced", r"all rights reserved no part of this (?:publication|document|book) may be reproduced"),
+)
+
+#: Label, keywords, notices that point to a license, and places it is found at.
+NOTICES = (
+    ("apache-2", "compliance", r"you may not use this file except in compliance with the licen[cs]e"),
+    ("apache-2", "apache", r"apache org licen[cs]es licen[cs]e 2 0"),
+    ("gpl", "received", r"you should have received a copy of the gnu general public licen[cs]e"),
+    ("lgpl", "received", r"you should have received a copy of the gnu lesser general public licen[cs]e"),
+    ("agpl", "received", r"you should have received a copy of the gnu affero general public licen[cs]e"),
+    ("mpl-2", "mpl", r"if a copy of the mpl was not distributed with this file you can obtain one"),
+    ("mpl-1.1", "mozilla", r"the contents of this file are subject to the mozilla public licen[cs]e version 1 1"),
+    ("mpl-2", "mozilla", r"mozilla org mpl 2 0"),
+    ("epl-2", "eclipse", r"eclipse org legal epl (?:v20|2 0)"),
+    ("epl-1", "eclipse", r"eclipse org legal epl v10"),
+    ("mit", "opensource", r"opensource org licen[cs]es? mit"),
+    ("isc", "opensource", r"opensource org licen[cs]es? isc"),
+    ("bsd-2", "opensource", r"opensource org licen[cs]es? bsd 2 clause"),
+    ("bsd-3", "opensource", r"opensource org licen[cs]es? bsd 3 clause"),
+    ("gpl-2", "gnu", r"gnu org licen[cs]es (?:old licen[cs]es )?gpl 2 0"),
+    ("gpl-3", "gnu", r"gnu org licen[cs]es gpl 3 0"),
+    ("lgpl-2.1", "gnu", r"gnu org licen[cs]es (?:old licen[cs]es )?lgpl 2 1"),
+    ("lgpl-3", "gnu", r"gnu org licen[cs]es lgpl 3 0"),
+    ("agpl-3", "gnu", r"gnu org licen[cs]es agpl 3 0"),
+    ("gfdl", "gnu", r"gnu org licen[cs]es fdl 1 [123]"),
+    ("boost-1", "boost", r"boost org licen[cs]e 1 0 txt"),
+    ("ofl-1.1", "sil", r"scripts sil org ofl"),
+    ("unlicense", "unlicense", r"unlicense org"),
+    ("wtfpl", "wtfpl", r"wtfpl net"),
+    ("cc-by", "creativecommons", r"creativecommons org licen[cs]es by [1234] [05]"),
+    ("cc-by-sa", "creativecommons", r"creativecommons org licen[cs]es by sa [1234] [05]"),
+    ("cc-by-nd", "creativecommons", r"creativecommons org licen[cs]es by nd [1234] [05]"),
+    ("cc-by-nc", "creativecommons", r"creativecommons org licen[cs]es by nc [1234] [05]"),
+    ("cc-by-nc-sa", "creativecommons", r"creativecommons org licen[cs]es by nc sa [1234] [05]"),
+    ("cc-by-nc-nd", "creativecommons", r"creativecommons org licen[cs]es by nc nd [1234] [05]"),
+    ("cc0-1", "creativecommons", r"creativecommons org publicdomain zero 1 0"),
+)
+
+#: Label, keywords, exceptions that are granted beside a license.
+EXCEPTIONS = (
+    ("classpath-exception", "statically", r"linking this library statically or dynamically with other modules is making a combined work"),
+    ("font-exception", "font", r"as a special exception if you create a document which uses this font"),
+    ("gcc-exception", "runtime", r"additional permissions described in the gcc runtime library exception"),
+    ("libstdc-exception", "exception", r"as a special exception you may use this file as part of a free software library without restriction"),
+    ("autoconf-exception", "autoconf", r"part of a program that contains a configuration script generated by autoconf"),
+    ("bison-exception", "bison", r"you may create a larger work that contains part or all of the bison parser skeleton"),
+    ("openssl-exception", "openssl", r"permission to link the code of portions of this program with the openssl library"),
+    ("llvm-exception", "compiling", r"as a result of your compiling your source code portions of this software are embedded into an object form"),
+    ("linux-syscall-note", "syscalls", r"does not cover user programs that use syscalls"),
 )
 OPENING_PRIORITY, OPENING_WEIGHT = 7, 0.95
 BASE_PRIORITY = 9
@@ -163,7 +330,7 @@ def rules() -> list[Rule]:
     for label, keyword, name in SPDX:
         pattern = f"spdx licen[cs]e identifier {name}"
         made.append((label, keyword, pattern, SPDX_PRIORITY, 1.0, False))
-    for label, keyword, pattern in OPENINGS:
+    for label, keyword, pattern in (*OPENINGS, *SENTENCES, *NOTICES, *EXCEPTIONS):
         made.append((label, keyword, pattern, OPENING_PRIORITY, OPENING_WEIGHT, False))
     return [
         Rule(i, label, tuple(keywords.split()), f" {pattern}(?= )", priority, weight, base)

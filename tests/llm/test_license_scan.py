@@ -106,6 +106,32 @@ def test_every_match_holds_a_keyword():
             assert set(rule.keywords) & set(match.split()), (rule, match)
 
 
+def test_written_rules_match_whole_and_no_less():
+    written = [r for r in scan.rules() if r.number >= 3 + len(scan.PHRASINGS) * len(scan.LICENSES)]
+    assert len(written) >= 170 and len({r.pattern for r in written}) == len(written)
+    for rule in written:
+        for text in matches(rule.pattern):
+            words = text.split()
+            assert re.match(rule.pattern, f"{text} ")
+            shorter = [m for m in matches(rule.pattern) if len(m) < len(text)]
+            for some in (words[1:], words[:-1], [*words[:-1], f"{words[-1]}x"]):
+                part = " ".join(["", *some, ""])
+                if not any(f"{m} " in part for m in shorter):
+                    assert not re.search(rule.pattern, part), (rule, part)
+
+
+def test_written_rules_against_brute_force(spark):
+    tables = (scan.OPENINGS, scan.SENTENCES, scan.NOTICES, scan.EXCEPTIONS)
+    known = [(label, pattern) for own in tables for label, _, pattern in own]
+    known += [(label, f"spdx licen[cs]e identifier {name}") for label, _, name in scan.SPDX]
+    rows = [(label, m) for label, pattern in known for m in matches(pattern)[-2:]]
+    docs = [(i, f"Some words, {m.upper()}; others.", "x", 1, "y") for i, (_, m) in enumerate(rows)]
+    got = scan.license_labels(spark.createDataFrame(docs, SCHEMA)).collect()
+    for row in got:
+        assert tuple(row)[1:] == brute(docs[row.doc_id][1])
+        assert rows[row.doc_id][0] in row.labels.split(","), rows[row.doc_id]
+
+
 def test_all_names_against_brute_force(spark):
     rows = [x for _, _, name in scan.LICENSES for x in matches(name)]
     rows += ["Licensed under the Expat License.", "GPL2 or GPL3", "LGPL2.1", "LGPL3", "AGPL3", "CDDL1.0"]
