@@ -6,9 +6,11 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martflow.sinks.files import Files
 
@@ -98,3 +100,19 @@ def stage_stream(stream: DataFrame, name: str) -> DataFrame:
     query = writer.trigger(availableNow=True).start(f"{path}/table")
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{path}/table")
+
+
+def write_batches(path: str) -> Callable[[DataFrame, int], None]:
+    """Write each micro-batch to a folder of its own; a repeated one replaces itself."""
+
+    def write(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+    return write
+
+
+def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """What :func:`write_batches` wrote; no batch, no rows."""
+    if not Files(spark, path).exists(""):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/batch=*")

@@ -11,17 +11,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martflow import adapt
+from martflow import adapt, schemas
 from martflow.functions import times
 from martflow.functions.text import register_tokenizer
 from martflow.operators import changes, joins, keywords, logs, orders, stats, visits
 from martflow.plans import products, reports, visitors
-from martflow.plans.staging import stage, stage_files, stage_stream, staging_dir
+from martflow.plans.staging import (
+    read_batches,
+    stage,
+    stage_files,
+    stage_stream,
+    staging_dir,
+    write_batches,
+)
 from martflow.session import tune
 from martflow.sinks.keyed import KeyedTable
 from martflow.sinks.results import commit_results, read_committed
 from martflow.sinks.topics import as_messages
-from martflow.streaming import jobs, repair
+from martflow.streaming import jobs, kept, repair
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -587,12 +594,18 @@ def stream_visitor_stats(spark, sf):
 
 @query
 def stream_order_wide(spark, sf):
-    joined = jobs.order_wide(
-        adapt.orders(spark, sf, read=adapt.stream),
-        adapt.details(spark, sf, read=adapt.stream),
+    """Orders and lines as streams, the open ones kept between micro-batches."""
+    folder = f"{staging_dir(spark)}/order_wide-{uuid.uuid4().hex}"
+    rows = kept.orders_and_details(*[adapt.stream(spark, sf, t) for t in ("orders", "lineitem")])
+    join = kept.order_wide(
+        f"{folder}/kept",
+        write_batches(f"{folder}/out"),
         ORDER_BOUND,
+        order_of=lambda found: adapt.orders(spark, sf, read=lambda *_: found),
+        detail_of=lambda found: adapt.details(spark, sf, read=lambda *_: found),
     )
-    return stage_stream(joined, "order_wide")
+    jobs.start_batches(rows, join, f"{folder}/checkpoint").awaitTermination()
+    return read_batches(spark, f"{folder}/out", schemas.ORDER_WIDE)
 
 
 @query

@@ -12,11 +12,13 @@ import pytest
 from martflow import schemas
 from martflow.operators import keywords, logs, orders, stats, visits
 from martflow.plans import products
+from martflow.plans.staging import read_batches, write_batches
+from martflow.queries import QUERIES
 from martflow.sinks.topics import as_messages, stream_messages
 from martflow.sources.changes import read_routing
 from martflow.sources.logs import read_log_lines, stream_log_lines
 from martflow.sources.topics import kafka_options, read_topic, read_topic_table
-from martflow.streaming import jobs, repair
+from martflow.streaming import jobs, kept, repair
 from test_logs import SAMPLE, frame, page
 from test_orders import detail, order, pay
 
@@ -520,3 +522,49 @@ def test_kafka_options():
     }
     with pytest.raises(ValueError):
         read_topic(None, "t")
+
+
+def test_open_orders_are_kept_between_batches(spark, tmp_path):
+    """Lines up to a bound before and after their order, which batches cut apart; one is repeated."""
+    stamp = lambda s: f"2024-03-01 10:{s // 60:02d}:{s % 60:02d}"
+    placed = [order(k, stamp(60 * k)) for k in range(1, 13)]
+    lines = [
+        detail(k * 10 + j, k, stamp(60 * k + apart))
+        for k in range(1, 13)
+        for j, apart in enumerate((-6, -5, -3, 0, 3, 5, 6))
+    ]
+    shapes = zip((schemas.ORDER_INFO, schemas.ORDER_DETAIL), (placed, lines))
+    frames = [spark.createDataFrame([{**dict.fromkeys(s.names), **r} for r in rs], s) for s, rs in shapes]
+    steps = [stamp(s) for s in (0, 180, 361, 540, 900)]
+    cuts = [
+        [f.where((f.create_time >= since) & (f.create_time < until)) for f in frames]
+        for since, until in zip(steps, steps[1:])
+    ]
+    run_batch = kept.order_wide(f"{tmp_path}/kept", write_batches(f"{tmp_path}/out"))
+    for n, cut in enumerate(cuts):
+        for _ in range(2 if n == 2 else 1):
+            run_batch(kept.orders_and_details(*cut), n)
+        open_orders = spark.read.parquet(f"{tmp_path}/kept/batch={n}/order")
+        assert open_orders.count() <= 1
+    found = read_batches(spark, f"{tmp_path}/out", schemas.ORDER_WIDE)
+    assert rows(found) == rows(orders.order_wide(*frames))
+    assert found.count() == 12 * 5
+    assert sum(orders.order_wide(*cut).count() for cut in cuts) < 12 * 5
+    assert not os.path.exists(f"{tmp_path}/kept/batch=0")
+
+
+def test_orders_join_without_state_stores(spark, monkeypatch):
+    """A state store is asked several times for each row; the registered query has none."""
+    seen = []
+
+    def watched(stream, write, checkpoint, trigger=None, start=jobs.start_batches):
+        query = start(stream, write, checkpoint, trigger)
+        query.awaitTermination()
+        seen.extend(p["stateOperators"] for p in query.recentProgress)
+        return query
+
+    monkeypatch.setattr(jobs, "start_batches", watched)
+    sf = "/root/testdata/sf0.001"
+    found = QUERIES["stream_order_wide"](spark, sf)
+    assert rows(found) == rows(QUERIES["order_wide"](spark, sf))
+    assert seen and not any(seen)
