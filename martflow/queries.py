@@ -423,14 +423,14 @@ def product_displays(spark, sf):
     return stats.product_displays(_pages(spark, sf))
 
 
+def _staged_wide(spark, sf):
+    """What product measures need of wide orders: read twice, by orders and payments, written once."""
+    columns = ["order_id", "sku_id", "sku_num", "split_total_amount", "create_time"]
+    return stage(_order_wide(spark, sf).select(columns), "order_wide")
+
+
 def _product_stats(spark, sf):
-    # Read twice, by orders and by payments: written once.
-    wide = stage(
-        _order_wide(spark, sf).select(
-            "order_id", "sku_id", "sku_num", "split_total_amount", "create_time"
-        ),
-        "order_wide",
-    )
+    wide = _staged_wide(spark, sf)
     measures = products.product_measures(
         _pages(spark, sf),
         wide,
@@ -610,20 +610,29 @@ def stream_order_wide(spark, sf):
 
 @query
 def stream_product_stats(spark, sf):
-    """All product measures per window, of seven topics."""
-    wide = stage(_order_wide(spark, sf), "order_wide")
-    sources = (
-        ("pages", "ts", _pages(spark, sf)),
-        ("wide", "create_time", wide),
-        ("paid", "order_create_time", _payment_wide(spark, sf, wide)),
-        ("carts", "create_time", adapt.carts(spark, sf)),
-        ("favors", "create_time", adapt.favors(spark, sf)),
-        ("refunds", "create_time", adapt.refunds(spark, sf)),
-        ("comments", "create_time", adapt.comments(spark, sf)),
-    )
-    streams = [_timed(found, time, name) for name, time, found in sources]
-    found = jobs.product_stats(*products.product_frames(*streams), window=EVENT_WINDOW)
-    return stage_stream(found, "product").where(F.col("stt") < LAST_STT)
+    """All product measures per window, of seven topics; open windows are kept between micro-batches."""
+    folder = f"{staging_dir(spark)}/product-{uuid.uuid4().hex}"
+    wide = _staged_wide(spark, sf)
+    paid = _payment_wide(spark, sf, wide)
+    sources = {
+        "pages": ("ts", _pages(spark, sf).select("page", "displays", "start", "ts")),
+        "wide": ("create_time", wide),
+        "paid": (
+            "order_create_time",
+            paid.select("order_id", "sku_id", "split_total_amount", "order_create_time"),
+        ),
+        "carts": ("create_time", adapt.carts(spark, sf)),
+        "favors": ("create_time", adapt.favors(spark, sf)),
+        "refunds": ("create_time", adapt.refunds(spark, sf)),
+        "comments": ("create_time", adapt.comments(spark, sf)),
+    }
+    streams = [_timed(found, time, name) for name, (time, found) in sources.items()]
+    measures = kept.by_source(dict(zip(sources, products.product_frames(*streams))))
+    delays = {name: timedelta(seconds=1860 if name == "paid" else 5) for name in sources}
+    close = kept.product_stats(f"{folder}/kept", write_batches(f"{folder}/out"), delays, EVENT_WINDOW)
+    jobs.start_batches(measures, close, f"{folder}/checkpoint").awaitTermination()
+    found = read_batches(spark, f"{folder}/out", stats.product_stats(measures, EVENT_WINDOW).schema)
+    return found.where(F.col("stt") < LAST_STT)
 
 
 @query

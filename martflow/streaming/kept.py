@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martflow.functions.times import text_to_time
-from martflow.operators import orders
+from martflow.operators import orders, stats
 from martflow.sinks.files import Files
 
 Write = Callable[[DataFrame, int], None]
@@ -122,3 +122,46 @@ def order_wide(
             kept.keep(_both(old[name], new[name]).where(still), batch, name)
 
     return run
+
+
+def by_source(measures: dict[str, DataFrame]) -> DataFrame:
+    """Product measures of several streams as one, each row with the name of its source."""
+    return stats.product_union(
+        *[frame.withColumn("source", F.lit(name)) for name, frame in measures.items()]
+    )
+
+
+def _least(reached: dict[str, int], delays: dict[str, timedelta]) -> int | None:
+    """How far all sources have come, less their delays; None while one has brought nothing."""
+    if any(source not in reached for source in delays):
+        return None
+    return min(reached[source] - _micros(delay) for source, delay in delays.items())
+
+
+def product_stats(
+    folder: str, write: Write, delays: dict[str, timedelta], window: str = stats.WINDOW
+) -> Write:
+    """Product statistics of :func:`by_source` rows, a window when all sources have passed it.
+
+    ``delays`` names every source.  Rows of open windows are kept as they came, and a
+    window is counted once, by the batch operator; a batch sends the windows that it
+    closes itself, and drops rows of windows that an earlier one has closed.
+    """
+    end = F.unix_micros(F.window(F.timestamp_millis("ts"), window)["end"])
+
+    def run(rows: DataFrame, batch: int) -> None:
+        kept = Kept(rows.sparkSession, folder)
+        kept.begin(batch)
+        passed = _least(kept.reached(batch - 1), delays)
+        latest = rows.groupBy("source").agg(F.unix_micros(F.timestamp_millis(F.max("ts"))))
+        least = _least(kept.advance(batch, {source: at for source, at in latest.collect()}), delays)
+        known = rows.where(F.col("sku_id").isNotNull() & F.col("ts").isNotNull())
+        new = known.select("*", end.alias("end"))
+        if passed is not None:
+            new = new.where(F.col("end") > passed)
+        held = _both(kept.rows(batch, "measures", new), new)
+        closed = F.lit(False) if least is None else F.col("end") <= least
+        write(stats.product_stats(held.where(closed), window), batch)
+        kept.keep(held.where(~closed), batch, "measures")
+
+    return run

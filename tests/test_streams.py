@@ -4,7 +4,7 @@ import json
 import os
 import random
 import time
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -553,8 +553,45 @@ def test_open_orders_are_kept_between_batches(spark, tmp_path):
     assert not os.path.exists(f"{tmp_path}/kept/batch=0")
 
 
-def test_orders_join_without_state_stores(spark, monkeypatch):
-    """A state store is asked several times for each row; the registered query has none."""
+def test_windows_are_kept_until_all_sources_have_passed(spark, tmp_path):
+    """Two sources, one two batches behind; a late row of a closed window; a batch repeated."""
+    base = 1709287200000  # 2024-03-01 10:00:00
+
+    def batch(carts, refunds):
+        shapes = "sku_id BIGINT, ts BIGINT, ", "tag STRING, order_id BIGINT, refund_amount DECIMAL(16,2)"
+        found = {
+            "carts": spark.createDataFrame([(5, base + s * 1000, 1) for s in carts], shapes[0] + "cart_ct BIGINT"),
+            "refunds": spark.createDataFrame(
+                [(5, base + s * 1000, "refund", o, Decimal("2.50")) for s, o in refunds], shapes[0] + shapes[1]
+            ),
+        }
+        return kept.by_source(found)
+
+    steps = [
+        batch([1, 12, 24], []),
+        batch([31, 42], [(1, 7), (2, 7), (3, 8)]),
+        batch([55, 58], [(9, 8), (24, 9), (31, 9)]),
+        batch([2], [(60, 9)]),  # a cart of the first window, long closed
+        batch([], [(90, 9)]),
+    ]
+    delays = {"carts": timedelta(seconds=0), "refunds": timedelta(seconds=3)}
+    run_batch = kept.product_stats(f"{tmp_path}/kept", write_batches(f"{tmp_path}/out"), delays)
+    closed = []
+    for n, step in enumerate(steps):
+        for _ in range(2 if n == 2 else 1):
+            run_batch(step, n)
+        sent = spark.read.parquet(f"{tmp_path}/out/batch={n}")
+        closed.append(sorted(r.stt[-5:] for r in sent.collect()))
+    assert closed == [[], [], ["00:00", "00:10"], ["00:20", "00:30", "00:40"], []]
+    whole = steps[0].unionByName(steps[1]).unionByName(steps[2])
+    found = read_batches(spark, f"{tmp_path}/out", sent.schema)
+    expected = stats.product_stats(whole).where("stt < '2024-03-01 10:00:50'")
+    assert rows(found) == rows(expected) and found.agg({"refund_order_ct": "sum"}).first()[0] == 4
+
+
+@pytest.mark.parametrize("name", ["order_wide", "product_stats"])
+def test_registered_streams_without_state_stores(spark, monkeypatch, name):
+    """A state store is asked several times for each row; these queries have none."""
     seen = []
 
     def watched(stream, write, checkpoint, trigger=None, start=jobs.start_batches):
@@ -565,6 +602,6 @@ def test_orders_join_without_state_stores(spark, monkeypatch):
 
     monkeypatch.setattr(jobs, "start_batches", watched)
     sf = "/root/testdata/sf0.001"
-    found = QUERIES["stream_order_wide"](spark, sf)
-    assert rows(found) == rows(QUERIES["order_wide"](spark, sf))
+    found = QUERIES[f"stream_{name}"](spark, sf)
+    assert rows(found) == rows(QUERIES[name](spark, sf))
     assert seen and not any(seen)
