@@ -209,14 +209,22 @@ def _typed(merged: DataFrame) -> DataFrame:
 def product_stats(
     measures: DataFrame, window: str = WINDOW, delay: str = "5 seconds"
 ) -> DataFrame:
-    """Counts, amounts and distinct orders per window and sku."""
+    """Counts, amounts and distinct orders per window and sku.
+
+    Only rows with an order take the step that counts an order once.
+    """
     sums = schemas.PRODUCT_COUNTS + schemas.PRODUCT_AMOUNTS
     known = measures.where(F.col("sku_id").isNotNull() & F.col("ts").isNotNull())
-    per_order = (
-        with_event_time(known, delay)
+    timed = with_event_time(known, delay)
+    by_order = (
+        timed.where(F.col("order_id").isNotNull())
         .groupBy(F.window(EVENT_TIME, window), "sku_id", "tag", "order_id")
         .agg(*[F.sum(c).alias(c) for c in sums], F.min("ts").alias("ts"))
     )
+    others = timed.where(F.col("order_id").isNull()).select(
+        F.window(EVENT_TIME, window), "sku_id", "tag", "order_id", *sums, "ts"
+    )
+    per_order = by_order.unionByName(others)
     counts = [
         F.count_if((F.col("tag") == tag) & F.col("order_id").isNotNull()).alias(name)
         for name, tag in schemas.PRODUCT_ORDER_COUNTS.items()

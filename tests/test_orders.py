@@ -349,3 +349,17 @@ def test_skewed_order_is_split_and_complete(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_only_rows_with_an_order_are_grouped_by_it(spark):
+    """Carts are counted in one step; a row of each order in two, once per order."""
+    acts = spark.createDataFrame(
+        [(5, "2024-03-01 10:00:01", 3, Decimal("2.50")), (5, "2024-03-01 10:00:02", 3, None),
+         (5, "2024-03-01 10:00:03", None, Decimal("1.00"))],
+        "sku_id BIGINT, create_time STRING, order_id BIGINT, refund_amount DECIMAL(16,2)",
+    )
+    carts, refunds = stats.product_carts(acts), stats.product_refunds(acts)
+    plan = stats.product_stats(stats.product_union(carts))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 1
+    found = stats.product_stats(stats.product_union(carts, refunds)).collect()
+    assert [(r.cart_ct, r.refund_order_ct, r.refund_amount) for r in found] == [(3, 1, Decimal("3.50"))]
